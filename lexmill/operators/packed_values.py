@@ -163,6 +163,13 @@ def _given(token: str) -> bool:
     return token.replace(".", "").lower() not in SUFFIXES
 
 
+def _splitter(names: bool):
+    def values(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: split_packed(t, names))
+
+    return F.pandas_udf(values, "array<string>")
+
+
 def split_values(df: DataFrame, keys: list[str], fields: dict[str, bool], known: DataFrame | None = None) -> DataFrame:
     """One row (`keys`, field, pos, item) for each value of the packed `fields`; {field: is it a list of names}.
 
@@ -172,10 +179,7 @@ def split_values(df: DataFrame, keys: list[str], fields: dict[str, bool], known:
     frames = []
     for field, names in fields.items():
 
-        def values(texts: pd.Series, names: bool = names) -> pd.Series:
-            return texts.map(lambda t: split_packed(t, names))
-
-        split = F.pandas_udf(values, "array<string>")
+        split = _splitter(names)
         source: Column = F.col(field)
         rows = df.where(source.isNotNull() & (F.length(F.trim(source)) > 0)).select(*keys, source.alias("__text"))
         if known is not None and not names:
