@@ -90,8 +90,8 @@ WITH long AS (
          epoch_us(retrieved_at)::DOUBLE FROM canonical
   UNION ALL
   SELECT paper_id, rec_id, 'authors', authors::VARCHAR,
-         coalesce(len(list_filter(authors, x -> x IS NOT NULL AND lower(trim(x)) NOT IN ('', 'et al.', 'et al'))), 0),
-         CASE WHEN authors IS NULL THEN 0 WHEN len(list_filter(authors, x -> lower(trim(x)) IN ('', 'et al.', 'et al'))) = 0 THEN 2 ELSE 1 END
+         coalesce(len(list_filter(authors, lambda x: x IS NOT NULL AND lower(trim(x)) NOT IN ('', 'et al.', 'et al'))), 0),
+         CASE WHEN authors IS NULL THEN 0 WHEN len(list_filter(authors, lambda x: lower(trim(x)) IN ('', 'et al.', 'et al'))) = 0 THEN 2 ELSE 1 END
   FROM canonical
 ), groups AS (
   SELECT paper_id, field FROM long GROUP BY ALL
