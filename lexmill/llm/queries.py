@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import findings, matching, names, survivors, tokens, truncation
+from lexmill.llm import findings, matching, names, quality, scans, survivors, tokens, truncation
 from lexmill.session import table
 
 
@@ -44,6 +44,14 @@ def p4_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.link_names(table(spark, sf_dir, "canonical"), "authors")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.faults(table(spark, sf_dir, "papers"), table(spark, sf_dir, "venues"))
+
+
+def p5_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired(table(spark, sf_dir, "papers"), table(spark, sf_dir, "venues"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncated(table(spark, sf_dir, "search_records"), "hit_id", "abstract").select("hit_id")
 
@@ -63,11 +71,19 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", (F.col("back") == F.coalesce("given", F.lit(""))).alias("same"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.not_prose(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "common_words"))
+
+
+def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.statistics(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "common_words"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_confidence, p2_found, p2_records, p3_found, p3_clusters, p4_found, p4_entities, p6_found, p6_share,
-        p8_ids, p8_round_trip,
+        p1_found, p1_confidence, p2_found, p2_records, p3_found, p3_clusters, p4_found, p4_entities, p5_found, p5_text,
+        p6_found, p6_share, p8_ids, p8_round_trip, p10_found, p10_statistics,
     )
 }
 
