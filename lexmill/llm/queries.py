@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import findings, matching, names, quality, scans, survivors, tokens, truncation
+from lexmill.llm import findings, matching, names, packing, quality, scans, survivors, tokens, truncation
 from lexmill.session import table
 
 
@@ -71,6 +71,14 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", (F.col("back") == F.coalesce("given", F.lit(""))).alias("same"))
 
 
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.containers(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_limits"))
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill(p9_containers(spark, sf_dir), table(spark, sf_dir, "pack_limits"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_prose(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "common_words"))
 
@@ -83,7 +91,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_confidence, p2_found, p2_records, p3_found, p3_clusters, p4_found, p4_entities, p5_found, p5_text,
-        p6_found, p6_share, p8_ids, p8_round_trip, p10_found, p10_statistics,
+        p6_found, p6_share, p8_ids, p8_round_trip, p9_containers, p9_fill, p10_found, p10_statistics,
     )
 }
 
