@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm.names import Trie, fold
@@ -27,7 +27,9 @@ from lexmill.session import cut, spread
 SHARE, LEAST = 1 / 2000, 5
 #: Two words are synonyms if so many pairs of bags differ in them alone, and this share of the bags of the rarer word.
 SYNONYM_PAIRS, SYNONYM_SHARE = 3, 0.04
-BANDS, ROWS, NEXT = 80, 5, 8
+BANDS, ROWS, NEXT = 40, 5, 6
+#: Pairs of a bucket whose 64-bit sketches overlap less are dropped before the shuffle; a sketch overestimates.
+SKETCH = 0.33
 WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 
 
@@ -155,17 +157,34 @@ def _band_keys(bags: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def _sketches(bags: pd.Series) -> pd.Series:
+    """A bit for each word of a bag, in 64."""
+    out = []
+    for bag in bags:
+        bits = 0
+        for w in bag:
+            bits |= 1 << (zlib.crc32(w.encode()) & 63)
+        out.append(bits - (1 << 64) if bits >= 1 << 63 else bits)
+    return pd.Series(out)
+
+
 def similar(bags: DataFrame, key: str, least_jaccard: float) -> DataFrame:
     """(a, b, jaccard, contained): pairs of `key` a < b of similar distinct bags. `bags` has one row for each bag."""
     banded = bags.where(F.size("bag") > 0).select(
-        F.col(key).alias("id"), F.explode(F.pandas_udf(_band_keys, "array<long>")("bag")).alias("band")
+        F.struct(F.col(key).alias("id"), F.pandas_udf(_sketches, "long")("bag").alias("sketch")).alias("me"),
+        F.explode(F.pandas_udf(_band_keys, "array<long>")("bag")).alias("band"),
     )
-    order = Window.partitionBy("band").orderBy(F.xxhash64("id"), "id")
-    nexts = F.array(*[F.lead("id", i).over(order) for i in range(1, NEXT + 1)])
+    order = Window.partitionBy("band").orderBy(F.xxhash64("me.id"), "me.id")
+    nexts = F.array(*[F.lead("me", i).over(order) for i in range(1, NEXT + 1)])
+
+    def near(other: Column) -> Column:
+        x, y = F.col("me.sketch"), other["sketch"]
+        return other.isNotNull() & (F.bit_count(x.bitwiseAND(y)) >= SKETCH * F.bit_count(x.bitwiseOR(y)))
+
     pairs = (
-        banded.select("id", F.array_compact(nexts).alias("others"))
+        banded.select("me", F.filter(nexts, near).alias("others"))
         .where(F.size("others") > 0)
-        .select("id", F.explode("others").alias("other"))
+        .select(F.col("me.id").alias("id"), F.explode("others.id").alias("other"))
         .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
         .distinct()
     )
