@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import packed
+from lexmill.plans import identity, packed
 
-MODULES = [packed]
+MODULES = [packed, identity]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
