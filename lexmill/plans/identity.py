@@ -8,20 +8,11 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as X
 from lexmill.operators import identity as I
 from lexmill.operators.numbering import number_rows
+from lexmill.plans.base import Plans
 from lexmill.session import cut, table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return register
+plans = Plans()
+QUERIES, SQL, query = plans.queries, plans.sql, plans.query
 
 
 _KEYS = f"""

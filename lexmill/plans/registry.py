@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import identity, packed
+from lexmill.plans import identity, packed, scalars
 
-MODULES = [packed, identity]
+MODULES = [packed, identity, scalars]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
