@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import identity, packed, scalars
+from lexmill.plans import identity, packed, ranking, scalars
 
-MODULES = [packed, identity, scalars]
+MODULES = [packed, identity, scalars, ranking]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
