@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import aggregates, identity, packed, ranking, scalars
+from lexmill.plans import aggregates, identity, packed, passages, ranking, scalars
 
-MODULES = [packed, identity, scalars, ranking, aggregates]
+MODULES = [packed, identity, scalars, ranking, aggregates, passages]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
