@@ -145,8 +145,10 @@ def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose
     if n < 3 and not table:
         return "prose" if n and letters >= 0.7 * solid and n_lines == 1 and not _code(text) else "junk" if solid > 3 else "prose"
     # Repetition: one line, or one run of words, is most of the text.
-    if n_lines >= 4 and Counter(x.strip() for x in lines).most_common(1)[0][1] >= 0.5 * n_lines:
+    if n_lines >= 4 and Counter(x.strip() for x in lines).most_common(1)[0][1] >= max(3, 0.5 * n_lines):
         return "junk"
+    if n_lines >= 3 and sum(REFERENCE.search(x) is not None or LEADER.search(x) is not None for x in lines) >= 0.6 * n_lines and share < 0.2 and table < 0.5:
+        return "list"
     if n >= 20 and len(set(low)) <= 10 and Counter(zip(low, low[1:])).most_common(1)[0][1] >= 0.1 * n:
         return "junk"
     mean = letters / n if n else 0
