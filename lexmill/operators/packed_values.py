@@ -98,7 +98,7 @@ def split_packed(text: str | None, names: bool = False, known: frozenset[str] =
     if body[0] == "[" and body[-1] == "]" and '"' in body:
         return [v for v in (x.strip() for x, _, _ in scan(body[1:-1], frozenset(",;"))) if v]
     pieces = list(scan(text, frozenset(STRONG)))
-    plain = [v.strip() for v, _, _ in pieces if v.strip()]
+    plain = [v.strip() for v, _, q in pieces if v.strip() and (q or v.strip(" ,;|"))]
     if not names:
         if len([1 for _, d, _ in pieces if d]) or (len(pieces) == 1 and (pieces[0][2] and "," not in _outside(text))):
             return plain
