@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import aggregates, identity, packed, passages, ranking, scalars
+from lexmill.plans import aggregates, discovery, identity, packed, passages, ranking, reports, scalars
 
-MODULES = [packed, identity, scalars, ranking, aggregates, passages]
+MODULES = [packed, identity, scalars, ranking, aggregates, passages, discovery, reports]
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -12,8 +12,6 @@ from lexmill.session import table
 plans = Plans()
 QUERIES, SQL, query = plans.queries, plans.sql, plans.query
 
-#: Leading words that some exports put before an abstract.
-ABSTRACT_PREFIXES = ["abstract", "summary", "background", "objective", "methods", "introduction"]
 #: Types of concept, first match wins.
 CONCEPT_TYPES = [("assessment", "task"), ("detection", "task"), ("recognition", "task"), ("tracking", "task"), ("monitoring", "purpose"),
                  ("screening", "purpose"), ("feedback", "purpose"), ("planning", "purpose"), ("recovery", "purpose")]
@@ -74,11 +72,11 @@ def keywords_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "abstract_prefixes",
-    f"SELECT rec_id, md5(regexp_replace(trim(abstract), '(?i)^({'|'.join(ABSTRACT_PREFIXES)})[\\s:.—-]*', '')) AS abstract_md5 FROM canonical WHERE abstract IS NOT NULL",
+    f"SELECT rec_id, md5(regexp_replace(trim(abstract), '(?i)^({'|'.join(X.ABSTRACT_PREFIXES)})[\\s:.—-]*', '')) AS abstract_md5 FROM canonical WHERE abstract IS NOT NULL",
 )
 def abstract_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "canonical").where(F.col("abstract").isNotNull())
-    return rows.select("rec_id", F.md5(X.strip_prefixes(F.col("abstract"), ABSTRACT_PREFIXES)).alias("abstract_md5"))
+    return rows.select("rec_id", F.md5(X.strip_prefixes(F.col("abstract"), X.ABSTRACT_PREFIXES)).alias("abstract_md5"))
 
 
 _TOKENS = "list_filter(list_distinct(string_split({t}, ' ')), lambda x: length(x) >= 2)"

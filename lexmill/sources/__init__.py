@@ -1 +1 @@
-
+"""Readers of bibliographic exports, service payloads and manuscripts."""
