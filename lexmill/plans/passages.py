@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as X
 from lexmill.operators import greedy
 from lexmill.plans.base import Plans
-from lexmill.session import cut, table
+from lexmill.session import cut, spread, table
 
 plans = Plans()
 QUERIES, SQL, query = plans.queries, plans.sql, plans.query
@@ -92,7 +92,7 @@ def zone_scores(text: Column, section: Column) -> Column:
 def zoned(df: DataFrame, key: str, text: str, section: str) -> DataFrame:
     """(key, zone, confidence): the zone with most points, the first on ties."""
     # A generator of one row keeps the optimizer from writing the long expression into every place that uses it.
-    scored = df.select(key, F.explode(F.array(zone_scores(F.col(text), F.col(section)))).alias("points"))
+    scored = spread(df.select(key, text, section)).select(key, F.explode(F.array(zone_scores(F.col(text), F.col(section)))).alias("points"))
     best = F.array_max("points")
     at = F.array_position(F.col("points"), best)
     zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), at.cast("int"))
