@@ -97,6 +97,58 @@ QUERIES = {
 
 _FILLER = r"^\W*(no abstract( is)?( available)?|(the )?abstract( is)?( not available| unavailable| missing|:? none)|not available|unknown|none|null|n/?a|tba|tbd)?\W*$"
 
+
+
+def _cut_sql() -> str:
+    """The statement of `truncation` in the other engine's dialect."""
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    mark, stop, filler = q(truncation.MARK), q(truncation.STOP_MARK), q(truncation.FILLER)
+    clean = (
+        "regexp_replace(regexp_replace(regexp_replace(w, '[0-9]+', '#', 'g'), '^[^\\p{L}\\p{N}#]+', ''), '[^\\p{L}\\p{N}#%]+$', '')"
+    )
+    ends = q(r"[.!?][\"')\]”’]*$")
+    return f"""
+WITH texts AS (SELECT abstract AS t, lower(abstract) AS low FROM search_records WHERE abstract IS NOT NULL GROUP BY abstract),
+judged AS (
+  SELECT low, md5(t) AS id, regexp_matches(low, {mark}) AS marked, regexp_matches(low, {stop}) AS stopped,
+         length(regexp_replace(low, '[^(]', '', 'g')) > length(regexp_replace(low, '[^)]', '', 'g')) AS open
+  FROM texts WHERE NOT regexp_matches(low, {filler})
+), words AS (
+  SELECT id, marked, stopped, open, list_filter(list_transform(string_split_regex(regexp_replace(low, {mark}, ''), '\\s+'),
+    lambda w: {{'w': {clean}, 's': regexp_matches(w, {ends})}}), lambda x: x.w <> '') AS ws FROM judged
+), flat AS (
+  SELECT id, len(ws) AS n, unnest(ws) AS x, generate_subscripts(ws, 1) AS i, ws FROM words
+), placed AS (
+  SELECT id, n, i, x.w AS c, x.s AS s, CASE WHEN i > 1 THEN ws[i - 1].w ELSE '' END AS b, CASE WHEN i > 2 THEN ws[i - 2].w ELSE '' END AS a FROM flat
+), grams AS (
+  SELECT a, b, c, count(*) FILTER (WHERE NOT s AND i < n) AS goes, count(*) FILTER (WHERE s) AS closes, count(*) FILTER (WHERE NOT s AND i = n) AS bare FROM placed GROUP BY a, b, c
+), pairs AS (SELECT b, c, sum(goes) AS goes, sum(closes) AS closes FROM grams GROUP BY b, c),
+singles AS (SELECT c, sum(goes) AS goes, sum(closes) AS closes FROM pairs GROUP BY c),
+finals AS (
+  SELECT id, marked, stopped, open, ws[len(ws)].w AS c, CASE WHEN len(ws) > 1 THEN ws[len(ws) - 1].w ELSE '' END AS b,
+         CASE WHEN len(ws) > 2 THEN ws[len(ws) - 2].w ELSE '' END AS a FROM words WHERE len(ws) > 0
+), asked AS (SELECT DISTINCT a, b, c FROM finals WHERE NOT marked AND NOT open),
+by3 AS (
+  SELECT q.a, q.b, q.c, sum(CASE WHEN g.c = q.c THEN g.goes ELSE g.goes + g.closes END) AS goes, sum(CASE WHEN g.c = q.c THEN g.closes ELSE 0 END) AS closes,
+         sum(CASE WHEN g.c = q.c THEN g.bare ELSE 0 END) AS bare FROM asked q JOIN grams g ON q.a = g.a AND q.b = g.b AND starts_with(g.c, q.c) GROUP BY q.a, q.b, q.c
+), by2 AS (
+  SELECT q.b, q.c, sum(CASE WHEN g.c = q.c THEN g.goes ELSE g.goes + g.closes END) AS goes, sum(CASE WHEN g.c = q.c THEN g.closes ELSE 0 END) AS closes
+  FROM (SELECT DISTINCT b, c FROM asked) q JOIN pairs g ON q.b = g.b AND starts_with(g.c, q.c) GROUP BY q.b, q.c
+), counted AS (
+  SELECT f.*, t.goes AS g3, t.closes - f.stopped::INT AS s3, t.bare AS e3, d.goes AS g2, d.closes - f.stopped::INT AS s2, s.goes AS g1, s.closes - f.stopped::INT AS s1
+  FROM finals f LEFT JOIN by3 t ON f.a = t.a AND f.b = t.b AND f.c = t.c LEFT JOIN by2 d ON f.b = d.b AND f.c = d.c LEFT JOIN singles s ON f.c = s.c
+), decided AS (
+  SELECT id, CASE WHEN marked THEN 'mark' WHEN open THEN 'open bracket'
+    WHEN stopped THEN CASE WHEN g3 >= {truncation.LEAST_DOUBT} AND s3 = 0 AND g2 >= {truncation.LEAST_DOUBT} AND s2 = 0 THEN 'goes on' END
+    WHEN g3 + s3 > 0 THEN CASE WHEN s3 <= {truncation.MOST_CLOSING} * (g3 + s3) THEN 'goes on' END
+    WHEN e3 >= {truncation.USUAL} THEN NULL
+    WHEN g2 + s2 > 0 THEN CASE WHEN s2 <= {truncation.MOST_CLOSING} * (g2 + s2) THEN 'goes on' END
+    WHEN g1 + s1 > 0 THEN CASE WHEN s1 <= {truncation.MOST_CLOSING} * (g1 + s1) THEN 'goes on' END
+    ELSE 'torn word' END AS why FROM counted
+)
+SELECT r.hit_id FROM search_records r JOIN decided d ON md5(r.abstract) = d.id WHERE d.why IS NOT NULL"""
+
+
 SQL = {
     # A venue known by its full name wins, then the longest that is no filler; a text's length is cut by 40 for a visible cut.
     "p2_found": rf"""
@@ -128,4 +180,5 @@ WITH long AS (
 SELECT b.paper_id, b.field, min(l.rec_id) AS rec_id
 FROM best b JOIN long l ON b.paper_id = l.paper_id AND b.field = l.field AND b.value IS NOT DISTINCT FROM l.value
 WHERE b.r = 1 GROUP BY b.paper_id, b.field""",
+    "p6_found": _cut_sql(),
 }
