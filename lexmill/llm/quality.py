@@ -149,11 +149,12 @@ def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose
         return "junk"
     if n_lines >= 3 and sum(REFERENCE.search(x) is not None or LEADER.search(x) is not None for x in lines) >= 0.6 * n_lines and share < 0.2 and table < 0.5:
         return "list"
-    if n >= 20 and len(set(low)) <= 10 and Counter(zip(low, low[1:])).most_common(1)[0][1] >= 0.1 * n:
+    different = len(set(low))
+    if n >= 20 and different <= 10 and Counter(zip(low, low[1:])).most_common(1)[0][1] >= 0.1 * n or n >= 8 and different <= n / 4 and n_lines < 3:
         return "junk"
     mean = letters / n if n else 0
     vowels = sum(map("".join(low).count, "aeiouyàáâäåæèéêëìíîïòóôöøùúûüý"))
-    if (symbols > 0.3 and mean < 3 and table < 0.6) or (n >= 8 and share < 0.03 and vowels < 0.25 * letters and "".join(low).isascii()):
+    if (symbols > 0.3 and mean < 3 and table < 0.6) or (n >= 8 and share < 0.1 and vowels < 0.25 * letters and "".join(low).isascii()):
         return "junk"
     if listed >= 0.8 and n_lines >= 3 and share < 0.2 and mean >= 3 and table < 0.3:
         bits = [set(WORD.findall(x.lower())) for x in lines]

@@ -11,7 +11,7 @@ CASES = [
     ('[1] A. Ab, "gait", J. Test, vol. 3, pp. 1-2, 2004.\n[2] B. Bc, "pain", J. Test, vol. 4, pp. 3-4, 2005.\n[3] C. Cd, "sleep", J. Test, vol. 5, pp. 5-6, 2006.', "list"),
     ("name\tmean\tsd\ngait\t1.2\t0.4\npain\t3.1\t0.9", "table"), ("| a | b |\n| gait | 1.0 |\n| pain | 2.0 |", "table"), ("gait,1.2,0.4\npain,3.1,0.9\nsleep,2.2,0.8", "table"),
     ("gait          1.2     0.4\npain speed    3.1     0.9\nsleep         2.2     0.8", "table"), ("0.1 0.2 0.3\n0.4 0.5 0.6\n0.7 0.8 0.9", "table"),
-    ("Download PDF\n" * 9, "junk"), ("Accept all settings " * 20, "junk"), ("<div><span id=x></span></div> " * 12, "junk"), ("#@!%^&*()_+={}[]|<>~" * 8, "junk"),
+    ("Download PDF\n" * 9, "junk"), ("Accept all settings " * 20, "junk"), ("Download PDF " * 6, "junk"), ("<div><span id=x></span></div> " * 12, "junk"), ("#@!%^&*()_+={}[]|<>~" * 8, "junk"),
     ("A" * 50 + "b9/" + "Zx81+" * 60 + "==", "junk"), ("Home | Login | Share | Print | Contact\nAbout\nSitemap\nPrivacy", "junk"), ("vszclqqlfb bfvkddbkds dtdldfljxkt qrl fxf sdxrsfbj lwxkrtjd rt sct wrwtrlwq", "junk"),
     (None, None), ("", None), (" \n\t ", None),
 ]
