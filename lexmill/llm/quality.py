@@ -150,7 +150,7 @@ def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose
     if n_lines >= 3 and sum(REFERENCE.search(x) is not None or LEADER.search(x) is not None for x in lines) >= 0.6 * n_lines and share < 0.2 and table < 0.5:
         return "list"
     different = len(set(low))
-    if n >= 20 and different <= 10 and Counter(zip(low, low[1:])).most_common(1)[0][1] >= 0.1 * n or n >= 8 and different <= n / 4 and n_lines < 3:
+    if n >= 20 and different <= 10 and Counter(zip(low, low[1:])).most_common(1)[0][1] >= 0.1 * n or n >= 8 and different <= min(10, n / 4) and n_lines < 3:
         return "junk"
     mean = letters / n if n else 0
     vowels = sum(map("".join(low).count, "aeiouyàáâäåæèéêëìíîïòóôöøùúûüý"))
