@@ -174,7 +174,8 @@ def similar(bags: DataFrame, key: str, least_jaccard: float) -> DataFrame:
         F.struct(F.col(key).alias("id"), F.pandas_udf(_sketches, "long")("bag").alias("sketch")).alias("me"),
         F.explode(F.pandas_udf(_band_keys, "array<long>")("bag")).alias("band"),
     )
-    order = Window.partitionBy("band").orderBy(F.xxhash64("me.id"), "me.id")
+    # Another order in every band, so that in crowded buckets other neighbours meet.
+    order = Window.partitionBy("band").orderBy(F.xxhash64("me.id", "band"), "me.id")
     nexts = F.array(*[F.lead("me", i).over(order) for i in range(1, NEXT + 1)])
 
     def near(other: Column) -> Column:

@@ -101,6 +101,14 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
     for c in cells:
         delimiters.update(c.keys())
     usable = {d for d, k in delimiters.items() if k >= 0.6 * n_lines}
+    lengths = [len(x) for x in lines]
+    auto = _autocorrelation(lengths)
+    period = _period([len(x) - len(x.lstrip()) for x in lines])
+    # Wrapped prose fills its lines evenly; entries have lengths of their own.
+    full = lengths[:-1]
+    mean_length = sum(full) / max(1, len(full))
+    wrapped = n_lines >= 4 and mean_length > 45 and sum(abs(v - mean_length) for v in full) < 0.15 * mean_length * len(full)
+    indented = period >= 0.8
     for i, line in enumerate(lines):
         size = len(line)
         total += size
@@ -126,21 +134,18 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
             list_chars += size
         elif sentence:
             prose_chars += size
-        elif len(own) <= 8 and not STOPPED.search(line):
+        elif len(own) <= 8 and (not STOPPED.search(line) or indented) and not wrapped:
             list_chars += size
         elif len(own) >= 4 and (known or n_lines > 1):
             prose_chars += size
-    lengths = [len(x) for x in lines]
-    auto = _autocorrelation(lengths)
-    period = _period([len(x) - len(x.lstrip()) for x in lines])
-    kind = _kind(text, lines, low, share, symbols, letters, solid, table_chars / total, list_chars / total, prose_chars / total)
+    kind = _kind(text, lines, low, share, symbols, letters, solid, table_chars / total, list_chars / total, prose_chars / total, auto)
     return (
         n, round(letters / n, 6) if n else 0.0, round(symbols, 6), round(stopped, 6), round(share, 6), round(aligned / n_lines, 6),
         round(marked / n_lines, 6), round(auto, 6), round(period, 6), kind,
     )
 
 
-def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose) -> str:
+def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose, auto) -> str:
     n, n_lines = len(low), len(lines)
     if n < 3 and not table:
         return "prose" if n and letters >= 0.7 * solid and n_lines == 1 and not _code(text) else "junk" if solid > 3 else "prose"
@@ -185,7 +190,8 @@ def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose
         return "prose"
     if table >= listed:
         return "table" if table >= 0.5 else "prose" if share >= 0.15 else "list"
-    if share >= 0.22 and prose >= 0.3:
+    # Where prose and entries are mixed, paragraphs show in line lengths that follow each other.
+    if share >= 0.22 and prose >= 0.3 or n_lines >= 6 and auto >= 0.5 and prose >= 0.8 * listed and share >= 0.12:
         return "prose"
     if listed >= 0.5 and n_lines == 1:
         parts = [p for p in re.split(r"[;|•·]|,\s", text) if p.strip()]
