@@ -462,3 +462,6 @@ def nation_revenue(spark: SparkSession, sf: str) -> DataFrame:
 )
 def event_windows(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
+plans.integers({"evidence_index": ["place"]})

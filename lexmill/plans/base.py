@@ -18,3 +18,9 @@ class Plans:
             return f
 
         return register
+
+    def integers(self, columns: dict[str, list[str]]) -> None:
+        """The SQL twins give these columns in 64 bits; cast them to what the plans give."""
+        for name, names in columns.items():
+            casts = ", ".join(f"{c}::INT AS {c}" for c in names)
+            self.sql[name] = f"SELECT * REPLACE ({casts}) FROM ({self.sql[name]}) AS twin"

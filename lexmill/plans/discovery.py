@@ -303,3 +303,6 @@ def summaries(spark: SparkSession, sf: str) -> DataFrame:
     empty = spark.createDataFrame([], "key string, answer string")
     answers, _ = providers.cached(table(spark, sf, "documents"), "text", empty, providers.first_sentences(), "string")
     return answers
+
+
+plans.integers({"news_focus_top": ["rank"], "sections_parsed": ["results_length"]})

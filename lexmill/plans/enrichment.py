@@ -226,3 +226,6 @@ def split_clusters(spark: SparkSession, sf: str) -> DataFrame:
     scored = clusters.join(first, "cluster").select("cluster", "vec_id", dot(F.col("embedding"), F.col("f")).alias("s"))
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("s"), "vec_id"))
     return scored.select("cluster", "vec_id", F.floor((place - 1) / 10).alias("part"))
+
+
+plans.integers({"sentence_chunks": ["n"]})

@@ -419,3 +419,6 @@ def semantic_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def agglomerative_clusters(spark: SparkSession, sf: str) -> DataFrame:
     """Average-linkage clusters of each label's vectors by a distance threshold that depends on their number."""
     return greedy.average_linkage(table(spark, sf, "embeddings"), "label", "vec_id", "embedding")
+
+
+plans.integers({"paragraphs": ["n"], "sentences": ["n"], "tfidf_top_terms": ["rank"], "lexical_filter": ["hits"], "corpus_cleaning": ["n"], "chunk_builder": ["n"]})

@@ -275,3 +275,6 @@ def section_filter(spark: SparkSession, sf: str) -> DataFrame:
     )
     score = F.round(0.6 * dot(F.col("embedding"), F.col("study")) + 0.4 * dot(F.col("embedding"), F.col("focus")), 5)
     return rows.where("vec_id >= 8").join(F.broadcast(asked)).select(F.col("vec_id").alias("topic"), score.alias("score")).where("score >= 0.05")
+
+
+plans.integers({"rank_threshold": ["rank"], "rank_stream_quota": ["place"], "rank_overflow": ["place"], "top_objectives": ["rank"], "evidence_selection": ["rank"]})

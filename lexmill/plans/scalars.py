@@ -309,3 +309,6 @@ def venue_from_doi(spark: SparkSession, sf: str) -> DataFrame:
     doi = X.normalize_doi(F.col("doi"))
     parts = F.split(F.element_at(F.split(doi, "/"), -1), r"\.")
     return table(spark, sf, "canonical").where(doi.contains("/")).select("rec_id", parts[0].alias("kind"), F.get(parts, F.lit(1)).try_cast("int").alias("doi_year"))
+
+
+plans.integers({"text_normalised": ["n"], "sufficient_text": ["n"], "corpus_quality": ["words", "chars"]})
