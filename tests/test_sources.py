@@ -85,3 +85,19 @@ def test_manuscripts(spark):
     assert manuscripts.citation_contexts(tex) == [(k, "We follow \\cite{cole20,dorn} as in e.g. other work, and more.") for k in ("cole20", "dorn")]
     assert manuscripts.read_bibtex(spark.createDataFrame([(bib,), (None,)], "text string")).count() == 3
     assert manuscripts.read_contexts(spark.createDataFrame([(tex,), (None,)], "text string")).count() == 2
+
+
+def test_news(spark):
+    from lexmill.sources import news
+
+    body = "word " * 40
+    answer = '{"articles": [{"title": "A", "description": "%s", "url": "u1"}, {"title": "B", "content": "short", "url": "u2"}]}' % body
+    rows = news.json_articles(spark.createDataFrame([(answer,), ("broken",), (None,)], "payload string")).collect()
+    assert [r.title for r in rows] == ["A"] and len(rows[0].doc_id) == 8
+    feed = f"<rss><item><title>C</title><description>&lt;p&gt;{body * 40}&lt;/p&gt;</description><link>u3</link></item></rss>"
+    rows = news.rss_articles(spark.createDataFrame([(feed,)], "payload string")).collect()
+    assert rows[0].title == "C" and len(rows[0].text) == news.MOST_TEXT and "<p>" not in rows[0].text
+    files = spark.createDataFrame([(1,)], "a int")
+    assert [r.origin for r in news.degrade(None, files).collect()] == ["file"]
+    assert [r.origin for r in news.degrade(files.limit(0), files).collect()] == ["file"]
+    assert [r.origin for r in news.degrade(files, files).collect()] == ["api"]
