@@ -134,27 +134,32 @@ def learn(df: DataFrame, key: str, text: str, tokens: Callable[[str], list[str]]
     return cut(first.select(key, F.pandas_udf(run, "array<string>")("bag").alias("bag")))
 
 
-def _band_keys(bags: pd.Series) -> pd.Series:
-    rng = np.random.RandomState(7)
-    a = rng.randint(1, 2**31 - 1, BANDS * ROWS, dtype=np.int64)
-    b = rng.randint(0, 2**31 - 1, BANDS * ROWS, dtype=np.int64)
-    prime = np.int64(2**31 - 1)
-    hashes: dict[str, np.ndarray] = {}
-    out = []
-    mix = rng.randint(1, 2**62, ROWS, dtype=np.int64)
-    band = np.arange(BANDS, dtype=np.int64) << np.int64(55)
-    with np.errstate(over="ignore"):
-        for bag in bags:
-            rows = []
-            for w in bag:
-                h = hashes.get(w)
-                if h is None:
-                    h = hashes[w] = (a * np.int64(zlib.crc32(w.encode()) & 0x7FFFFFFF) + b) % prime
-                rows.append(h)
-            least = np.min(rows, axis=0).reshape(BANDS, ROWS)
-            keys = (least * mix).sum(axis=1)
-            out.append(((keys & np.int64((1 << 55) - 1)) | band).tolist())
-    return pd.Series(out)
+def _band_keys(bands: int):
+    def keys_of(bags: pd.Series) -> pd.Series:
+        rng = np.random.RandomState(7)
+        a = rng.randint(1, 2**31 - 1, bands * ROWS, dtype=np.int64)
+        b = rng.randint(0, 2**31 - 1, bands * ROWS, dtype=np.int64)
+        prime = np.int64(2**31 - 1)
+        hashes: dict[str, np.ndarray] = {}
+        out = []
+        mix = rng.randint(1, 2**62, ROWS, dtype=np.int64)
+        band = np.arange(bands, dtype=np.int64) << np.int64(55)
+        with np.errstate(over="ignore"):
+            for bag in bags:
+                rows = []
+                for w in bag:
+                    h = hashes.get(w)
+                    if h is None:
+                        h = hashes[w] = (a * np.int64(zlib.crc32(w.encode()) & 0x7FFFFFFF) + b) % prime
+                    rows.append(h)
+                least = np.min(rows, axis=0).reshape(bands, ROWS)
+                keys = (least * mix).sum(axis=1)
+                out.append(((keys & np.int64((1 << 55) - 1)) | band).tolist())
+                if len(hashes) > 20_000:
+                    hashes.clear()
+        return pd.Series(out)
+
+    return F.pandas_udf(keys_of, "array<long>")
 
 
 def _sketches(bags: pd.Series) -> pd.Series:
@@ -168,11 +173,11 @@ def _sketches(bags: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def similar(bags: DataFrame, key: str, least_jaccard: float) -> DataFrame:
+def similar(bags: DataFrame, key: str, least_jaccard: float, bands: int = BANDS, sketch: float = SKETCH) -> DataFrame:
     """(a, b, jaccard, contained): pairs of `key` a < b of similar distinct bags. `bags` has one row for each bag."""
     banded = bags.where(F.size("bag") > 0).select(
         F.struct(F.col(key).alias("id"), F.pandas_udf(_sketches, "long")("bag").alias("sketch")).alias("me"),
-        F.explode(F.pandas_udf(_band_keys, "array<long>")("bag")).alias("band"),
+        F.explode(_band_keys(bands)("bag")).alias("band"),
     )
     # Another order in every band, so that in crowded buckets other neighbours meet.
     order = Window.partitionBy("band").orderBy(F.xxhash64("me.id", "band"), "me.id")
@@ -180,7 +185,7 @@ def similar(bags: DataFrame, key: str, least_jaccard: float) -> DataFrame:
 
     def near(other: Column) -> Column:
         x, y = F.col("me.sketch"), other["sketch"]
-        return other.isNotNull() & (F.bit_count(x.bitwiseAND(y)) >= SKETCH * F.bit_count(x.bitwiseOR(y)))
+        return other.isNotNull() & (F.bit_count(x.bitwiseAND(y)) >= sketch * F.bit_count(x.bitwiseOR(y)))
 
     pairs = (
         banded.select("me", F.filter(nexts, near).alias("others"))
