@@ -27,6 +27,8 @@ from lexmill.session import cut, spread
 SHARE, LEAST = 1 / 2000, 5
 #: Two words are synonyms if so many pairs of bags differ in them alone, and this share of the bags of the rarer word.
 SYNONYM_PAIRS, SYNONYM_SHARE = 3, 0.04
+#: Words that stand beside each other so often, and in this share of their texts, are one.
+TOGETHER_LEAST, TOGETHER = 20, 0.85
 BANDS, ROWS, NEXT = 40, 5, 6
 #: Pairs of a bucket whose 64-bit sketches overlap less are dropped before the shuffle; a sketch overestimates.
 SKETCH = 0.33
@@ -71,7 +73,7 @@ def corrector(known: dict[str, int]) -> Callable[[str], str]:
 
 
 def canonical(docs: DataFrame, key: str, known: dict[str, int], same: dict[str, str]) -> DataFrame:
-    """(key, bag): the sorted distinct canonical words of each text."""
+    """(key, bag): the distinct canonical words of each text, in order of first occurrence."""
     shared = docs.sparkSession.sparkContext.broadcast((known, same))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,8 +82,7 @@ def canonical(docs: DataFrame, key: str, known: dict[str, int], same: dict[str,
         for batch in batches:
             bags = []
             for words in batch["tokens"]:
-                read_words = {read(w) for w in words}
-                bags.append(sorted({same.get(w, w) for w in read_words}))
+                bags.append(list(dict.fromkeys(same.get(r, r) for r in map(read, words))))
             yield pd.DataFrame({key: batch[key], "bag": bags})
 
     kind = dict(docs.dtypes)[key]
@@ -92,7 +93,7 @@ def synonyms(bags: DataFrame, known: dict[str, int]) -> dict[str, str]:
     """Vocabulary word -> the most frequent word of its class of synonyms."""
     spark = bags.sparkSession
     words = F.broadcast(spark.createDataFrame([(w,) for w in known] or [("",)], "w string"))
-    distinct = bags.select("bag").distinct().where(F.size("bag") > 3)
+    distinct = bags.select(F.sort_array("bag").alias("bag")).distinct().where(F.size("bag") > 3)
     holes = distinct.select(F.explode("bag").alias("w"), "bag").join(words, "w")
     holes = holes.select("w", F.xxhash64(F.array_remove("bag", F.col("w"))).alias("rest"))
     # What fills one hole is a set of vocabulary words, bounded like the vocabulary.
@@ -119,19 +120,53 @@ def synonyms(bags: DataFrame, known: dict[str, int]) -> dict[str, str]:
     return {w: find(w) for w in root}
 
 
+def collocations(bags: DataFrame, known: dict[str, int]) -> dict[str, str]:
+    """Vocabulary word -> the first of the words that it always stands beside.
+
+    Such words say one thing; counted as several they would make texts alike that share it by chance.
+    """
+    ends = F.slice("bag", 2, F.size("bag"))
+    beside = F.filter(F.zip_with("bag", ends, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["b"].isNotNull())
+    pairs = bags.where(F.size("bag") > 1).select(F.explode(beside).alias("p")).groupBy("p.a", "p.b").count()
+    words = bags.select(F.explode("bag").alias("w")).groupBy("w").count()
+    one, two = words.toDF("a", "na"), words.toDF("b", "nb")
+    fixed = pairs.join(one, "a").join(two, "b").where(
+        (F.col("count") >= TOGETHER_LEAST) & (F.col("count") >= TOGETHER * F.greatest("na", "nb"))
+    )
+    root: dict[str, str] = {}
+    for a, b in sorted((r["a"], r["b"]) for r in fixed.collect() if r["a"] in known and r["b"] in known):
+        root[b] = a
+
+    def find(w: str) -> str:
+        seen = set()
+        while w in root and w not in seen:
+            seen.add(w)
+            w = root[w]
+        return w
+
+    return {w: find(w) for w in root}
+
+
+def _mapped(words: DataFrame, key: str, names: dict[str, str], order: bool) -> DataFrame:
+    shared = words.sparkSession.sparkContext.broadcast(names)
+
+    def run(bags: pd.Series) -> pd.Series:
+        names = shared.value
+        if order:
+            return bags.map(lambda ws: list(dict.fromkeys(names.get(w, w) for w in ws)))
+        return bags.map(lambda ws: sorted({names.get(w, w) for w in ws}))
+
+    return words.select(key, F.pandas_udf(run, "array<string>")("bag").alias("bag"))
+
+
 def learn(df: DataFrame, key: str, text: str, tokens: Callable[[str], list[str]]) -> DataFrame:
-    """(key, bag) of every row with a text, with misspellings and synonyms resolved; kept in the checkpoint folder."""
+    """(key, bag) of every row with a text: sorted canonical words, with misspellings, synonyms and words that always stand
+    together resolved; kept in the checkpoint folder."""
     docs = cut(tokenised(df, key, text, tokens))
     known = vocabulary(docs)
     first = cut(canonical(docs, key, known, {}))
-    same = synonyms(first, known)
-    shared = df.sparkSession.sparkContext.broadcast(same)
-
-    def run(bags: pd.Series) -> pd.Series:
-        same = shared.value
-        return bags.map(lambda ws: sorted({same.get(w, w) for w in ws}))
-
-    return cut(first.select(key, F.pandas_udf(run, "array<string>")("bag").alias("bag")))
+    second = cut(_mapped(first, key, synonyms(first, known), True))
+    return cut(_mapped(second, key, collocations(second, known), False))
 
 
 def _band_keys(bands: int):
