@@ -147,6 +147,29 @@ def collocations(bags: DataFrame, known: dict[str, int]) -> dict[str, str]:
     return {w: find(w) for w in root}
 
 
+def implied(bags: DataFrame, known: dict[str, int]) -> dict[str, set[str]]:
+    """Word -> the words that follow it nearly always, and so say nothing there ("encoding model")."""
+    ends = F.slice("bag", 2, F.size("bag"))
+    beside = F.filter(F.zip_with("bag", ends, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["b"].isNotNull())
+    pairs = bags.where(F.size("bag") > 1).select(F.explode(beside).alias("p")).groupBy("p.a", "p.b").count()
+    out: dict[str, set[str]] = {}
+    for a, b, n in pairs.where(F.col("count") >= TOGETHER_LEAST).collect():
+        if a in known and b in known and n >= TOGETHER * known[a]:
+            out.setdefault(a, set()).add(b)
+    return out
+
+
+def _without_implied(words: DataFrame, key: str, after: dict[str, set[str]]) -> DataFrame:
+    shared = words.sparkSession.sparkContext.broadcast(after)
+
+    def run(bags: pd.Series) -> pd.Series:
+        after = shared.value
+        none: set[str] = set()
+        return bags.map(lambda ws: [w for i, w in enumerate(ws) if i == 0 or w not in after.get(ws[i - 1], none)])
+
+    return words.select(key, F.pandas_udf(run, "array<string>")("bag").alias("bag"))
+
+
 def _mapped(words: DataFrame, key: str, names: dict[str, str], order: bool) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(names)
 
@@ -164,7 +187,8 @@ def learn(df: DataFrame, key: str, text: str, tokens: Callable[[str], list[str]]
     together resolved; kept in the checkpoint folder."""
     docs = cut(tokenised(df, key, text, tokens))
     known = vocabulary(docs)
-    first = cut(canonical(docs, key, known, {}))
+    read = cut(canonical(docs, key, known, {}))
+    first = cut(_without_implied(read, key, implied(read, known)))
     second = cut(_mapped(first, key, synonyms(first, known), True))
     return cut(_mapped(second, key, collocations(second, known), False))
 
