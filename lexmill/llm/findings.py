@@ -4,7 +4,8 @@ Texts become bags of canonical words (see `bags`); reporting phrases, figures an
 are the nodes of a similarity graph; equal bags are one node, so a finding repeated any number of times costs one node.
 Markov clustering then alternates, on the distributed sparse matrix of flows: squaring (a join and a sum), inflation,
 pruning of small entries and normalisation of columns. The rows that keep the flow are attractors and define the
-clusters; the members that send them the strongest flow, weighted by their similarity to the concept, represent them.
+clusters. An entry is small against the largest of its column, so no column is ever emptied and no node is lost, however
+many texts are alike. The members that send them the strongest flow, weighted by their similarity to the concept, represent them.
 
 Defined results: null, empty and blank texts are in no cluster; a text of reporting words alone is known by its plain
 words; repeated rows share a cluster; similarities outside 0..1 and nulls count as the least; ties go to the smallest
@@ -58,28 +59,33 @@ def markov(edges: DataFrame) -> DataFrame:
         left = matrix.select("i", F.col("j").alias("k"), F.col("v").alias("u"))
         right = matrix.select(F.col("i").alias("k"), "j", "v")
         squared = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("u") * F.col("v")).alias("v"))
-        inflated = _columns(squared.select("i", "j", F.pow("v", F.lit(INFLATION)).alias("v")))
-        grown = cut(_columns(inflated.where(F.col("v") >= PRUNE)))
+        grown = cut(_columns(_pruned(squared.select("i", "j", F.pow("v", F.lit(INFLATION)).alias("v")))))
+        change = F.abs(F.coalesce("v", F.lit(0.0)) - F.coalesce("u", F.lit(0.0))) / F.coalesce("top", "before")
         moved = (
-            grown.join(matrix.withColumnRenamed("v", "u"), ["i", "j"], "full")
-            .agg(F.max(F.abs(F.coalesce("v", F.lit(0.0)) - F.coalesce("u", F.lit(0.0)))))
-            .first()[0]
+            grown.join(matrix.withColumnsRenamed({"v": "u", "top": "before"}), ["i", "j"], "full").agg(F.max(change)).first()[0]
         )
         matrix = grown
         if not moved or moved < SETTLED:
             break
-    # Rounded flows, so that equal attractors tie and the smallest id takes all.
-    ranked = F.struct(F.round("v", 4).alias("v"), (-F.col("i")).alias("least"))
-    best = cut(matrix.groupBy(F.col("j").alias("node")).agg(F.max(ranked).alias("best")))
-    best = best.select("node", (-F.col("best.least")).alias("to"), F.col("best.v").alias("flow"))
+    # Flows rounded against the column's largest, so that equal attractors tie and the smallest id takes all.
+    ranked = F.struct(F.round(F.col("v") / F.col("top"), 4).alias("v"), (-F.col("i")).alias("least"))
+    best = cut(matrix.groupBy(F.col("j").alias("node")).agg(F.max(ranked).alias("best"), F.max("top").alias("top")))
+    best = best.select("node", (-F.col("best.least")).alias("to"), F.round("top", 4).alias("flow"))
     onward = best.select(F.col("node").alias("to"), F.col("to").alias("cluster"))
     return best.join(onward, "to").select("node", "cluster", "flow")
 
 
 def _columns(matrix: DataFrame) -> DataFrame:
-    """The matrix with every column summing to 1; a join on sums that were combined before the shuffle."""
-    total = matrix.groupBy("j").agg(F.sum("v").alias("total"))
-    return matrix.join(total, "j").select("i", "j", (F.col("v") / F.col("total")).alias("v"))
+    """The matrix with every column summing to 1, and its largest entry; a join on sums that were combined before the shuffle."""
+    total = matrix.groupBy("j").agg(F.sum("v").alias("total"), F.max("v").alias("top"))
+    share = lambda c: (F.col(c) / F.col("total")).alias(c)
+    return matrix.join(total, "j").select("i", "j", share("v"), share("top"))
+
+
+def _pruned(matrix: DataFrame) -> DataFrame:
+    """The matrix without the entries that are small against the largest of their column, which always stays."""
+    top = matrix.groupBy("j").agg(F.max("v").alias("top"))
+    return matrix.join(top, "j").where(F.col("v") >= PRUNE * F.col("top")).select("i", "j", "v")
 
 
 def cluster_texts(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -62,3 +62,14 @@ def test_markov_separates_two_cliques_with_a_bridge(spark):
     edges += [(0, 10, 0.2), (10, 0, 0.2)]
     got = {r.node: r.cluster for r in G.markov(spark.createDataFrame(edges, "i long, j long, w double")).collect()}
     assert len({got[i] for i in left}) == len({got[i] for i in right}) == 1 and got[0] != got[10]
+
+
+def test_large_cliques_lose_no_node(spark):
+    rng = random.Random(3)
+    for n, weight in ((300, lambda: 0.9), (150, lambda: rng.uniform(0.64, 0.95))):
+        edges = [(i, i, 1.0) for i in range(n)]
+        for a, b in itertools.combinations(range(n), 2):
+            w = weight()
+            edges += [(a, b, w), (b, a, w)]
+        got = G.markov(spark.createDataFrame(edges, "i long, j long, w double")).collect()
+        assert sorted(r.node for r in got) == list(range(n)) and len({r.cluster for r in got}) == 1
