@@ -5,19 +5,18 @@
 * A word outside it that is one edit from exactly one or more vocabulary words is read as the most frequent of these.
 * Two vocabulary words are synonyms if many pairs of texts differ in nothing but these two words.
 
-Similar bags are found by MinHash bands; inside a bucket, bags sorted by another hash are compared with their
-neighbours, so a crowded bucket costs no more than its share, and every pair found is checked on its whole bags.
+Similar bags are found exactly. With the words of every bag in one order, rarest first, two bags that share enough for
+the thresholds share one of the first few words; bags that do so are compared, those of a frequent word in blocks of
+bounded size. Bit sketches, which bound what two bags can share from above, and then the whole bags decide.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.names import Trie, fold
@@ -29,9 +28,8 @@ SHARE, LEAST = 1 / 2000, 5
 SYNONYM_PAIRS, SYNONYM_SHARE = 3, 0.04
 #: Words that stand beside each other so often, and in this share of their texts, are one.
 TOGETHER_LEAST, TOGETHER = 20, 0.85
-BANDS, ROWS, NEXT = 40, 5, 6
-#: Pairs of a bucket whose 64-bit sketches overlap less are dropped before the shuffle; a sketch overestimates.
-SKETCH = 0.33
+#: Bags of one word that a block holds at most, about, and pairs of blocks that a task compares, about.
+BLOCK, CELLS = 2048, 2000
 WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 
 
@@ -193,74 +191,82 @@ def learn(df: DataFrame, key: str, text: str, tokens: Callable[[str], list[str]]
     return cut(_mapped(second, key, collocations(second, known), False))
 
 
-def _band_keys(bands: int):
-    def keys_of(bags: pd.Series) -> pd.Series:
-        rng = np.random.RandomState(7)
-        a = rng.randint(1, 2**31 - 1, bands * ROWS, dtype=np.int64)
-        b = rng.randint(0, 2**31 - 1, bands * ROWS, dtype=np.int64)
-        prime = np.int64(2**31 - 1)
-        hashes: dict[str, np.ndarray] = {}
-        out = []
-        mix = rng.randint(1, 2**62, ROWS, dtype=np.int64)
-        band = np.arange(bands, dtype=np.int64) << np.int64(55)
-        with np.errstate(over="ignore"):
-            for bag in bags:
-                rows = []
-                for w in bag:
-                    h = hashes.get(w)
-                    if h is None:
-                        h = hashes[w] = (a * np.int64(zlib.crc32(w.encode()) & 0x7FFFFFFF) + b) % prime
-                    rows.append(h)
-                least = np.min(rows, axis=0).reshape(bands, ROWS)
-                keys = (least * mix).sum(axis=1)
-                out.append(((keys & np.int64((1 << 55) - 1)) | band).tolist())
-                if len(hashes) > 20_000:
-                    hashes.clear()
-        return pd.Series(out)
-
-    return F.pandas_udf(keys_of, "array<long>")
-
-
-def _sketches(bags: pd.Series) -> pd.Series:
-    """A bit for each word of a bag, in 64."""
-    out = []
-    for bag in bags:
-        bits = 0
-        for w in bag:
-            bits |= 1 << (zlib.crc32(w.encode()) & 63)
-        out.append(bits - (1 << 64) if bits >= 1 << 63 else bits)
-    return pd.Series(out)
-
-
-def similar(bags: DataFrame, key: str, least_jaccard: float, bands: int = BANDS, sketch: float = SKETCH) -> DataFrame:
-    """(a, b, jaccard, contained): pairs of `key` a < b of similar distinct bags. `bags` has one row for each bag."""
-    banded = bags.where(F.size("bag") > 0).select(
-        F.struct(F.col(key).alias("id"), F.pandas_udf(_sketches, "long")("bag").alias("sketch")).alias("me"),
-        F.explode(_band_keys(bands)("bag")).alias("band"),
-    )
-    # Another order in every band, so that in crowded buckets other neighbours meet.
-    order = Window.partitionBy("band").orderBy(F.xxhash64("me.id", "band"), "me.id")
-    nexts = F.array(*[F.lead("me", i).over(order) for i in range(1, NEXT + 1)])
+def _shared_at_most(x: str, y: str) -> Column:
+    """A bound on the words that two bags share: a bit of one sketch that the other lacks is a word that the other lacks."""
+    def lacks(p: str, q: str) -> Column:
+        return sum((F.bit_count(F.col(f"{p}.s{i}").bitwiseAND(F.bitwise_not(F.col(f"{q}.s{i}")))) for i in (0, 1)), F.lit(0))
+
+    return F.least(F.col(f"{x}.n") - lacks(x, y), F.col(f"{y}.n") - lacks(y, x))
+
+
+def _postings(sized: DataFrame, me: str, need: Column, block: str) -> DataFrame:
+    """(w, block, me): each bag under those of its rarest words of which it must share one to share `need` words."""
+    first = F.slice("bag", 1, F.greatest(F.col("n") - need + 1, F.lit(0)).cast("int"))
+    rows = sized.select(F.struct("n", "id", "s0", "s1").alias(me), F.explode(first).alias("w"))
+    return rows.withColumn(block, F.xxhash64(f"{me}.id"))
+
 
-    def near(other: Column) -> Column:
-        x, y = F.col("me.sketch"), other["sketch"]
-        return other.isNotNull() & (F.bit_count(x.bitwiseAND(y)) >= sketch * F.bit_count(x.bitwiseOR(y)))
+def similar(
+    bags: DataFrame, key: str, least_jaccard: float, contained: float = 0.0, shared: int = 1, sure: float | None = None
+) -> DataFrame:
+    """(a, b, jaccard, contained, shared): all pairs of `key` a < b of similar distinct bags; `bags` has one row for each bag.
 
+    Pairs of a Jaccard similarity of `least_jaccard` are similar if they share `contained` of the smaller bag and `shared`
+    words, or have a Jaccard similarity of `sure`.
+    """
+    words = bags.select(F.col(key).alias("id"), F.explode(F.array_distinct("bag")).alias("w"))
+    ranked = words.join(words.groupBy("w").agg(F.count("*").alias("df")), "w")
+    ranked = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
+    bit = "aggregate(bag, 0L, (s, w) -> s | if(pmod(xxhash64(w), 128) div 64 = {0}, shiftleft(1L, cast(pmod(xxhash64(w), 64) as int)), 0L))"
+    sized = cut(
+        ranked.select("id", F.transform("ws", lambda x: x["w"]).alias("bag"), F.size("ws").alias("n"))
+        .select("id", "bag", "n", F.expr(bit.format(0)).alias("s0"), F.expr(bit.format(1)).alias("s1"))
+    )
+    least = lambda share: F.ceil(F.col("n") * share - 1e-9)
+    as_small = F.greatest(least(contained), least(2 * least_jaccard / (1 + least_jaccard)), F.lit(max(shared, 1)))
+    as_large = F.greatest(least(least_jaccard), F.lit(max(shared, 1)))
+    if sure is not None:
+        as_small = F.least(as_small, F.greatest(least(2 * sure / (1 + sure)), F.lit(1)))
+        as_large = F.least(as_large, F.greatest(least(sure), F.lit(1)))
+    small, large = _postings(sized, "x", as_small, "i"), _postings(sized, "y", as_large, "k")
+    # The bags of a word meet in pairs of blocks; most words have one block.
+    blocks = (
+        small.select("w", F.lit(1).alias("p"), F.lit(0).alias("q"))
+        .unionByName(large.select("w", F.lit(0).alias("p"), F.lit(1).alias("q")))
+        .groupBy("w")
+        .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+        .where((F.col("p") > 0) & (F.col("q") > 0))
+        .select("w", F.ceil(F.col("p") / BLOCK).alias("of_i"), F.ceil(F.col("q") / BLOCK).alias("of_k"))
+    )
+    blocks = cut(blocks)
+    cells = blocks.agg(F.sum(F.col("of_i") * F.col("of_k"))).first()[0] or 0
+    many = max(2 * bags.sparkSession.sparkContext.defaultParallelism, cells // CELLS)
+
+    def placed(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        all_of = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"of_{other}") - 1))
+        rows = rows.join(blocks, "w").withColumn(mine, F.pmod(mine, f"of_{mine}")).withColumn(other, all_of)
+        return rows.drop("of_i", "of_k").repartition(many, "w", "i", "k")
+
+    def enough(n: Column, na: Column, nb: Column) -> Column:
+        jaccard = n / (na + nb - n)
+        alike = (n >= contained * F.least(na, nb) - 1e-9) & (n >= shared)
+        return (jaccard >= least_jaccard) & (alike if sure is None else alike | (jaccard >= sure))
+
+    order = lambda me: F.struct(F.col(f"{me}.n"), F.col(f"{me}.id"))
+    met = placed(small, "i", "k").join(placed(large, "k", "i"), ["w", "i", "k"]).where(order("x") < order("y"))
     pairs = (
-        banded.select("me", F.filter(nexts, near).alias("others"))
-        .where(F.size("others") > 0)
-        .select(F.col("me.id").alias("id"), F.explode("others.id").alias("other"))
-        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        met.where(enough(_shared_at_most("x", "y"), F.col("x.n"), F.col("y.n")))
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )
-    left = bags.select(F.col(key).alias("a"), F.col("bag").alias("bag_a"))
-    right = bags.select(F.col(key).alias("b"), F.col("bag").alias("bag_b"))
+    left = sized.select(F.col("id").alias("a"), F.col("bag").alias("bag_a"))
+    right = sized.select(F.col("id").alias("b"), F.col("bag").alias("bag_b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("n", F.size(F.array_intersect("bag_a", "bag_b")))
     na, nb = F.size("bag_a"), F.size("bag_b")
-    return both.select(
+    return both.where(enough(F.col("n"), na, nb)).select(
         "a", "b", (F.col("n") / (na + nb - F.col("n"))).alias("jaccard"), (F.col("n") / F.least(na, nb)).alias("contained"),
         F.col("n").alias("shared"),
-    ).where(F.col("jaccard") >= least_jaccard)
+    )
 
 
 def plain_words(text: str) -> list[str]:

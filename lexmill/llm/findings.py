@@ -94,9 +94,7 @@ def cluster_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     bagged = bags.learn(rows, key, text, finding_words).where(F.size("bag") > 0)
     named = bagged.withColumn("node", F.xxhash64(F.concat_ws(" ", "bag")))
     nodes = cut(named.groupBy("node").agg(F.first("bag").alias("bag")))
-    pairs = bags.similar(nodes, "node", LEAST_JACCARD).where(
-        (F.col("jaccard") >= SURE_JACCARD) | ((F.col("contained") >= CONTAINED) & (F.col("shared") >= SHARED))
-    )
+    pairs = bags.similar(nodes, "node", LEAST_JACCARD, CONTAINED, SHARED, SURE_JACCARD)
     links = cut(pairs.select("a", "b", F.greatest("jaccard", F.col("contained") * 0.9).alias("w")))
     edges = (
         links.select(F.col("a").alias("i"), F.col("b").alias("j"), "w")

@@ -31,8 +31,6 @@ from lexmill.session import cut
 
 FIRST_YEAR, LAST_YEAR = 1800, 2025
 IDENTIFIES = 64
-#: Titles lose their ends, so candidates are searched with more bands than whole texts need.
-BANDS = 100
 #: Part of the dois of preprint servers; a preprint and its publication have different dois.
 PREPRINT = r"/(arxiv|biorxiv|medrxiv|preprints?)\."
 #: Function words of titles.
@@ -129,7 +127,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
     )
     few = cut(few)
     found.append(_pairs(few, ["node", "who"]))
-    near = bags.similar(nodes.select("node", "bag"), "node", 0.35, BANDS, 0.25).where((F.col("contained") >= 0.75) & (F.col("shared") >= 4))
+    near = bags.similar(nodes.select("node", "bag"), "node", 0.35, contained=0.75, shared=4)
     near = near.select(F.col("a").alias("node"), F.col("b").alias("other"))
     left = few.select("node", "who", F.col("paper_id").alias("p"))
     right = few.select(F.col("node").alias("other"), F.col("who").alias("who_b"), F.col("paper_id").alias("q"))

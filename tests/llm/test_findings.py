@@ -56,6 +56,23 @@ def test_similar_bags_against_brute_force(spark):
     assert found <= wanted and len(found) >= 0.95 * len(wanted)
 
 
+def test_similar_bags_of_crowded_words_lose_no_pair(spark, monkeypatch):
+    rng = random.Random(4)
+    common, other = [f"c{i}" for i in range(10)], [f"o{i}" for i in range(60)]
+    made = {tuple(sorted(rng.sample(common, rng.randint(5, 9)) + rng.sample(other, rng.randint(0, 8)))) for _ in range(900)}
+    data = [(i, list(b)) for i, b in enumerate(sorted(made))]
+    df = spark.createDataFrame(data, "node long, bag array<string>")
+    alike = []
+    for (i, a), (j, b) in itertools.combinations(data, 2):
+        n = len(set(a) & set(b))
+        alike.append((i, j, n / (len(a) + len(b) - n), n / min(len(a), len(b)), n))
+    got = {(r.a, r.b) for r in bags.similar(df, "node", 0.4).collect()}
+    assert got == {(i, j) for i, j, jaccard, *_ in alike if jaccard >= 0.4}
+    monkeypatch.setattr(bags, "BLOCK", 50)
+    got = {(r.a, r.b) for r in bags.similar(df, "node", 0.4, 0.84, 7, 0.64).collect()}
+    assert got == {(i, j) for i, j, jaccard, inside, n in alike if jaccard >= 0.64 or (jaccard >= 0.4 and inside >= 0.84 and n >= 7)}
+
+
 def test_markov_separates_two_cliques_with_a_bridge(spark):
     left, right = range(0, 5), range(10, 15)
     edges = [(a, b, 1.0) for side in (left, right) for a in side for b in side]
