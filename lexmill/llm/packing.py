@@ -3,15 +3,16 @@
 Documents are sharded by a hash of their ids into shards of bounded size. A shard holds an inverted index with BM25
 weights over its documents. The largest unused item seeds a container; the index returns the seed's best unused
 neighbours, which fill the container greedily in order of their score; what space is left takes the largest unused items
-that fit. Containers that end up with more than a small gap are emptied and their items packed again by best fit, so
-related documents stay together where that costs no space.
+that fit. Where that saves a container, the emptiest containers, as few as will do, are emptied and their items packed
+again by best fit; a seed and its best neighbour move as one, unless only parting them saves a container. All other
+containers stay as the index filled them.
 
 An item is split only if it exceeds the capacity: it fills whole containers, and its rest is an item like others.
 
 Defined results: null, empty and blank texts are in no container; every other document is whole in exactly one container
 of each profile, or all its pieces are; equal texts are packed one by one; ties go to the smaller id; an empty table gives
 an empty result. Sizes count tokens of a public tokenizer without special tokens. Shards are independent, so at most one
-container of each shard is badly filled. A query takes the `TERMS` most telling words of its seed.
+container of each shard is badly filled; neighbours are sought inside the shard. A query takes all words of its seed.
 """
 
 from __future__ import annotations
@@ -32,8 +33,7 @@ from lexmill.session import spread
 
 SHARD = 4000
 K1, B = 1.2, 0.75
-TERMS, NEIGHBOURS = 24, 64
-#: A container may leave this share of its capacity unused before its items are packed again.
+#: A container that leaves at most this share of its capacity unused asks for no neighbours.
 GAP = 0.01
 WORD = re.compile(r"\w+")
 SCHEMA = "profile string, container long, doc_id long, piece int, n_tokens int"
@@ -63,11 +63,10 @@ class Index:
                 self.postings[w] = (np.array(ids, dtype=np.int32), np.array(weights) * idf)
         self.queries = []
         for c in counts:
-            told = sorted((w for w in c if w in self.idf), key=lambda w: (-self.idf[w] * min(c[w], 3), w))
-            self.queries.append(told[:TERMS])
+            self.queries.append(sorted(w for w in c if w in self.idf))
 
     def neighbours(self, i: int, unused: np.ndarray) -> list[int]:
-        """The best unused documents for document i, best first."""
+        """The unused documents that share a word with document i, best first."""
         words = self.queries[i]
         if not words:
             return []
@@ -76,11 +75,7 @@ class Index:
         scores = np.bincount(ids, weights=weights, minlength=self.n)
         scores[~unused] = 0.0
         scores[i] = 0.0
-        k = min(NEIGHBOURS, self.n - 1)
-        if k < 1:
-            return []
-        top = np.argpartition(-scores, k - 1)[:k]
-        top = top[scores[top] > 0]
+        top = np.flatnonzero(scores > 0)
         return top[np.lexsort((top, -scores[top]))].tolist()
 
 
@@ -144,16 +139,34 @@ def pack(sizes: list[int], capacity: int, index: Index | None) -> list[list[int]
 
 
 def pack_tightly(sizes: list[int], capacity: int, index: Index | None) -> list[list[int]]:
-    """`pack`, then again by best fit for the items of containers with a gap, until that saves no container."""
-    packed = pack(sizes, capacity, index)
-    for gap in (GAP, 0.0):
-        good = [c for c in packed if capacity - sum(sizes[i] for i in c) <= gap * capacity]
-        loose = [i for c in packed if capacity - sum(sizes[i] for i in c) > gap * capacity for i in c]
-        if not loose:
-            return packed
-        again = pack([sizes[i] for i in loose], capacity, None)
-        if len(good) + len(again) <= len(packed):
-            packed = good + [[loose[k] for k in c] for c in again]
+    """`pack`, then again by best fit for the items of the emptiest containers, as few as save one, until none can be saved.
+
+    A seed and its best neighbour move as one; they are parted only where that alone saves a container.
+    """
+    packed = [[c[:2], *[[i] for i in c[2:]]] if index is not None else [[i] for i in c] for c in pack(sizes, capacity, index)]
+    packed = _saving(packed, sizes, capacity)
+    return [[i for unit in c for i in unit] for c in _saving(packed, sizes, capacity, part=True)]
+
+
+def _saving(packed: list[list[list[int]]], sizes: list[int], capacity: int, part: bool = False) -> list[list[list[int]]]:
+    """Fewer containers of units of items, if repacking saves any; `part` takes the units of what is repacked apart."""
+    gap = lambda c: capacity - sum(sizes[i] for unit in c for i in unit)
+    least = -(-sum(sizes) // capacity)
+    while len(packed) > least:
+        packed = sorted(packed, key=gap, reverse=True)
+        free = np.cumsum([gap(c) for c in packed])
+        k = int(np.searchsorted(free, capacity)) + 1  # less free space cannot save a container
+        saved = None
+        while saved is None and k <= len(packed):
+            units = [unit for c in packed[:k] for unit in c]
+            units = [[i] for unit in units for i in unit] if part else units
+            again = pack([sum(sizes[i] for i in unit) for unit in units], capacity, None)
+            if len(again) < k:
+                saved = [[units[u] for u in c] for c in again] + packed[k:]
+            k = len(packed) if k < len(packed) < 3 * k // 2 + 1 else 3 * k // 2 + 1
+        if saved is None:
+            break
+        packed = saved
     return packed
 
 

@@ -16,6 +16,24 @@ def test_every_item_once_and_capacity_kept():
     assert len(packed) <= -(-sum(sizes) // 512) + 1
 
 
+def test_related_items_stay_together():
+    rng = random.Random(2)
+    sizes = [rng.randint(20, 260) for _ in range(900)]
+    texts = [" ".join(f"t{k % 90}x{rng.randint(0, 5)}" for _ in range(12)) for k in range(900)]
+    index = P.Index(texts)
+    related = lambda packed: sum(len({i % 90 for i in c}) < len(c) for c in packed)
+    packed = P.pack_tightly(sizes, 512, index)
+    assert sorted(i for c in packed for i in c) == list(range(900))
+    assert len(packed) <= -(-sum(sizes) // 512) + 1
+    assert related(packed) >= 0.7 * related(P.pack(sizes, 512, index))
+
+
+def test_query_takes_all_words_and_returns_all_neighbours():
+    texts = [" ".join(f"rare{k}" for k in range(60)) + " common"] + [f"rare{k}" for k in range(60)] + ["common"] * 100
+    found = P.Index(texts).neighbours(0, np.ones(len(texts), dtype=bool))
+    assert sorted(found) == list(range(1, 161))
+
+
 def test_index_finds_the_brute_force_neighbours():
     texts = ["red fox jumps", "red fox runs far", "blue whale sings", "blue whale dives deep", "green tree"]
     index = P.Index(texts)
