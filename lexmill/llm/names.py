@@ -4,7 +4,8 @@
    of its tokens are checked against the given names seen in the corpus to tell the family name from given names and
    initials ("Last, First M.", "First M. Last", "Last FM", "Last First"). Names of groups are told by their nouns.
 2. Distinct family names are sharded into tries, once by their first and once by their last three letters: one edit
-   (insertion, deletion, substitution or exchange of neighbours) leaves one of the two ends as it is. In each shard a
+   (insertion, deletion, substitution or exchange of neighbours) leaves one of the two ends of a name of 7 letters or more
+   as it is; shorter names also meet by their deletions. In each shard a
    Levenshtein automaton walks the trie for every name and enumerates the neighbours within the bound.
 3. A rare neighbour of a frequent family name is its misspelling and takes its place. Spellings of one family name are
    then compared token by token: equal, misspelt, short or familiar given names, and initials. A spelling that fits more
@@ -67,6 +68,8 @@ FAMILIAR = {
     "stan": "stanley", "terry": "terence", "tim": "timothy", "val": "valerie", "walt": "walter", "abby": "abigail",
 }
 EDGE = 3
+#: Up to so many letters, one edit can change both ends of a word, or leave a word of which it can.
+SHORT = 7
 #: A given name must be seen with so many spellings, and in this share of them, to be a known one: at most 5,000 are.
 LEAST_GIVEN, SHARE_GIVEN = 3, 1 / 5000
 #: A family name is a misspelling of a neighbour that is at least so many times as frequent, or more frequent if it is
@@ -235,7 +238,10 @@ def known_given_names(all_names: DataFrame) -> list[str]:
 
 
 def neighbours(families: DataFrame) -> DataFrame:
-    """(family, near): pairs of distinct words at distance 1, from the sharded tries; both directions."""
+    """(family, near): pairs of distinct words at distance 1, both directions.
+
+    Words of up to `SHORT` letters, whose ends overlap or touch, also meet by what is left of them without one letter.
+    """
     forward = families.select("family", F.concat(F.lit("p"), F.substring("family", 1, EDGE)).alias("shard"))
     backward = families.select("family", F.concat(F.lit("s"), F.expr(f"right(family, {EDGE})")).alias("shard"))
 
@@ -250,7 +256,26 @@ def neighbours(families: DataFrame) -> DataFrame:
                 yield pd.DataFrame(pairs, columns=["family", "near"])
 
     shards = forward.unionByName(backward).repartition("shard").sortWithinPartitions("shard")
-    return shards.mapInPandas(join, "family string, near string").distinct()
+    short = families.where(F.length("family") <= SHORT)
+    left = "transform(sequence(1, length(family)), i -> concat(left(family, i - 1), substring(family, i + 1)))"
+    kept = short.select("family", F.explode(F.expr(f"array_distinct(array_append({left}, family))")).alias("kept"))
+    met = kept.join(kept.withColumnRenamed("family", "near"), "kept").where(F.col("family") != F.col("near"))
+    met = met.select("family", "near").distinct().where(F.pandas_udf(one_edit, "boolean")("family", "near"))
+    return shards.mapInPandas(join, "family string, near string").unionByName(met).distinct()
+
+
+def one_edit(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Whether two different words are one edit apart, exchanges of neighbours included."""
+
+    def near(a: str, b: str) -> bool:
+        if len(a) < len(b):
+            a, b = b, a
+        at = next((i for i, c in enumerate(b) if a[i] != c), len(b))
+        if len(a) > len(b):
+            return a[at + 1 :] == b[at:]
+        return a[at + 1 :] == b[at + 1 :] or (a[at : at + 2] == b[at : at + 2][::-1] and a[at + 2 :] == b[at + 2 :])
+
+    return pd.Series([near(a, b) for a, b in zip(left, right)], dtype=bool)
 
 
 def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -348,7 +373,7 @@ def link_names(df: DataFrame, names: str) -> DataFrame:
     schema = "name string, times long, kind string, family string, given string, initials string"
     parsed = cut(all_names.mapInPandas(parts, schema))
     families = parsed.groupBy("family").agg(F.sum("times").alias("n"))
-    near = neighbours(families.where(F.length("family") > 3).select("family"))
+    near = neighbours(families.where("family <> ''").select("family"))
     # A misspelt family name takes the place of its most frequent neighbour that is clearly more frequent.
     roots = (
         near.join(families, "family")

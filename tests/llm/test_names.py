@@ -32,6 +32,13 @@ def test_shards_find_all_neighbours(spark):
     assert got == {(a, b) for a, b in itertools.permutations(words, 2) if distance_one(a, b)}
 
 
+def test_short_words_find_all_neighbours(spark):
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(2, 8))) for _ in range(500)} | {"khan", "kahn", "smith", "simth", "martin", "matrin", "lee", "le"})
+    got = {(r.family, r.near) for r in N.neighbours(spark.createDataFrame([(w,) for w in words], "family string")).collect()}
+    assert got == {(a, b) for a, b in itertools.permutations(words, 2) if distance_one(a, b)}
+
+
 SAME = [
     ["Vandermeer, Alice K.", "Alice Vandermeer", "A. K. Vandermeer", "Vandermeer AK", "VANDERMEER, Alice", "Vandermeer Alice", "Dr. Alice Vandermeer, PhD", "Alice Vandemreer"],
     ["Robert Kowalczuk", "Bob Kowalczuk", "Kowalczuk, R.", 'Robert "Kit" Kowalczuk'],
