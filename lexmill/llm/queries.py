@@ -125,7 +125,7 @@ judged AS (
 ), pairs AS (SELECT b, c, sum(goes) AS goes, sum(closes) AS closes FROM grams GROUP BY b, c),
 singles AS (SELECT c, sum(goes) AS goes, sum(closes) AS closes FROM pairs GROUP BY c),
 finals AS (
-  SELECT id, marked, stopped, open, ws[len(ws)].w AS c, CASE WHEN len(ws) > 1 THEN ws[len(ws) - 1].w ELSE '' END AS b,
+  SELECT id, marked, stopped, open AND NOT stopped AS open, ws[len(ws)].w AS c, CASE WHEN len(ws) > 1 THEN ws[len(ws) - 1].w ELSE '' END AS b,
          CASE WHEN len(ws) > 2 THEN ws[len(ws) - 2].w ELSE '' END AS a FROM words WHERE len(ws) > 0
 ), asked AS (SELECT DISTINCT a, b, c FROM finals WHERE NOT marked AND NOT open),
 by3 AS (
@@ -181,4 +181,11 @@ SELECT b.paper_id, b.field, min(l.rec_id) AS rec_id
 FROM best b JOIN long l ON b.paper_id = l.paper_id AND b.field = l.field AND b.value IS NOT DISTINCT FROM l.value
 WHERE b.r = 1 GROUP BY b.paper_id, b.field""",
     "p6_found": _cut_sql(),
+    "p6_share": f"""
+WITH found AS ({_cut_sql()})
+SELECT r.source, count(*) AS n_records,
+       count(*) FILTER (WHERE r.abstract IS NOT NULL AND NOT regexp_matches(lower(r.abstract), '{truncation.FILLER}')) AS n_texts,
+       count(f.hit_id) AS n_cut,
+       round(count(f.hit_id)::DOUBLE / greatest(1, count(*) FILTER (WHERE r.abstract IS NOT NULL AND NOT regexp_matches(lower(r.abstract), '{truncation.FILLER}'))), 6) AS share
+FROM search_records r LEFT JOIN found f ON r.hit_id = f.hit_id GROUP BY r.source""",
 }

@@ -8,8 +8,8 @@ and how often it closes one. The last trigram of each text is joined with these
 * it was never seen elsewhere: the last two words decide, then the last word;
 * nothing is known of the last word: the text was cut, unless several different texts end alike.
 
-A visible mark of cutting (ellipsis, "[truncated]", a torn entity or character) or a bracket that never closes also
-shows a cut. A text that ends with a sentence mark counts as whole unless its last trigram goes on often elsewhere and
+A visible mark of cutting (ellipsis, "[truncated]", a torn entity or character) also shows a cut, and so does a bracket
+that never closes in a text that ends without a sentence mark. A text that ends with a sentence mark counts as whole unless its last trigram goes on often elsewhere and
 never closes any sentence.
 
 Defined results: null, blank and filler texts are not cut; copies of a text count once in the statistics and get the
@@ -32,8 +32,6 @@ STOP_MARK = r"[.!?][\"')\]”’]*\s*$"
 MOST_CLOSING = 0.1
 #: Sentence-marked ends need this many continuations, and no closing elsewhere, to be doubted.
 LEAST_DOUBT = 5
-#: Words are met by their beginnings of up to so many letters; a longer torn word is unknown, and shows a cut as well.
-LETTERS = 64
 #: So many different texts with the same last words show a usual ending.
 USUAL = 3
 
@@ -52,58 +50,54 @@ WITH texts AS (
            w -> struct(regexp_replace(regexp_replace(regexp_replace(w, '[0-9]+', '#'), '^[^\\p{{L}}\\p{{N}}#]+', ''), '[^\\p{{L}}\\p{{N}}#%]+$', '') AS w,
                        w RLIKE '[.!?][\"\')\\]”’]*$' AS s)), x -> x.w <> '') AS ws
   FROM judged
-)"""
+)
+SELECT * FROM words WHERE size(ws) > 0
+"""
 
-_GRAMS = _WORDS + r"""
-, placed AS (
+_GRAMS = r"""
+WITH placed AS (
   SELECT id, size(ws) AS n, p.pos AS pos, p.col.w AS c, p.col.s AS s,
          CASE WHEN p.pos > 0 THEN ws[p.pos - 1].w ELSE '' END AS b,
          CASE WHEN p.pos > 1 THEN ws[p.pos - 2].w ELSE '' END AS a
-  FROM words LATERAL VIEW posexplode(ws) p AS pos, col
-), grams AS (
-  SELECT a, b, c, count_if(NOT s AND pos < n - 1) AS goes, count_if(s) AS closes, count_if(NOT s AND pos = n - 1) AS bare
-  FROM placed GROUP BY a, b, c
+  FROM __cut_words LATERAL VIEW posexplode(ws) p AS pos, col
 )
-SELECT * FROM grams
+SELECT a, b, c, count_if(NOT s AND pos < n - 1) AS goes, count_if(s) AS closes, count_if(NOT s AND pos = n - 1) AS bare
+FROM placed GROUP BY a, b, c
 """
 
-_FINALS = _WORDS + r"""
-, finals AS (
-  SELECT id, marked, stopped, open, ws[size(ws) - 1].w AS c,
+# A torn word meets the longer words that begin like it; they share their first letter, which splits frequent contexts.
+_DECIDED = r"""
+WITH finals AS (
+  SELECT id, marked, stopped, open AND NOT stopped AS open, ws[size(ws) - 1].w AS c,
          CASE WHEN size(ws) > 1 THEN ws[size(ws) - 2].w ELSE '' END AS b,
          CASE WHEN size(ws) > 2 THEN ws[size(ws) - 3].w ELSE '' END AS a
-  FROM words WHERE size(ws) > 0
-)
-SELECT * FROM finals
-"""
-
-_DECIDED = r"""
-WITH pairs AS (
+  FROM __cut_words
+), pairs AS (
   SELECT b, c, sum(goes) AS goes, sum(closes) AS closes, sum(bare) AS bare FROM __cut_grams GROUP BY b, c
 ), singles AS (
   SELECT c, sum(goes) AS goes, sum(closes) AS closes, sum(bare) AS bare FROM pairs GROUP BY c
 ), asked AS (
-  SELECT DISTINCT a, b, c FROM __cut_finals WHERE NOT marked AND NOT open
+  SELECT DISTINCT a, b, c, left(c, 1) AS l FROM finals WHERE NOT marked AND NOT open
 ), longer3 AS (
-  SELECT g.a, g.b, substring(g.c, 1, k) AS c, sum(g.goes + g.closes) AS n
-  FROM (SELECT g.* FROM __cut_grams g LEFT SEMI JOIN asked q ON g.a = q.a AND g.b = q.b WHERE length(g.c) > 1) g
-  LATERAL VIEW explode(sequence(1, least(length(g.c) - 1, {letters}))) e AS k GROUP BY 1, 2, 3
+  SELECT q.a, q.b, q.c, sum(g.goes + g.closes) AS n
+  FROM asked q JOIN __cut_grams g ON q.a = g.a AND q.b = g.b AND q.l = left(g.c, 1) AND startswith(g.c, q.c) AND g.c <> q.c
+  GROUP BY 1, 2, 3
 ), by3 AS (
   SELECT q.a, q.b, q.c, coalesce(g.goes, 0) + coalesce(l.n, 0) AS goes, coalesce(g.closes, 0) AS closes, coalesce(g.bare, 0) AS bare
   FROM asked q LEFT JOIN __cut_grams g ON q.a = g.a AND q.b = g.b AND q.c = g.c LEFT JOIN longer3 l ON q.a = l.a AND q.b = l.b AND q.c = l.c
 ), asked2 AS (
-  SELECT DISTINCT b, c FROM asked
+  SELECT DISTINCT b, c, l FROM asked
 ), longer2 AS (
-  SELECT g.b, substring(g.c, 1, k) AS c, sum(g.goes + g.closes) AS n
-  FROM (SELECT g.* FROM pairs g LEFT SEMI JOIN asked2 q ON g.b = q.b WHERE length(g.c) > 1) g
-  LATERAL VIEW explode(sequence(1, least(length(g.c) - 1, {letters}))) e AS k GROUP BY 1, 2
+  SELECT q.b, q.c, sum(g.goes + g.closes) AS n
+  FROM asked2 q JOIN pairs g ON q.b = g.b AND q.l = left(g.c, 1) AND startswith(g.c, q.c) AND g.c <> q.c
+  GROUP BY 1, 2
 ), by2 AS (
   SELECT q.b, q.c, coalesce(g.goes, 0) + coalesce(l.n, 0) AS goes, coalesce(g.closes, 0) AS closes
   FROM asked2 q LEFT JOIN pairs g ON q.b = g.b AND q.c = g.c LEFT JOIN longer2 l ON q.b = l.b AND q.c = l.c
 ), counted AS (
   SELECT f.id, f.marked, f.stopped, f.open, t.goes AS g3, t.closes - CAST(f.stopped AS INT) AS s3, t.bare AS e3,
          d.goes AS g2, d.closes - CAST(f.stopped AS INT) AS s2, s.goes AS g1, s.closes - CAST(f.stopped AS INT) AS s1
-  FROM __cut_finals f
+  FROM finals f
   LEFT JOIN by3 t ON f.a = t.a AND f.b = t.b AND f.c = t.c
   LEFT JOIN by2 d ON f.b = d.b AND f.c = d.c
   LEFT JOIN singles s ON f.c = s.c
@@ -131,11 +125,10 @@ def truncated(df: DataFrame, key: str, text: str) -> DataFrame:
     rows = df.select(F.col(key), F.col(text).alias("__text"))
     rows.createOrReplaceTempView("__cut_source")
     args = {"mark": MARK, "stop": STOP_MARK, "filler": FILLER}
-    # The counts and the last words are read several times; each is worked out once.
-    for name, sql in (("__cut_grams", _GRAMS), ("__cut_finals", _FINALS)):
-        used = {k: v for k, v in args.items() if f":{k}" in sql}
-        keep_cut(spark.sql(sql.format(source="__cut_source"), args=used)).createOrReplaceTempView(name)
-    cut = spark.sql(_DECIDED.format(doubt=LEAST_DOUBT, most=MOST_CLOSING, usual=USUAL, letters=LETTERS))
+    # The words of every different text are worked out once, the counts are read several times.
+    for name, sql, used in (("__cut_words", _WORDS, args), ("__cut_grams", _GRAMS, None)):
+        keep_cut(spark.sql(sql.format(source="__cut_source") if used else sql, args=used)).createOrReplaceTempView(name)
+    cut = spark.sql(_DECIDED.format(doubt=LEAST_DOUBT, most=MOST_CLOSING, usual=USUAL))
     return (
         rows.where(F.col("__text").isNotNull())
         .select(key, F.md5("__text").alias("__id"))

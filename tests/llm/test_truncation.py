@@ -9,9 +9,9 @@ def rows():
     cut = {
         100: "We tested methodx in small rooms. The results of methodx were better than those of", 101: "We tested methodx in small rooms. The results of methodx were bet",
         102: "We tested methody in small rooms. Two readers checked every…", 103: "We tested methodz in small rooms [...]", 104: "We tested methodz in small rooms (see the con",
-        105: "We tested methodq in small rooms. The resul&am",
+        106: "We tested methodv in small rooms. The results of methodv were bettertha" + "n" * 90, 105: "We tested methodq in small rooms. The resul&am",
     }
-    whole = {200: "We tested methodk in small rooms. Two readers checked every record of methodk by hand", 201: None, 202: "", 203: " ", 204: "No abstract available.", 205: "Short.", 206: "n/a"}
+    whole = {200: "We tested methodk in small rooms. Two readers checked every record of methodk by hand", 201: None, 202: "", 203: " ", 207: "We tested methodj in small rooms (less :( than expected. Two readers checked every record of methodj by hand.", 204: "No abstract available.", 205: "Short.", 206: "n/a"}
     for i, t in (cut | whole).items():
         out.append((i, "b", t, None, None))
     out.append((300, "b", cut[100], None, None))
@@ -24,7 +24,7 @@ def test_cut_records(spark):
     df = spark.createDataFrame(data, SCHEMA)
     assert {r.hit_id for r in T.truncated(df, "hit_id", "abstract").collect()} == wanted
     share = {r.source: r for r in T.cut_share(df, "hit_id", "abstract", "source").collect()}
-    assert share["a"].n_cut == 0 and share["b"].n_cut == 7 and share["b"].n_texts == 9
+    assert share["a"].n_cut == 0 and share["b"].n_cut == 8 and share["b"].n_texts == 11
 
 
 def test_empty(spark):
