@@ -41,37 +41,41 @@ GROUP_WORDS = {
 GROUP_NOUNS = frozenset("cons group grp network netw consortium consort collaboration collab initiative committee team investigators".split())
 ACRONYMS = {"wg": ("working", "group"), "sg": ("study", "group"), "rn": ("research", "network"), "rg": ("research", "group")}
 JOINERS = frozenset("the on of for and in".split())
-#: Familiar forms of given names.
+#: Familiar forms of given names, and the names each of them can stand for.
 FAMILIAR = {
-    "alex": "alexander", "sasha": "alexander", "sandy": "alexander", "andy": "andrea", "annie": "anna", "ania": "anna",
-    "tony": "anthony", "beth": "elizabeth", "betty": "elizabeth", "bill": "william", "billy": "william", "bob": "robert",
-    "bobby": "robert", "charlie": "charles", "chuck": "charles", "curt": "curtis", "dasha": "daria", "deb": "deborah",
-    "debbie": "deborah", "debby": "deborah", "dick": "richard", "ed": "edward", "eddie": "edward", "ted": "theodore",
-    "teddy": "theodore", "theo": "theodore", "frank": "francisco", "paco": "francisco", "pancho": "francisco",
-    "gabi": "gabriela", "gaby": "gabriela", "gabby": "gabriela", "lupe": "guadalupe", "lupita": "guadalupe",
-    "heinz": "heinrich", "heini": "heinrich", "hans": "johannes", "hannes": "johannes", "ned": "edward", "joe": "joseph", "joey": "joseph", "pepe": "jose",
-    "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kit": "katherine", "liz": "elizabeth",
-    "lisa": "elizabeth", "lizzie": "elizabeth", "lizzy": "elizabeth", "bess": "elizabeth", "ricky": "richard", "maggy": "margaret", "jo": "joseph", "eliza": "elizabeth", "lola": "dolores", "lucy": "lucia", "maggie": "margaret",
-    "meg": "margaret", "peggy": "margaret", "greta": "margaret", "marty": "martin", "mick": "michael",
-    "mickey": "michael", "mike": "michael", "mikey": "michael", "misha": "michael", "nacho": "ignacio", "nick": "nicholas",
-    "nico": "nicholas", "nicky": "nicholas", "olya": "olga", "rick": "richard", "rich": "richard", "richie": "richard",
-    "rob": "robert", "robbie": "robert", "rosie": "rosa", "sue": "susan", "susie": "susan", "suzy": "susan", "tom": "thomas",
-    "tommy": "thomas", "tori": "victoria", "vicky": "victoria", "vicki": "victoria", "vlad": "vladimir",
-    "volodya": "vladimir", "will": "william", "willy": "william", "liam": "william", "zhenya": "yevgenia", "uli": "ulrich",
-    "xenie": "xenia", "ksenia": "xenia", "lou": "luis", "drew": "andrea", "masha": "maria", "mia": "maria", "tammy": "tamar",
-    "otti": "ottavia", "jon": "jonas", "manny": "emanuel", "sam": "samuel", "ben": "benjamin", "dan": "daniel",
-    "danny": "daniel", "dave": "david", "jim": "james", "jimmy": "james", "jack": "john", "johnny": "john", "matt": "matthew",
-    "pat": "patricia", "pete": "peter", "steve": "stephen", "jenny": "jennifer", "jen": "jennifer", "chris": "christopher",
-    "cathy": "catherine", "becky": "rebecca", "jess": "jessica", "jake": "jacob", "greg": "gregory", "jeff": "jeffrey",
-    "ken": "kenneth", "larry": "lawrence", "ron": "ronald", "ray": "raymond", "al": "albert", "fred": "frederick",
-    "gus": "august", "hank": "henry", "harry": "henry", "max": "maximilian", "nat": "nathan", "phil": "philip",
-    "stan": "stanley", "terry": "terence", "tim": "timothy", "val": "valerie", "walt": "walter", "abby": "abigail",
+    "abby": "abigail", "al": "alan albert alfred", "alex": "alexander alexandra alexis", "andy": "andrea andreas andrew", "ania": "anna",
+    "annie": "ann anna anne", "becky": "rebecca", "ben": "benedict benjamin", "bess": "elizabeth", "beth": "bethany elizabeth",
+    "betty": "elizabeth", "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "cathy": "catherine",
+    "charlie": "charles charlotte", "chris": "christian christina christine christopher", "chuck": "charles", "curt": "curtis",
+    "dan": "daniel", "danny": "daniel", "dasha": "daria", "dave": "david", "deb": "deborah", "debbie": "deborah", "debby": "deborah",
+    "dick": "richard", "drew": "andrea andrew", "ed": "edgar edmund edward edwin", "eddie": "edgar edmund edward edwin",
+    "eliza": "elizabeth", "frank": "francis francisco franklin", "fred": "alfred frederick", "gabby": "gabriel gabriela",
+    "gabi": "gabriel gabriela", "gaby": "gabriel gabriela", "greg": "gregory", "greta": "margaret", "gus": "august gustav",
+    "hank": "henry", "hannes": "johannes", "hans": "johannes", "harry": "harold henry", "heini": "heinrich", "heinz": "heinrich",
+    "jack": "jackson john", "jake": "jacob", "jeff": "geoffrey jeffrey", "jen": "jennifer", "jenny": "jennifer", "jess": "jessica",
+    "jim": "james", "jimmy": "james", "jo": "joanna joseph josephine", "joe": "joseph", "joey": "joseph", "johnny": "john",
+    "jon": "john jonas jonathan", "kate": "catherine katherine", "kathy": "katherine kathleen", "katie": "catherine katherine",
+    "ken": "kenneth", "kit": "christopher katherine", "ksenia": "xenia", "larry": "lawrence", "liam": "william", "lisa": "elizabeth",
+    "liz": "elizabeth", "lizzie": "elizabeth", "lizzy": "elizabeth", "lola": "dolores", "lou": "louis louise luis", "lucy": "lucia lucille",
+    "lupe": "guadalupe", "lupita": "guadalupe", "maggie": "margaret", "maggy": "margaret", "manny": "emanuel manuel",
+    "marty": "martin", "masha": "maria", "matt": "matthew matthias", "max": "maximilian maxwell", "meg": "margaret", "mia": "maria",
+    "mick": "michael", "mickey": "michael", "mike": "michael", "mikey": "michael", "misha": "michael mikhail", "nacho": "ignacio",
+    "nat": "natalie nathan nathaniel", "ned": "edward", "nick": "nicholas nicolas", "nicky": "nicholas nicole", "nico": "nicholas nicolas",
+    "olya": "olga", "otti": "ottavia", "paco": "francisco", "pancho": "francisco", "pat": "patricia patrick", "peggy": "margaret",
+    "pepe": "jose", "pete": "peter", "phil": "philip", "ray": "raymond", "rich": "richard", "richie": "richard", "rick": "richard",
+    "ricky": "ricardo richard", "rob": "robert", "robbie": "robert", "ron": "ronald", "rosie": "rosa rose rosemary",
+    "sam": "samantha samuel", "sandy": "alexander alexandra sandra", "sasha": "alexander alexandra", "stan": "stanley",
+    "steve": "stephen steven", "sue": "susan", "susie": "susan", "suzy": "susan", "tammy": "tamar tamara", "ted": "edward theodore",
+    "teddy": "edward theodore", "terry": "terence theresa", "theo": "theodore", "tim": "timothy", "tom": "thomas", "tommy": "thomas",
+    "tony": "anthony antonio", "tori": "victoria", "uli": "ulrich", "val": "valentin valentina valerie", "vicki": "victoria",
+    "vicky": "victoria", "vlad": "vladimir vladislav", "volodya": "vladimir", "walt": "walter", "will": "william", "willy": "william",
+    "xenie": "xenia", "zhenya": "yevgenia yevgeny",
 }
 EDGE = 3
 #: Up to so many letters, one edit can change both ends of a word, or leave a word of which it can.
 SHORT = 7
-#: A given name must be seen with so many spellings, and in this share of them, to be a known one: at most 5,000 are.
-LEAST_GIVEN, SHARE_GIVEN = 3, 1 / 5000
+#: A given name must be seen with so many spellings to be a known one, and not one edit from a name so many times as frequent.
+LEAST_GIVEN, MISSPELT = 3, 20
 #: A family name is a misspelling of a neighbour that is at least so many times as frequent, or more frequent if it is
 #: seen no more than a few times itself.
 RARER, FEW = 4, 2
@@ -140,8 +144,12 @@ def words_of(name: str) -> list[tuple[str, bool]]:
     return bare
 
 
-def parse(name: str | None, given_names: set[str], given_trie: Trie | None = None) -> tuple[str, str, str, str] | None:
-    """(kind, family name, given name, initials) of one spelling; None for fillers. For a group: its own word, its topic."""
+def parse(name: str | None, known: dict[str, str]) -> tuple[str, str, str, str] | None:
+    """(kind, family name, given name, initials) of one spelling; None for fillers. For a group: its own word, its topic.
+
+    `known` tells the given name that a token stands for. Where a token can stand for several ("edward/theodore"), they
+    are the given name, and the first initial is open ("?").
+    """
     if name is None:
         return None
     plain = re.sub(r"[^\w\s]|_", " ", fold(name))
@@ -167,8 +175,7 @@ def parse(name: str | None, given_names: set[str], given_trie: Trie | None = Non
         if len(full) == 1:
             at = full[0]
         else:
-            known = [i for i in full if _given(words[i][0], given_names, given_trie)]
-            unknown = [i for i in full if i not in known]
+            unknown = [i for i in full if words[i][0] not in known]
             at = unknown[-1] if unknown else full[-1]
         family, rest = [words[at][0]], words[:at] + words[at + 1 :]
     given, initials = "", ""
@@ -176,28 +183,13 @@ def parse(name: str | None, given_names: set[str], given_trie: Trie | None = Non
         if short:
             initials += token
         elif not given:
-            known_as = _given(token, given_names, given_trie)
-            given = known_as or token
-            initials += given[0]
+            given = known.get(token) or token
+            initials += "?" if "/" in given else given[0]
         else:
             initials += token[0]
     return "person", "".join(family), given, initials
 
 
-def _given(token: str, given_names: set[str], trie: Trie | None) -> str:
-    """The known given name that a token stands for; empty if there is none."""
-    if token in given_names:
-        return token
-    formal = FAMILIAR.get(token)
-    if formal and (formal in given_names or not given_names):
-        return formal
-    if trie is not None and len(token) > 3:
-        near = trie.near(token)
-        if len(near) == 1:
-            return near[0]
-    return ""
-
-
 def _group(tokens: list[str]) -> tuple[str, str, str, str]:
     out: list[str] = []
     for t in tokens:
@@ -213,28 +205,44 @@ def spellings(df: DataFrame, names: str) -> DataFrame:
     return flat.groupBy("name").agg(F.count("*").alias("times"))
 
 
-def known_given_names(all_names: DataFrame) -> list[str]:
-    """Given names as "Last, First" shows them; their number is bounded by 1 / SHARE_GIVEN."""
-
-    def given(names: pd.Series) -> pd.Series:
-        out = []
-        for n in names:
-            words = words_of(n)
-            at = next((i for i, w in enumerate(words) if w[0] == ","), -1)
-            rest = [t for t, short in words[at + 1 :] if not short and t != ","] if at == 1 else []
-            out.append(rest[0] if rest else "")
-        return pd.Series(out, dtype=object)
-
-    counts = (
-        all_names.where(F.col("name").contains(","))
-        .select(F.pandas_udf(given, "string")("name").alias("given"))
-        .where("given <> ''")
-        .groupBy("given")
-        .count()
+def full_tokens(names: pd.Series) -> pd.Series:
+    """The folded tokens of each name that are no initials; the token after "Last," comes first, after a comma."""
+    out = []
+    for n in names:
+        words = words_of(n)
+        at = next((i for i, w in enumerate(words) if w[0] == ","), -1)
+        after = [t for t, short in words[at + 1 :] if not short and t != ","] if at == 1 else []
+        out.append([f",{t}" for t in after[:1]] + [t for t, short in words if not short and t != ","])
+    return pd.Series(out, dtype=object)
+
+
+def known_given_names(tokens: DataFrame) -> DataFrame:
+    """(token, given): the given name, or the names joined by "/", that a token stands for.
+
+    `tokens` are those of every spelling, see `full_tokens`. A name is known if "Last, First" shows it often enough and it
+    is no misspelling of a far more frequent one. A familiar form stands for every known name that it is a form of, another
+    token for the one known name that is one edit away.
+    """
+    spark = tokens.sparkSession
+    counts = tokens.where(F.col("token").startswith(",")).groupBy(F.expr("substring(token, 2)").alias("token")).count()
+    seen = cut(counts.where(F.col("count") >= LEAST_GIVEN))
+    plain = tokens.where(~F.col("token").startswith(",")).select("token").distinct()
+    words = cut(plain.join(seen, "token", "left"))
+    near = cut(neighbours(words.where(F.length("token") > 3).select(F.col("token").alias("family"))).withColumnRenamed("family", "token"))
+    seen_near = near.join(seen.select(F.col("token").alias("near"), F.col("count").alias("m")), "near")
+    rare = seen_near.join(seen, "token").where(F.col("m") >= MISSPELT * F.col("count")).select("token").distinct()
+    known = cut(seen.select("token").join(rare, "token", "left_anti"))
+    formal = [(short, name) for short, names in FAMILIAR.items() for name in names.split()]
+    familiar = spark.createDataFrame(formal, "token string, given string").join(known.select(F.col("token").alias("given")), "given")
+    familiar = familiar.groupBy("token").agg(F.array_join(F.array_sort(F.collect_set("given")), "/").alias("familiar"))
+    one = near.join(known.select(F.col("token").alias("near")), "near").groupBy("token").agg(F.min("near").alias("one"), F.count("*").alias("n"))
+    stands = (
+        words.select("token")
+        .join(known.select("token", F.col("token").alias("own")), "token", "left")
+        .join(familiar, "token", "left")
+        .join(one.where("n = 1").select("token", "one"), "token", "left")
     )
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    least = max(LEAST_GIVEN, total * SHARE_GIVEN)
-    return [r[0] for r in counts.where(F.col("count") >= least).select("given").collect()]
+    return stands.select("token", F.coalesce("own", "familiar", "one").alias("given")).where(F.col("given").isNotNull())
 
 
 def neighbours(families: DataFrame) -> DataFrame:
@@ -242,8 +250,11 @@ def neighbours(families: DataFrame) -> DataFrame:
 
     Words of up to `SHORT` letters, whose ends overlap or touch, also meet by what is left of them without one letter.
     """
-    forward = families.select("family", F.concat(F.lit("p"), F.substring("family", 1, EDGE)).alias("shard"))
-    backward = families.select("family", F.concat(F.lit("s"), F.expr(f"right(family, {EDGE})")).alias("shard"))
+    # Words of an edit differ by one letter in length at most, so each stands with its own length and the next.
+    lengths = F.explode(F.array(F.length("family"), F.length("family") + 1))
+    sized = families.select("family", lengths.alias("long"))
+    forward = sized.select("family", F.concat_ws(":", F.lit("p"), "long", F.substring("family", 1, EDGE)).alias("shard"))
+    backward = sized.select("family", F.concat_ws(":", F.lit("s"), "long", F.expr(f"right(family, {EDGE})")).alias("shard"))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard in _runs(batches, "shard"):
@@ -255,7 +266,9 @@ def neighbours(families: DataFrame) -> DataFrame:
             if pairs:
                 yield pd.DataFrame(pairs, columns=["family", "near"])
 
-    shards = forward.unionByName(backward).repartition("shard").sortWithinPartitions("shard")
+    # A number of partitions keeps adaptive execution from joining the small shards into one task.
+    many = 2 * families.sparkSession.sparkContext.defaultParallelism
+    shards = forward.unionByName(backward).repartition(many, "shard").sortWithinPartitions("shard")
     short = families.where(F.length("family") <= SHORT)
     left = "transform(sequence(1, length(family)), i -> concat(left(family, i - 1), substring(family, i + 1)))"
     kept = short.select("family", F.explode(F.expr(f"array_distinct(array_append({left}, family))")).alias("kept"))
@@ -296,7 +309,7 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
 
 
 def resolve(rows: list[tuple[str, str, str, str]]) -> list[tuple[str, str]]:
-    """(name, entity) of the spellings (name, kind, given, initials) of one family name."""
+    """(name, entity) of the spellings (name, kind, given, initials) of one family name and one first initial."""
     out: list[tuple[str, str]] = []
     groups: dict[str, list[tuple[str, set[str]]]] = defaultdict(list)
     for name, kind, given, initials in rows:
@@ -310,34 +323,20 @@ def resolve(rows: list[tuple[str, str, str, str]]) -> list[tuple[str, str]]:
             out.append((name, f"g:{topic}:{' '.join(sorted(wider[0]))}"))
     people = [r for r in rows if r[1] == "person"]
     full: dict[str, set[str]] = defaultdict(set)  # given name -> middle initials seen with it
-    bare: set[str] = set()
     for _, _, given, initials in people:
         if given:
-            if initials[1:]:
-                full[given].add(initials[1:])
-            else:
-                bare.add(given)
-    persons: dict[tuple[str, str], None] = {}
-    for given in sorted({g for _, _, g, _ in people if g}):
-        middles = _maximal(full[given])
-        for m in middles or [""]:
-            persons[(given, m)] = None
+            full[given].update({initials[1:]} - {""})
+    persons = {given: _maximal(middles) or [""] for given, middles in sorted(full.items())}
+    memo: dict[tuple[str, str], list[tuple[str, str]]] = {}
 
     def fits(initials: str, given: str) -> list[tuple[str, str]]:
-        found = []
-        for g, m in persons:
-            if given and g != given:
-                continue
-            own = g[0] + m
-            if own.startswith(initials) or initials.startswith(own):
-                found.append((g, m))
-        return found
+        if (initials, given) not in memo:
+            among = {given: persons[given]} if given in persons else {} if given else persons
+            own = [(g, m) for g, middles in among.items() for m in middles]
+            memo[initials, given] = [(g, m) for g, m in own if (g[0] + m).startswith(initials) or initials.startswith(g[0] + m)]
+        return memo[initials, given]
 
-    free: dict[str, None] = {}
-    for _, _, given, initials in people:
-        if not given and not fits(initials, ""):
-            free[initials] = None
-    loose = _maximal(set(free))
+    loose = _maximal({initials for _, _, given, initials in people if not given and not fits(initials, "")})
     for name, _, given, initials in people:
         found = fits(initials, given)
         if len(found) == 1:
@@ -352,26 +351,29 @@ def resolve(rows: list[tuple[str, str, str, str]]) -> list[tuple[str, str]]:
 
 
 def _maximal(texts: set[str]) -> list[str]:
-    """Texts that are no proper beginning of another."""
-    return sorted(t for t in texts if not any(o != t and o.startswith(t) for o in texts))
+    """Texts that are no proper beginning of another: in order, such a text stands right before a longer one."""
+    ordered = sorted(texts)
+    return [t for t, after in zip(ordered, [*ordered[1:], None]) if after is None or not after.startswith(t)]
 
 
 def link_names(df: DataFrame, names: str) -> DataFrame:
     """(name, entity): the entity of every spelling in the array column `names`."""
-    spark = df.sparkSession
-    all_names = cut(spellings(df, names))
-    given_names = known_given_names(all_names)
-    shared = spark.sparkContext.broadcast(given_names)
+    all_names = cut(spellings(df, names).select("name", "times", F.pandas_udf(full_tokens, "array<string>")("name").alias("tokens")))
+    tokens = all_names.select("name", F.explode("tokens").alias("token"))
+    stands = known_given_names(tokens)
+    read = tokens.join(stands, "token").distinct().groupBy("name").agg(F.collect_list(F.struct("token", "given")).alias("read"))
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = set(shared.value)
-        trie = Trie(known)
         for batch in batches:
-            rows = [(n, k, *p) for n, k in zip(batch["name"], batch["times"]) if (p := parse(n, known, trie)) and p[1]]
+            rows = []
+            for n, k, read in zip(batch["name"], batch["times"], batch["read"]):
+                known = {r["token"]: r["given"] for r in read} if read is not None else {}
+                if (p := parse(n, known)) and p[1]:
+                    rows.append((n, k, *p))
             yield pd.DataFrame(rows, columns=["name", "times", "kind", "family", "given", "initials"])
 
     schema = "name string, times long, kind string, family string, given string, initials string"
-    parsed = cut(all_names.mapInPandas(parts, schema))
+    parsed = cut(all_names.select("name", "times").join(read, "name", "left").mapInPandas(parts, schema))
     families = parsed.groupBy("family").agg(F.sum("times").alias("n"))
     near = neighbours(families.where("family <> ''").select("family"))
     # A misspelt family name takes the place of its most frequent neighbour that is clearly more frequent.
@@ -383,17 +385,39 @@ def link_names(df: DataFrame, names: str) -> DataFrame:
         .groupBy("family")
         .agg(F.max_by("near", F.struct("m", "near")).alias("root"))
     )
-    rooted = parsed.join(roots, "family", "left").withColumn("root", F.coalesce("root", "family"))
+    rooted = parsed.join(roots, "family", "left").select("name", "kind", "given", "initials", F.coalesce("root", "family").alias("root"))
+    rooted = cut(rooted)
+    open_ = F.col("given").contains("/")
+    # A familiar form of several names is the one of them that the family name is seen with, if it is one.
+    seen = rooted.where(~open_ & (F.col("kind") == "person") & (F.col("given") != "")).select("root", F.col("given").alias("one")).distinct()
+    options = rooted.where(open_).select("root", "name", "initials", "given", F.explode(F.split("given", "/")).alias("one"))
+    met = options.join(seen, ["root", "one"]).groupBy("root", "name").agg(F.min("one").alias("one"), F.count("*").alias("n"))
+    told = rooted.where(open_).join(met, ["root", "name"], "left").select(
+        "root", "name", "kind", "initials", F.when(F.col("n") > 1, F.col("given")).otherwise(F.coalesce("one", F.split("given", "/")[0])).alias("given")
+    )
+    unsure = told.where(open_).select("name", F.concat_ws("|", "root", F.concat_ws(":", F.lit("?"), "given", "initials")).alias("entity"))
+    told = told.where(~open_).withColumn("initials", F.concat(F.left("given", F.lit(1)), F.expr("substring(initials, 2)")))
+    # A family name alone is the only person seen with it, or nobody known.
+    bare = (F.col("kind") == "person") & (F.col("initials") == "")
+    clear = rooted.where(~open_ & ~bare).unionByName(told)
+    letter = F.when(F.col("kind") == "person", F.left("initials", F.lit(1))).otherwise(F.lit("")).alias("letter")
 
     def entities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _runs(batches, "root"):
+        for run in _runs(batches, "part"):
             root = run["root"].iloc[0]
-            rows = list(run[["name", "kind", "given", "initials"]].itertuples(index=False, name=None))
-            out = resolve(rows)
-            yield pd.DataFrame({"name": [n for n, _ in out], "entity": [f"{root}|{e}" for _, e in out]})
-
-    runs = rooted.select("root", "name", "kind", "given", "initials").repartition("root").sortWithinPartitions("root")
-    return runs.mapInPandas(entities, "name string, entity string")
+            out = resolve(list(run[["name", "kind", "given", "initials"]].itertuples(index=False, name=None)))
+            yield pd.DataFrame({"root": root, "name": [n for n, _ in out], "entity": [f"{root}|{e}" for _, e in out]})
+
+    runs = clear.select("root", letter, "name", "kind", "given", "initials").withColumn("part", F.concat_ws("|", "root", "letter"))
+    many = 2 * df.sparkSession.sparkContext.defaultParallelism
+    runs = runs.drop("letter").repartition(many, "part").sortWithinPartitions("part")
+    linked = cut(runs.mapInPandas(entities, "root string, name string, entity string"))
+    lone = linked.where(F.col("entity").contains("|p:") | F.col("entity").contains("|i:")).groupBy("root").agg(
+        F.min("entity").alias("entity"), F.max("entity").alias("last")
+    )
+    alone = rooted.where(bare).join(lone.where("entity = last").select("root", "entity"), "root", "left")
+    alone = alone.select("name", F.coalesce("entity", F.concat("root", F.lit("|?:"), "name")).alias("entity"))
+    return linked.select("name", "entity").unionByName(unsure).unionByName(alone)
 
 
 def name_pairs(df: DataFrame, names: str) -> DataFrame:

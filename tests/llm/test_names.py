@@ -73,3 +73,24 @@ def test_ambiguous_initials_are_linked_to_nobody():
     got = dict(N.resolve(rows))
     assert got["Jonas Low"] != got["Joseph Low"] and got["J. Low"] == got["Low, J."]
     assert got["J. Low"] not in (got["Jonas Low"], got["Joseph Low"])
+
+
+def test_a_familiar_form_is_the_name_its_family_is_seen_with(spark):
+    families = ("Aaaabbb", "Bbbbccc", "Ccccddd", "Ddddeee")
+    lists = [[f"{l}, {g}"] for g in ("Andrea", "Andrew", "Edward", "Theodore", "Jonathan", "Jonas") for l in families]
+    lists += [["Andrew Kowalczuk"], ["Andy Kowalczuk"], ["Andrea Lindqvist"], ["Andy Lindqvist"], ["Ted Lindqvist"], ["Theodore Lindqvist"]]
+    lists += [["Jon Kowalczuk"], ["Jonas Kowalczuk"], ["Jonathan Kowalczuk"], ["Ted Kowalczuk"], ["Kowalczuk"], ["Zzyxq"], ["Zzyxq, Andrew"]]
+    df = spark.createDataFrame([(a,) for a in lists], "authors array<string>")
+    entity = {r.name: r.entity for r in N.link_names(df, "authors").collect()}
+    assert set(entity) == {n for a in lists for n in a}
+    assert entity["Andy Kowalczuk"] == entity["Andrew Kowalczuk"] and entity["Andy Lindqvist"] == entity["Andrea Lindqvist"]
+    assert entity["Ted Lindqvist"] == entity["Theodore Lindqvist"] and entity["Zzyxq"] == entity["Zzyxq, Andrew"]
+    assert entity["Jon Kowalczuk"] not in (entity["Jonas Kowalczuk"], entity["Jonathan Kowalczuk"])
+    assert entity["Kowalczuk"] not in {e for n, e in entity.items() if n != "Kowalczuk"}
+
+
+def test_repeated_tables_are_read_alike(spark):
+    lists = [[n] for group in SAME for n in group] + [[f"{l}, {g}"] for g in ("Alice", "Robert", "Peter") for l in ("Aaaabbb", "Bbbbccc", "Ccccddd")]
+    df = spark.createDataFrame([(a,) for a in lists], "authors array<string>")
+    many = df.crossJoin(spark.range(10)).select("authors")
+    assert {tuple(r) for r in N.name_pairs(df, "authors").collect()} == {tuple(r) for r in N.name_pairs(many, "authors").collect()}
