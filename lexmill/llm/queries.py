@@ -150,32 +150,38 @@ SELECT r.hit_id FROM search_records r JOIN decided d ON md5(r.abstract) = d.id W
 
 
 SQL = {
-    # A venue known by its full name wins, then the longest that is no filler; a text's length is cut by 40 for a visible cut.
+    # Of every field, what no other value outranks; of venues of one grade the first, by length, that the group's types confirm.
     "p2_found": rf"""
 WITH long AS (
-  SELECT paper_id, rec_id, 'abstract' AS field, abstract AS value,
+  SELECT paper_id, rec_id, 'abstract' AS field, abstract AS value, '' AS cls,
          CASE WHEN abstract IS NULL OR regexp_matches(lower(abstract), '{_FILLER}') THEN 0
               ELSE 1000000 + length(abstract) - CASE WHEN regexp_matches(abstract, '(\.\.\.|…|\]|WORDS\))\s*$') THEN 40 ELSE 0 END
          END::DOUBLE AS s1, coalesce(length(abstract), 0)::DOUBLE AS s2 FROM canonical
   UNION ALL
-  SELECT paper_id, rec_id, 'venue', c.venue,
+  SELECT paper_id, rec_id, 'venue', c.venue, coalesce(v.venue_category, ''),
          CASE WHEN v.venue IS NOT NULL THEN 2 WHEN c.venue IS NULL OR regexp_matches(lower(c.venue), '{_FILLER}') THEN 0 ELSE 1 END,
          coalesce(length(c.venue), 0) FROM canonical c LEFT JOIN venues v ON c.venue = v.venue
   UNION ALL
-  SELECT paper_id, rec_id, 'year', year::VARCHAR, CASE WHEN year BETWEEN 1800 AND 2025 THEN 1 ELSE 0 END,
+  SELECT paper_id, rec_id, 'year', year::VARCHAR, '', CASE WHEN year BETWEEN 1800 AND 2025 THEN 1 ELSE 0 END,
          epoch_us(retrieved_at)::DOUBLE FROM canonical
   UNION ALL
-  SELECT paper_id, rec_id, 'authors', authors::VARCHAR,
+  SELECT paper_id, rec_id, 'authors', authors::VARCHAR, '',
          coalesce(len(list_filter(authors, lambda x: x IS NOT NULL AND lower(trim(x)) NOT IN ('', 'et al.', 'et al'))), 0),
          CASE WHEN authors IS NULL THEN 0 WHEN len(list_filter(authors, lambda x: lower(trim(x)) IN ('', 'et al.', 'et al'))) = 0 THEN 2 ELSE 1 END
   FROM canonical
 ), groups AS (
   SELECT paper_id, field FROM long GROUP BY ALL
   HAVING count(DISTINCT value) + max(CASE WHEN value IS NULL THEN 1 ELSE 0 END) > 1
+), typed AS (
+  SELECT paper_id, max(CASE WHEN document_type = 'article' THEN 1 ELSE 0 END) AS fits_all, list(DISTINCT document_type) AS types FROM canonical GROUP BY paper_id
+), graded AS (
+  SELECT l.*, CASE WHEN field = 'venue' AND s1 = 2 AND NOT (t.fits_all = 1 OR cls = '' OR list_contains(t.types, cls) OR len(list_filter(t.types, lambda x: x IS NOT NULL)) = 0)
+                   THEN 0 ELSE 1 END AS agrees
+  FROM long l JOIN typed t USING (paper_id) SEMI JOIN groups USING (paper_id, field)
 ), best AS (
   SELECT paper_id, field, value,
-         row_number() OVER (PARTITION BY paper_id, field ORDER BY s1 DESC, s2 DESC, rec_id DESC) AS r
-  FROM long SEMI JOIN groups USING (paper_id, field)
+         row_number() OVER (PARTITION BY paper_id, field ORDER BY CASE WHEN field = 'venue' THEN s1 END DESC, agrees DESC, s1 DESC, s2 DESC, rec_id DESC) AS r
+  FROM graded
 )
 SELECT b.paper_id, b.field, min(l.rec_id) AS rec_id
 FROM best b JOIN long l ON b.paper_id = l.paper_id AND b.field = l.field AND b.value IS NOT DISTINCT FROM l.value

@@ -2,9 +2,10 @@
 
 Every value of a field gets a trust from rules that look only at the value and its row: a complete text outranks a cut
 one and a filler, a venue's full name outranks its short forms, a possible year outranks an impossible one and a later
-retrieval an earlier one, a complete list of authors outranks a part of it. Fields that depend on each other form
-bundles; a functional dependency says which choices of two bundles exclude each other (a venue has one category, and a
-record's type must not contradict it).
+retrieval an earlier one, a complete list of authors outranks a part of it. Values of one grade (two full names, say)
+are of nearly equal trust, those of a lower grade of much less. Venue and record type depend on each other: a venue has one
+category, and a record's type must not contradict it. So the two are chosen as a whole: of several full names the one
+survives whose category the types of the group confirm, though another is longer; a full name never yields to a short form.
 
 Within a group and a bundle only the best value of each dependency class can be part of an optimum, so one aggregation
 with map-side combine leaves at most as many candidates as there are classes (five categories at most), however large
@@ -26,21 +27,24 @@ FILLER = r"^\W*(no abstract( is)?( available)?|(the )?abstract( is)?( not availa
 CUT = r"(\.\.\.|…|[\[(]\s*(\.\.\.|…|[A-Za-z ]*([Tt]runcated|TRUNCATED|abridged|more)[A-Za-z0-9 ]*)\s*[\])])\s*$"
 FIRST_YEAR, LAST_YEAR = 1800, 2025
 FIELDS = ("abstract", "venue", "year", "authors")
+NAMES = (*FIELDS, "document_type")
 #: A record's type that is compatible with a venue of any category.
 ANY_TYPE = ("article",)
-#: Trust of a bundle relative to the others; the type yields to the venue.
+#: Trust of the best value of a field; one grade less halves it, and a place less within a grade costs little. A type can
+#: decide between venues of one grade only.
 WEIGHT = {"abstract": 4.0, "venue": 4.0, "year": 4.0, "authors": 4.0, "document_type": 1.0}
+PLACE = 0.01
 
 
-def _candidates(df: DataFrame, group: str, row: str, at: str, venues: DataFrame) -> DataFrame:
+def _candidates(df: DataFrame, group: str, row: str, at: str, venues: DataFrame, last_year: int = LAST_YEAR) -> DataFrame:
     """(group, field, value, class, rank, row, trust): every value of every row, without the texts themselves."""
     text, venue, year, people = F.col("abstract"), F.col("venue"), F.col("year"), F.col("authors")
     real_people = F.filter(people, lambda x: x.isNotNull() & ~F.lower(F.trim(x)).isin("", "et al.", "et al"))
-    known = F.broadcast(venues.select(F.col("venue").alias("__name"), F.col("venue_category").alias("__category")))
+    known = venues.groupBy(F.col("venue").alias("__name")).agg(F.min("venue_category").alias("__category"))
     rows = df.join(known, venue == F.col("__name"), "left")
     moment = F.coalesce(F.unix_micros(F.col(at).cast("timestamp")).cast("double"), F.lit(0.0))
     zero = F.lit(0.0)
-    possible = year.between(FIRST_YEAR, LAST_YEAR)
+    possible = year.between(FIRST_YEAR, last_year)
 
     def value(name: str, digest: Column, cls: Column, *rank: Column) -> Column:
         ranks = [F.coalesce(r.cast("double"), zero) for r in rank]
@@ -111,51 +115,59 @@ def branch_and_bound(bundles: list[list[tuple[float, str, int]]], excluded) -> t
     return best if best[1] or not order else (0.0, [b[0][2] for b in order])
 
 
-def survivors(df: DataFrame, group: str, row: str, at: str, venues: DataFrame) -> DataFrame:
-    """(group, field, rec_id, n_values) for every group and field: the row whose value survives."""
-    best = _best(_candidates(df, group, row, at, venues), group)
-    names = [*FIELDS, "document_type"]
-    pairs = {("venue", "document_type")}
+def trusted(cells: list[tuple[tuple, str, int]], weight: float) -> list[tuple[float, str, int]]:
+    """(trust, class, row) of the (rank, class, row) of one field; the first part of a rank is its grade."""
+    ranked = sorted(cells, key=lambda c: (c[0], -c[2]), reverse=True)
+    grades = sorted({c[0][0] for c in ranked}, reverse=True)
+    return [(max(weight / 2 ** grades.index(rank[0]) - PLACE * k, 0.0), cls, row) for k, (rank, cls, row) in enumerate(ranked)]
 
-    def excluded(i: int, a: str, j: int, b: str) -> bool:
-        if (names[i], names[j]) not in pairs:
-            return False
-        return bool(a) and bool(b) and b not in ANY_TYPE and a != b
+
+def contradicts(i: int, a: str, j: int, b: str) -> bool:
+    """Do the venue category and the record type of two chosen values exclude each other?"""
+    chosen = {NAMES[i]: a, NAMES[j]: b}
+    category, kind = chosen.get("venue"), chosen.get("document_type")
+    return bool(category) and bool(kind) and kind not in ANY_TYPE and kind != category
+
+
+def survivors(df: DataFrame, group: str, row: str, at: str, venues: DataFrame, last_year: int = LAST_YEAR, names: tuple = FIELDS) -> DataFrame:
+    """(group, field, rec_id, n_values) for every group and each field of `names`: the row whose value survives.
+
+    rec_id is null where a group keeps no record type, since every type contradicts its venue.
+    """
+    best = _best(_candidates(df, group, row, at, venues, last_year), group)
 
     def choose(lists: pd.Series) -> pd.Series:
         out = []
         for cells in lists:
-            by: dict[str, list] = {n: [] for n in names}
+            by: dict[str, list] = {n: [] for n in NAMES}
             for c in cells:
                 by[c["field"]].append((tuple(c["rank"]), c["class"], int(c["row"])))
-            bundles = []
-            for n in names:
-                ranked = sorted(by[n], key=lambda c: (c[0], -c[2]), reverse=True)
-                # Trust falls with the place in the order of ranks; the best of a bundle has the bundle's full weight.
-                bundles.append([(WEIGHT[n] / (1 + k), c[1], c[2]) for k, c in enumerate(ranked)])
+            bundles = [trusted(by[n], WEIGHT[n]) for n in NAMES]
             bundles[-1].append((0.0, "", -1))  # no type at all contradicts nothing
-            out.append(branch_and_bound(bundles, excluded)[1][: len(FIELDS)])
+            rows = branch_and_bound(bundles, contradicts)[1]
+            out.append([None if n == "document_type" and r == -1 else r for n, r in zip(NAMES, rows)])
         return pd.Series(out)
 
     cell = F.struct("field", "class", "rank", "row")
     grouped = best.groupBy(group).agg(
         F.collect_list(cell).alias("cells"),
-        *[F.sum(F.when(F.col("field") == f, F.col("n"))).alias(f"n_{f}") for f in FIELDS],
+        *[F.sum(F.when(F.col("field") == f, F.col("n"))).alias(f"n_{f}") for f in NAMES],
     )
     chosen = grouped.withColumn("rows", F.pandas_udf(choose, "array<long>")("cells"))
     fields = [
         F.struct(F.lit(f).alias("field"), F.col("rows")[i].alias("rec_id"), F.col(f"n_{f}").alias("n_values"))
-        for i, f in enumerate(FIELDS)
+        for i, f in enumerate(NAMES)
+        if f in names
     ]
     return chosen.select(group, F.explode(F.array(*fields)).alias("f")).select(group, "f.*")
 
 
 def golden(df: DataFrame, group: str, row: str, at: str, venues: DataFrame) -> DataFrame:
-    """One record of each group: the best value of every field, and the row it came from."""
-    chosen = survivors(df, group, row, at, venues)
-    wide = chosen.groupBy(group).agg(*[F.max(F.when(F.col("field") == f, F.col("rec_id"))).alias(f"{f}_rec") for f in FIELDS])
-    values = chosen.select(F.col("rec_id").alias(row), F.col("field")).join(df.select(row, *FIELDS), row)
-    held = values.select(row, "field", *[F.when(F.col("field") == f, F.col(f)).alias(f) for f in FIELDS])
-    back = chosen.select(group, F.col("rec_id").alias(row), "field").join(held, [row, "field"])
-    cells = back.groupBy(group).agg(*[F.max(f).alias(f) if f != "authors" else F.first(f, ignorenulls=True).alias(f) for f in FIELDS])
+    """One record of each group: the best value of every field and a record type that agrees, and the row each came from."""
+    chosen = survivors(df, group, row, at, venues, names=NAMES)
+    wide = chosen.groupBy(group).agg(*[F.max(F.when(F.col("field") == f, F.col("rec_id"))).alias(f"{f}_rec") for f in NAMES])
+    held = df.select(row, *[F.struct(f).alias(f) for f in NAMES])
+    back = chosen.select(group, F.col("rec_id").alias(row), "field").join(held, row)
+    # A struct around a value keeps a null that was chosen.
+    cells = back.groupBy(group).agg(*[F.first(F.when(F.col("field") == f, F.col(f)), ignorenulls=True)[f].alias(f) for f in NAMES])
     return wide.join(cells, group)

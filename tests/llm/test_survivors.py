@@ -59,3 +59,43 @@ def test_branch_and_bound_equals_brute_force():
         trust, chosen = S.branch_and_bound(bundles, excluded)
         assert len(chosen) == len(bundles)
         assert abs(trust - max(legal)) < 1e-9 if legal else trust == 0.0
+
+
+def test_the_record_type_decides_between_full_names(spark):
+    rows = [
+        (1, "p", "text", "Journal of Very Long Tests", 2010, ["A"], "conference", D(1), "", ""),
+        (2, "p", "text", "Proc. Tests", 2010, ["A"], "conference", D(2), "", ""),
+        (3, "q", "text", "Journal of Very Long Tests", 2010, ["A"], "conference", D(1), "", ""),
+        (4, "q", "text", "P. Tests", 2010, ["A"], "conference", D(2), "", ""),
+        (5, "r", "text", "Journal of Very Long Tests", 2010, ["A"], "article", D(1), "", ""),
+        (6, "r", "text", "Proc. Tests", 2010, ["A"], None, D(2), "", ""),
+    ]
+    venues = spark.createDataFrame([("Journal of Very Long Tests", "J", "journal"), ("Proc. Tests", "P", "conference")], "venue string, short_name string, venue_category string")
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.paper_id: r.rec_id for r in S.survivors(df, "paper_id", "rec_id", "retrieved_at", venues).where("field = 'venue'").collect()}
+    # The longest full name survives field by field; in p the types of the group contradict it.
+    assert got == {"p": 2, "q": 3, "r": 5}
+    records = {r.paper_id: r for r in S.golden(df, "paper_id", "rec_id", "retrieved_at", venues).collect()}
+    assert records["p"].document_type == "conference" and records["q"].document_type is None and records["r"].document_type == "article"
+
+
+def test_bundles_that_bind_equal_enumeration():
+    import random
+
+    rng = random.Random(7)
+    kinds, changed = ["journal", "conference", "workshop"], 0
+    for _ in range(400):
+        cells = {n: [((float(rng.randint(0, 2)), float(rng.randint(0, 9))), "", rng.randrange(1000)) for _ in range(rng.randint(1, 3))] for n in S.FIELDS}
+        cells["venue"] = [((2.0, float(rng.randint(5, 9))), k, rng.randrange(1000)) for k in rng.sample(kinds, rng.randint(1, 3))]
+        cells["document_type"] = [((1.0, 0.0), k, rng.randrange(1000)) for k in rng.sample([*kinds, "article"], rng.randint(1, 2))]
+        bundles = [S.trusted(cells[n], S.WEIGHT[n]) for n in S.NAMES]
+        bundles[-1].append((0.0, "", -1))
+        trust, chosen = S.branch_and_bound(bundles, S.contradicts)
+        legal = [
+            sum(c[0] for c in pick)
+            for pick in itertools.product(*bundles)
+            if not any(S.contradicts(i, pick[i][1], j, pick[j][1]) for i in range(5) for j in range(i + 1, 5))
+        ]
+        assert abs(trust - max(legal)) < 1e-9
+        changed += chosen[1] != bundles[1][0][2]
+    assert changed > 20
