@@ -76,7 +76,8 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.fill(p9_containers(spark, sf_dir), table(spark, sf_dir, "pack_limits"))
+    limits = table(spark, sf_dir, "pack_limits")
+    return packing.fill(packing.packed_shards(table(spark, sf_dir, "documents"), "doc_id", "text", limits), limits)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

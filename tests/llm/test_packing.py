@@ -61,6 +61,34 @@ def test_containers(spark):
         assert got == {k: len(machine.encode(texts[k])) for k in (1, 5, 6, 7)}
         assert all((r.piece is not None) == (r.doc_id == 5 and profile == "small") for r in mine)
     assert sorted(r.piece for r in rows if r.doc_id == 5 and r.profile == "small") == list(range(1, 15))
-    filled = {r.profile: r for r in P.fill(P.containers(df, "doc_id", "text", limits), limits).collect()}
+    filled = {r.profile: r for r in P.fill(P.packed_shards(df, "doc_id", "text", limits), limits).collect()}
     assert filled["large"].containers == 1
     assert P.containers(df.limit(0), "doc_id", "text", limits).count() == 0
+
+
+def test_related_documents_share_a_shard_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"topic{k % 20}word{rng.randint(0, 4)}" for _ in range(30)) + " the same words for all" for k in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    limits = spark.createDataFrame([("small", 2000)], "profile string, capacity_tokens int")
+    monkeypatch.setattr(P, "SHARD", 60)
+    rows = P.packed_shards(df, "doc_id", "text", limits).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(600))
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.container >> 32, []).append(r.doc_id)
+    topics = sum(len({i % 20 for i in ids}) for ids in shards.values())
+    assert max(map(len, shards.values())) <= 75 and topics <= 5 * len(shards)
+    filled = P.fill(spark.createDataFrame(rows, P.SCHEMA), limits).first()
+    assert filled.placed_by_index > 300 and filled.still_near > 0.7
+
+
+def test_shards_are_bounded_in_characters(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(P, "SHARD_CHARS", 1000)
+    batches = [pd.DataFrame({"doc_id": range(10 * b, 10 * b + 10), "text": ["x" * (5000 if i == 5 else 300) for i in range(10)]}) for b in range(3)]
+    runs = list(P._bounded(iter(batches)))
+    assert [i for r in runs for i in r["doc_id"]] == list(range(30))
+    assert all(len(r) == 1 or r["text"].str.len().sum() <= 1250 for r in runs)
+    assert list(P._bounded(iter([]))) == []
