@@ -1,194 +1,221 @@
 """Texts as bags of canonical words: misspellings and synonyms are learned from the corpus itself.
 
-* The vocabulary holds the words that stand in at least a fixed share of all texts, so its size is bounded whatever the
-  corpus (`SHARE` and the mean length of a text bound it); it is what gets broadcast.
-* A word outside it that is one edit from exactly one or more vocabulary words is read as the most frequent of these.
-* Two vocabulary words are synonyms if many pairs of texts differ in nothing but these two words.
-
-Similar bags are found exactly. With the words of every bag in one order, rarest first, two bags that share enough for
-the thresholds share one of the first few words; bags that do so are compared, those of a frequent word in blocks of
-bounded size. Bit sketches, which bound what two bags can share from above, and then the whole bags decide.
+Everything is counted over different texts, so repeated rows change nothing, and every threshold is a number of texts or a
+ratio of counts, never a share of the corpus, so a word is read alike in a small and in a large table.
+
+* A word of fewer than `LEAST` texts that is one edit from a word at least `MISSPELT` times as frequent is read as that.
+* Two words are synonyms on evidence, not on looks: texts that differ in nothing but these two words must agree in what
+  they report (a figure, an identifier) at least `AGREE` times, and hardly ever disagree; the pairs must be more than an
+  accident for the rarer word, and the words must not seek each other's company. Words that only fill the same place (two
+  drugs, "reduces" and "increases") have no such evidence and stay apart.
+* A misspelling too frequent for the first rule needs the same place in the same text as its far more frequent neighbour.
+
+What is learned are tables. A table is broadcast only after its rows are counted (`SMALL`); a larger one is joined.
+
+`similar` finds the bags of a given Jaccard similarity, `within` those that are part of another. Both are exact. With the
+words of every bag in one order, rarest first, two bags that share enough for the thresholds share one (or three) of the
+first few words; bags that do so are compared, those of a frequent word in blocks of bounded size. Bit sketches, which
+bound what two bags can share from above, and then the whole bags decide.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.names import Trie, fold
-from lexmill.session import cut, spread
-
-#: A vocabulary word stands in this share of the texts, and in so many texts at least.
-SHARE, LEAST = 1 / 2000, 5
-#: Two words are synonyms if so many pairs of bags differ in them alone, and this share of the bags of the rarer word.
-SYNONYM_PAIRS, SYNONYM_SHARE = 3, 0.04
-#: Words that stand beside each other so often, and in this share of their texts, are one.
-TOGETHER_LEAST, TOGETHER = 20, 0.85
+from lexmill.llm.names import fold, one_edit
+from lexmill.operators.identity import components
+from lexmill.session import cut
+
+#: A word of so many texts is one; a rarer one may be misspelt if a neighbour is so many times as frequent.
+LEAST, MISSPELT = 5, 20
+#: A word of `LEAST` texts is misspelt only if a neighbour is so many times as frequent and fills its place.
+FAR_RARER = 50
+#: Longer words are not read as misspellings.
+LONGEST = 40
+#: Synonyms: pairs of texts that agree at least, how much more often than they disagree, share of the rarer word's texts,
+#: and how often the two may stand in one text against chance.
+AGREE, AGAINST, SUBSTITUTES, TOGETHER = 2, 4, 0.02, 0.7
+#: Texts that differ in one word must share so many others to say anything of it.
+HOLE = 6
+#: A word follows another always if it does so in so many texts and in this share of them.
+FOLLOWS_LEAST, FOLLOWS = 20, 0.85
+#: A learned table of so many rows at most is broadcast.
+SMALL = 200_000
 #: Bags of one word that a block holds at most, about, and pairs of blocks that a task compares, about.
 BLOCK, CELLS = 2048, 2000
+#: Parts of so much of the whole are found by three words, smaller ones by two.
+NEAR = 0.75
 WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 
 
-def tokenised(df: DataFrame, key: str, text: str, tokens: Callable[[str], list[str]]) -> DataFrame:
-    """(key, tokens) of every row with a text; `tokens` must be deterministic."""
-
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: tokens(t) if t else [])
-
-    rows = df.where(F.col(text).isNotNull()).select(key, text)
-    return spread(rows).select(key, F.pandas_udf(run, "array<string>")(text).alias("tokens"))
+def tasks(df: DataFrame) -> int:
+    """A number of partitions that keeps all cores busy; adaptive execution does not join what is set by number."""
+    spark = df.sparkSession
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def vocabulary(docs: DataFrame) -> dict[str, int]:
-    """Word -> number of texts, for the words of the bounded vocabulary."""
-    n = docs.count()
-    least = max(LEAST, n * SHARE)
-    words = docs.select(F.explode(F.array_distinct("tokens")).alias("w")).groupBy("w").count()
-    return {r[0]: r[1] for r in words.where(F.col("count") >= least).collect()}
+def read_texts(df: DataFrame, key: str, text: str, read: Callable[[str], tuple[list[str], float | None, float | None]]) -> tuple[DataFrame, DataFrame]:
+    """((key, doc) of every row with a text, (doc, tokens, lo, hi) of every different text).
 
+    `read` must be deterministic; lo and hi bound the figure that the text reports, or are None.
+    """
+    rows = df.where(F.col(text).isNotNull()).select(F.col(key), F.md5(text).alias("doc"), F.col(text).alias("__text"))
 
-def corrector(known: dict[str, int]) -> Callable[[str], str]:
-    """A function that reads a word as itself or as the vocabulary word it misspells."""
-    trie = Trie(w for w in known if len(w) > 3)
-    memo: dict[str, str] = {}
-
-    def read(word: str) -> str:
-        if word in known or len(word) < 4 or any(c.isdigit() for c in word):
-            return word
-        found = memo.get(word)
-        if found is None:
-            if len(memo) > 200_000:
-                memo.clear()
-            near = trie.near(word)
-            found = memo[word] = max(near, key=lambda w: (known[w], w)) if near else word
-        return found
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([read(t) for t in texts], columns=["tokens", "lo", "hi"])
 
-    return read
+    different = rows.select("doc", "__text").repartition(tasks(df), "doc").dropDuplicates(["doc"])
+    parsed = different.select("doc", F.pandas_udf(run, "tokens array<string>, lo double, hi double")("__text").alias("r"))
+    return rows.select(key, "doc"), cut(parsed.select("doc", "r.*"))
 
 
-def canonical(docs: DataFrame, key: str, known: dict[str, int], same: dict[str, str]) -> DataFrame:
-    """(key, bag): the distinct canonical words of each text, in order of first occurrence."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, same))
+def looked_up(docs: DataFrame, units: Column, learned: DataFrame) -> DataFrame:
+    """`docs` with `found`: for each element of `units` its value in `learned` (k, v), or null."""
+    learned = cut(learned)
+    rows = docs.withColumn("__units", units)
+    if learned.limit(SMALL + 1).count() <= SMALL:
+        shared = docs.sparkSession.sparkContext.broadcast({r["k"]: r["v"] for r in learned.collect()})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, same = shared.value
-        read = corrector(known)
-        for batch in batches:
-            bags = []
-            for words in batch["tokens"]:
-                bags.append(list(dict.fromkeys(same.get(r, r) for r in map(read, words))))
-            yield pd.DataFrame({key: batch[key], "bag": bags})
+        def look(lists: pd.Series) -> pd.Series:
+            return lists.map(lambda us: [shared.value.get(u) for u in us])
 
-    kind = dict(docs.dtypes)[key]
-    return docs.select(key, "tokens").mapInPandas(run, f"{key} {kind}, bag array<string>")
+        return rows.withColumn("found", F.pandas_udf(look, "array<string>")("__units")).drop("__units")
+    flat = rows.select("doc", F.posexplode("__units").alias("pos", "k")).join(learned, "k")
+    held = flat.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("pos", "v"))).alias("__held"))
+    joined = rows.join(held, "doc", "left")
+    return joined.withColumn("found", F.transform("__units", lambda u, i: F.try_element_at("__held", i))).drop("__units", "__held")
 
 
-def synonyms(bags: DataFrame, known: dict[str, int]) -> dict[str, str]:
-    """Vocabulary word -> the most frequent word of its class of synonyms."""
-    spark = bags.sparkSession
-    words = F.broadcast(spark.createDataFrame([(w,) for w in known] or [("",)], "w string"))
-    distinct = bags.select(F.sort_array("bag").alias("bag")).distinct().where(F.size("bag") > 3)
-    holes = distinct.select(F.explode("bag").alias("w"), "bag").join(words, "w")
-    holes = holes.select("w", F.xxhash64(F.array_remove("bag", F.col("w"))).alias("rest"))
-    # What fills one hole is a set of vocabulary words, bounded like the vocabulary.
-    filled = holes.groupBy("rest").agg(F.sort_array(F.collect_set("w")).alias("ws")).where(F.size("ws") > 1)
-    pairs = (
-        filled.select("ws", F.posexplode("ws").alias("i", "a"))
-        .select("a", F.explode(F.slice("ws", F.col("i") + 2, F.size("ws"))).alias("b"))
-        .groupBy("a", "b")
-        .count()
-        .where(F.col("count") >= SYNONYM_PAIRS)
-        .collect()
-    )
-    root: dict[str, str] = {}
+def replaced(docs: DataFrame, column: str, learned: DataFrame) -> DataFrame:
+    """`docs` with the words of `column` as `learned` (k, v) reads them."""
+    rows = looked_up(docs, F.col(column), learned)
+    return rows.withColumn(column, F.zip_with(column, "found", lambda w, v: F.coalesce(v, w))).drop("found")
 
-    def find(w: str) -> str:
-        while root.get(w, w) != w:
-            w = root[w]
-        return w
 
-    for a, b, n in pairs:
-        if n >= SYNONYM_SHARE * min(known[a], known[b]):
-            x, y = sorted((find(a), find(b)), key=lambda w: (-known[w], w))
-            root[y] = x
-    return {w: find(w) for w in root}
+def word_counts(docs: DataFrame, column: str) -> DataFrame:
+    """(w, df): the words and the number of texts that hold them."""
+    return docs.select(F.explode(F.array_distinct(column)).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
 
 
-def collocations(bags: DataFrame, known: dict[str, int]) -> dict[str, str]:
-    """Vocabulary word -> the first of the words that it always stands beside.
+def edits(rare: DataFrame, usual: DataFrame) -> DataFrame:
+    """(w, n, near, m): pairs of words (w, df) of the two tables that are one edit apart; they meet by what is left of them
+    without one letter."""
+    left = "array_distinct(array_append(transform(sequence(1, length(w)), i -> concat(left(w, i - 1), substring(w, i + 1))), w))"
+    plain = (F.length("w") > 3) & (F.length("w") <= LONGEST) & ~F.col("w").rlike(r"\d")
+    a = rare.where(plain).select("w", F.col("df").alias("n"), F.explode(F.expr(left)).alias("part"))
+    b = usual.where(plain).select(F.col("w").alias("near"), F.col("df").alias("m"), F.explode(F.expr(left)).alias("part"))
+    met = a.join(b, "part").where(F.col("w") != F.col("near")).select("w", "n", "near", "m").distinct()
+    return met.where(F.pandas_udf(one_edit, "boolean")("w", "near"))
 
-    Such words say one thing; counted as several they would make texts alike that share it by chance.
-    """
-    ends = F.slice("bag", 2, F.size("bag"))
-    beside = F.filter(F.zip_with("bag", ends, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["b"].isNotNull())
-    pairs = bags.where(F.size("bag") > 1).select(F.explode(beside).alias("p")).groupBy("p.a", "p.b").count()
-    words = bags.select(F.explode("bag").alias("w")).groupBy("w").count()
-    one, two = words.toDF("a", "na"), words.toDF("b", "nb")
-    fixed = pairs.join(one, "a").join(two, "b").where(
-        (F.col("count") >= TOGETHER_LEAST) & (F.col("count") >= TOGETHER * F.greatest("na", "nb"))
-    )
-    root: dict[str, str] = {}
-    for a, b in sorted((r["a"], r["b"]) for r in fixed.collect() if r["a"] in known and r["b"] in known):
-        root[b] = a
 
-    def find(w: str) -> str:
-        seen = set()
-        while w in root and w not in seen:
-            seen.add(w)
-            w = root[w]
-        return w
+def corrections(words: DataFrame, ratio: float = MISSPELT) -> DataFrame:
+    """(k, v): the misspelt words of (w, df) and what they are read as, the most frequent neighbour."""
+    near = edits(words.where(F.col("df") < LEAST), words.where(F.col("df") >= LEAST)).where(F.col("m") >= ratio * F.col("n"))
+    return near.groupBy(F.col("w").alias("k")).agg(F.max_by("near", F.struct("m", "near")).alias("v"))
 
-    return {w: find(w) for w in root}
 
+def implied(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(k, v): pairs "a b" of words of which b follows a nearly always, and so says nothing there ("encoding model")."""
+    pairs = docs.where(F.size("bag") > 1).select(F.explode(_beside()).alias("k")).where("k <> ''").groupBy("k").count()
+    first = pairs.where(F.col("count") >= FOLLOWS_LEAST).withColumn("w", F.split("k", " ")[0])
+    return first.join(counts, "w").where(F.col("count") >= FOLLOWS * F.col("df")).select("k", F.lit("").alias("v"))
 
-def implied(bags: DataFrame, known: dict[str, int]) -> dict[str, set[str]]:
-    """Word -> the words that follow it nearly always, and so say nothing there ("encoding model")."""
-    ends = F.slice("bag", 2, F.size("bag"))
-    beside = F.filter(F.zip_with("bag", ends, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["b"].isNotNull())
-    pairs = bags.where(F.size("bag") > 1).select(F.explode(beside).alias("p")).groupBy("p.a", "p.b").count()
-    out: dict[str, set[str]] = {}
-    for a, b, n in pairs.where(F.col("count") >= TOGETHER_LEAST).collect():
-        if a in known and b in known and n >= TOGETHER * known[a]:
-            out.setdefault(a, set()).add(b)
-    return out
 
+def _beside() -> Column:
+    """Each word of the bag with the one before it; '' for the first."""
+    return F.transform("bag", lambda w, i: F.when(i > 0, F.concat(F.get(F.col("bag"), i - 1), F.lit(" "), w)).otherwise(F.lit("")))
 
-def _without_implied(words: DataFrame, key: str, after: dict[str, set[str]]) -> DataFrame:
-    shared = words.sparkSession.sparkContext.broadcast(after)
 
-    def run(bags: pd.Series) -> pd.Series:
-        after = shared.value
-        none: set[str] = set()
-        return bags.map(lambda ws: [w for i, w in enumerate(ws) if i == 0 or w not in after.get(ws[i - 1], none)])
+def without_implied(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    rows = looked_up(docs, _beside(), implied(docs, counts))
+    held = F.filter(F.arrays_zip("bag", "found"), lambda x: x["found"].isNull())
+    return rows.withColumn("bag", F.transform(held, lambda x: x["bag"])).drop("found")
 
-    return words.select(key, F.pandas_udf(run, "array<string>")("bag").alias("bag"))
 
+def synonyms(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(k, v): words of (doc, bag, lo, hi) and one word of their class of synonyms, see the module's description."""
+    words = counts.where(F.col("df") >= LEAST)
+    sorted_ = docs.where(F.size("bag") > HOLE).withColumn("bag", F.sort_array("bag"))
+    holes = sorted_.select(F.explode("bag").alias("w"), "bag", "lo", "hi")
+    holes = holes.select("w", F.xxhash64(F.array_remove("bag", F.col("w"))).alias("rest"), "lo", "hi")
+    # The figures of equal texts meet in one interval, or in none.
+    places = holes.groupBy("rest", "w").agg(F.max("lo").alias("lo"), F.min("hi").alias("hi"))
+    several = places.groupBy("rest").agg(F.count("*").alias("n")).where("n > 1").select("rest")
+    places = cut(places.join(several, "rest").join(words.select("w"), "w"))
+    sure = places.where(F.col("lo") <= F.col("hi"))
+    binned = sure.select("rest", "w", "lo", "hi", F.explode(F.sequence(F.floor("lo"), F.floor("hi"))).alias("bin"))
+    one, two = (binned.select("rest", "bin", *[F.col(c).alias(f"{c}_{x}") for c in ("w", "lo", "hi")]) for x in ("a", "b"))
+    agreed = one.join(two, ["rest", "bin"]).where((F.col("w_a") < F.col("w_b")) & (F.greatest("lo_a", "lo_b") <= F.least("hi_a", "hi_b")))
+    agreed = agreed.select("rest", F.col("w_a").alias("a"), F.col("w_b").alias("b")).distinct()
+    likely = agreed.groupBy("a", "b").count().where(F.col("count") >= AGREE).select("a", "b", F.lit(False).alias("typo"))
+    typos = edits(words, words).where(F.col("m") >= FAR_RARER * F.col("n")).select(
+        F.least("w", "near").alias("a"), F.greatest("w", "near").alias("b"), F.lit(True).alias("typo")
+    )
+    asked = cut(likely.unionByName(typos).groupBy("a", "b").agg(F.max("typo").alias("typo")))
+    side = lambda x: places.select("rest", F.col("w").alias(x), F.col("lo").alias(f"lo_{x}"), F.col("hi").alias(f"hi_{x}"))
+    met = asked.join(side("a"), "a").join(side("b"), ["rest", "b"])
+    told = (F.col("lo_a") <= F.col("hi_a")) & (F.col("lo_b") <= F.col("hi_b"))
+    same = F.greatest("lo_a", "lo_b") <= F.least("hi_a", "hi_b")
+    seen = met.groupBy("a", "b").agg(
+        F.first("typo").alias("typo"), F.count("*").alias("places"), F.count_if(told & same).alias("agree"), F.count_if(told & ~same).alias("against")
+    )
+    evidence = F.when(F.col("typo") & (F.col("against") == 0), True).otherwise((F.col("agree") >= AGREE) & (F.col("agree") >= AGAINST * F.col("against")))
+    held = cut(seen.where(evidence))
+    stand = docs.select("doc", F.explode("bag").alias("w"))
+    both = held.select("a", "b").join(stand.withColumnRenamed("w", "a"), "a").join(stand.withColumnRenamed("w", "b"), ["doc", "b"])
+    both = both.groupBy("a", "b").agg(F.count("*").alias("both"))
+    sized = (
+        held.join(words.select(F.col("w").alias("a"), F.col("df").alias("na")), "a")
+        .join(words.select(F.col("w").alias("b"), F.col("df").alias("nb")), "b")
+        .join(both, ["a", "b"], "left")
+        .crossJoin(docs.agg(F.count("*").alias("n")))
+    )
+    enough = F.col("typo") | (F.col("places") >= SUBSTITUTES * F.least("na", "nb"))
+    apart = F.coalesce("both", F.lit(0)) <= TOGETHER * F.col("na") * F.col("nb") / F.col("n")
+    return _classes(cut(sized.where(enough & apart).select("a", "b")))
+
+
+def _classes(pairs: DataFrame) -> DataFrame:
+    """(k, v): each word of the pairs and the smallest word that it is connected with."""
+    spark = pairs.sparkSession
+    if pairs.limit(SMALL + 1).count() > SMALL:
+        named = pairs.withColumn("key", F.concat_ws(" ", "a", "b"))
+        edges = named.select(F.col("a").alias("record"), "key").unionByName(named.select(F.col("b").alias("record"), "key"))
+        return components(edges, edges.select("record").distinct()).select(F.col("record").alias("k"), F.col("component").alias("v"))
+    root: dict[str, str] = {}
 
-def _mapped(words: DataFrame, key: str, names: dict[str, str], order: bool) -> DataFrame:
-    shared = words.sparkSession.sparkContext.broadcast(names)
+    def find(w: str) -> str:
+        while root.get(w, w) != w:
+            w = root[w]
+        return w
 
-    def run(bags: pd.Series) -> pd.Series:
-        names = shared.value
-        if order:
-            return bags.map(lambda ws: list(dict.fromkeys(names.get(w, w) for w in ws)))
-        return bags.map(lambda ws: sorted({names.get(w, w) for w in ws}))
+    for a, b in sorted(tuple(r) for r in pairs.collect()):
+        x, y = sorted((find(a), find(b)))
+        root[y] = root[x] = x
+    return spark.createDataFrame([(w, find(w)) for w in sorted(root)], "k string, v string")
 
-    return words.select(key, F.pandas_udf(run, "array<string>")("bag").alias("bag"))
 
+def learn(
+    df: DataFrame, key: str, text: str, read: Callable[[str], tuple[list[str], float | None, float | None]], stop: frozenset[str], rounds: int = 2
+) -> DataFrame:
+    """(key, bag) of every row with a text: sorted canonical words, with misspellings, implied words and synonyms resolved.
 
-def learn(df: DataFrame, key: str, text: str, tokens: Callable[[str], list[str]]) -> DataFrame:
-    """(key, bag) of every row with a text: sorted canonical words, with misspellings, synonyms and words that always stand
-    together resolved; kept in the checkpoint folder."""
-    docs = cut(tokenised(df, key, text, tokens))
-    known = vocabulary(docs)
-    read = cut(canonical(docs, key, known, {}))
-    first = cut(_without_implied(read, key, implied(read, known)))
-    second = cut(_mapped(first, key, synonyms(first, known), True))
-    return cut(_mapped(second, key, collocations(second, known), False))
+    Words of `stop` are left out after spelling is read; a text of such words alone is known by them.
+    """
+    rows, docs = read_texts(df, key, text, read)
+    docs = replaced(docs, "tokens", corrections(cut(word_counts(docs, "tokens"))))
+    bare = F.array_except("tokens", F.array(*[F.lit(w) for w in sorted(stop)]))
+    docs = cut(docs.select("doc", F.when(F.size(bare) > 0, bare).otherwise(F.array_distinct("tokens")).alias("bag"), "lo", "hi"))
+    docs = cut(without_implied(docs, cut(word_counts(docs, "bag"))))
+    for _ in range(rounds):
+        docs = replaced(docs, "bag", synonyms(docs, cut(word_counts(docs, "bag"))))
+        docs = cut(docs.withColumn("bag", F.array_distinct("bag")))
+    return cut(rows.join(docs.select("doc", F.sort_array("bag").alias("bag")), "doc").select(key, "bag"))
 
 
 def _shared_at_most(x: str, y: str) -> Column:
@@ -207,23 +234,17 @@ def _postings(sized: DataFrame, me: str, need: Column, block: str) -> DataFrame:
 
 
 def similar(
-    bags: DataFrame, key: str, least_jaccard: float, contained: float = 0.0, shared: int = 1, sure: float | None = None
+    bags: DataFrame, key: str, least_jaccard: float, contained: float = 0.0, shared: int = 1, sure: float | None = None, short: float | None = None
 ) -> DataFrame:
     """(a, b, jaccard, contained, shared): all pairs of `key` a < b of similar distinct bags; `bags` has one row for each bag.
 
     Pairs of a Jaccard similarity of `least_jaccard` are similar if they share `contained` of the smaller bag and `shared`
-    words, or have a Jaccard similarity of `sure`.
+    words, or have a Jaccard similarity of `sure`. Of a smaller bag of up to three words they share `short`, if it is given.
     """
-    words = bags.select(F.col(key).alias("id"), F.explode(F.array_distinct("bag")).alias("w"))
-    ranked = words.join(words.groupBy("w").agg(F.count("*").alias("df")), "w")
-    ranked = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
-    bit = "aggregate(bag, 0L, (s, w) -> s | if(pmod(xxhash64(w), 128) div 64 = {0}, shiftleft(1L, cast(pmod(xxhash64(w), 64) as int)), 0L))"
-    sized = cut(
-        ranked.select("id", F.transform("ws", lambda x: x["w"]).alias("bag"), F.size("ws").alias("n"))
-        .select("id", "bag", "n", F.expr(bit.format(0)).alias("s0"), F.expr(bit.format(1)).alias("s1"))
-    )
+    inside = lambda n: F.lit(contained) if short is None else F.when(n <= 3, short).otherwise(contained)
+    sized = _sized(bags, key)
     least = lambda share: F.ceil(F.col("n") * share - 1e-9)
-    as_small = F.greatest(least(contained), least(2 * least_jaccard / (1 + least_jaccard)), F.lit(max(shared, 1)))
+    as_small = F.greatest(least(inside(F.col("n"))), least(2 * least_jaccard / (1 + least_jaccard)), F.lit(max(shared, 1)))
     as_large = F.greatest(least(least_jaccard), F.lit(max(shared, 1)))
     if sure is not None:
         as_small = F.least(as_small, F.greatest(least(2 * sure / (1 + sure)), F.lit(1)))
@@ -249,7 +270,7 @@ def similar(
 
     def enough(n: Column, na: Column, nb: Column) -> Column:
         jaccard = n / (na + nb - n)
-        alike = (n >= contained * F.least(na, nb) - 1e-9) & (n >= shared)
+        alike = (n >= inside(F.least(na, nb)) * F.least(na, nb) - 1e-9) & (n >= shared)
         return (jaccard >= least_jaccard) & (alike if sure is None else alike | (jaccard >= sure))
 
     order = lambda me: F.struct(F.col(f"{me}.n"), F.col(f"{me}.id"))
@@ -269,5 +290,51 @@ def similar(
     )
 
 
-def plain_words(text: str) -> list[str]:
-    return WORD.findall(fold(text))
+def _sized(bags: DataFrame, key: str) -> DataFrame:
+    """(id, bag, n, s0, s1): the words of every bag, rarest first, their number and a sketch of 128 bits."""
+    words = bags.select(F.col(key).alias("id"), F.explode(F.array_distinct("bag")).alias("w"))
+    ranked = words.join(words.groupBy("w").agg(F.count("*").alias("df")), "w")
+    ranked = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
+    bit = "aggregate(bag, 0L, (s, w) -> s | if(pmod(xxhash64(w), 128) div 64 = {0}, shiftleft(1L, cast(pmod(xxhash64(w), 64) as int)), 0L))"
+    return cut(
+        ranked.select("id", F.transform("ws", lambda x: x["w"]).alias("bag"), F.size("ws").alias("n"))
+        .select("id", "bag", "n", F.expr(bit.format(0)).alias("s0"), F.expr(bit.format(1)).alias("s1"))
+    )
+
+
+def within(bags: DataFrame, key: str, least: float, shared: int, sure: float) -> DataFrame:
+    """(a, b, share): all pairs of `key` of which the bag of a is a proper part of that of b; `bags` has one row for each bag.
+
+    The part must be `least` of the whole and hold `shared` words, or be `sure` of it. A part of at least `NEAR` of the whole
+    has its three rarest words among the first few of the whole, a smaller part its two rarest, so these are the keys by
+    which bags meet: a word of every second bag is no key by itself.
+    """
+    sized = _sized(bags, key)
+    n = F.col("n")
+    larger = sized.agg(F.max("n")).first()[0] or 0
+    share = lambda x: F.ceil(n * x - 1e-9).cast("int")
+    ws = "slice(bag, 1, m)"
+    threes = (
+        f"flatten(transform(sequence(0, m - 3), i -> flatten(transform(sequence(i + 1, m - 2), j -> "
+        f"transform(sequence(j + 1, m - 1), k -> xxhash64(3, get({ws}, i), get({ws}, j), get({ws}, k)))))))"
+    )
+    twos = f"flatten(transform(sequence(0, m - 2), i -> transform(sequence(i + 1, m - 1), j -> xxhash64(2, get({ws}, i), get({ws}, j)))))"
+    whole = F.struct("n", "id", "s0", "s1")
+    near = sized.where(n >= 4).withColumn("m", n - share(NEAR) + 3).select(F.explode(F.expr(threes)).alias("h"), whole.alias("y"))
+    far_least = F.greatest(share(least), F.lit(shared))
+    far = sized.where(far_least < share(NEAR)).withColumn("m", n - far_least + 2).select(F.explode(F.expr(twos)).alias("h"), whole.alias("y"))
+    first = lambda k: [F.get("bag", F.lit(i)) for i in range(k)]
+    parts = sized.where(n >= 3).select(F.xxhash64(F.lit(3), *first(3)).alias("h"), whole.alias("x"))
+    if shared >= 2:
+        small = sized.where((n >= shared) & (n < F.lit(NEAR * larger)))
+        parts = parts.unionByName(small.select(F.xxhash64(F.lit(2), *first(2)).alias("h"), whole.alias("x")))
+    lacks = lambda i: F.col(f"x.s{i}").bitwiseAND(F.bitwise_not(F.col(f"y.s{i}"))) == 0
+    ratio = F.col("x.n") / F.col("y.n")
+    enough = ((ratio >= least - 1e-9) & (F.col("x.n") >= shared)) | (ratio >= sure - 1e-9)
+    many = tasks(bags)
+    met = parts.repartition(many, "h").join(near.unionByName(far).repartition(many, "h"), "h")
+    pairs = met.where((F.col("x.n") < F.col("y.n")) & lacks(0) & lacks(1) & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    both = pairs.join(sized.select(F.col("id").alias("a"), F.col("bag").alias("part")), "a").join(
+        sized.select(F.col("id").alias("b"), F.col("bag").alias("whole")), "b"
+    )
+    return both.where(F.size(F.array_except("part", "whole")) == 0).select("a", "b", (F.size("part") / F.size("whole")).alias("share"))

@@ -1,7 +1,12 @@
 """Passages that state the same finding, clustered by Markov clustering.
 
-Texts become bags of canonical words (see `bags`); reporting phrases, figures and citations are left out. Distinct bags
-are the nodes of a similarity graph; equal bags are one node, so a finding repeated any number of times costs one node.
+Texts become bags of canonical words (see `bags`): misspellings, implied words and synonyms are resolved, function words
+and words of reporting, figures and citations are left out. The figure that some texts report is the evidence by which
+synonyms are learned: texts that differ in two words alone and report the same figure show that these say the same.
+
+Distinct bags are the nodes of a graph; equal bags are one node, so a finding repeated any number of times costs one node.
+Two nodes are linked if one bag is a part of the other: a text may leave a circumstance out, but where each of two texts
+has a word that the other lacks (another drug, another direction of the effect) they state different findings.
 Markov clustering then alternates, on the distributed sparse matrix of flows: squaring (a join and a sum), inflation,
 pruning of small entries and normalisation of columns. The rows that keep the flow are attractors and define the
 clusters. An entry is small against the largest of its column, so no column is ever emptied and no node is lost, however
@@ -15,6 +20,7 @@ id; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,34 +31,39 @@ from lexmill.session import cut
 
 #: Function words and words of reporting, which say nothing of a finding.
 STOP = frozenset(
-    """a an the of in on at to for from by with and or nor than as is are was were be been has have had not no it its this
+    """a an the of in on at to for from by with and or than as is are was were be been has have had it its this
     that these those which who we our us they their could can may might also when where while although though however
     whereas during after before between among across against per using used use compared compare relative rather
-    according recorded gathered treated replaced came come measurements measurement report reports reported authors author
-    study studies conclude concludes concluded found find observed observe show shows showed shown notably table figure
-    result results about percent change changes-of""".split()
-)
-#: Words that report in most places but tell a circumstance in others stay in the bag.
-KEPT = frozenset(["reported", "change"])
-FIGURES = re.compile(
-    r"\(about \d+(?:[.,]\d+)? (?:percent|per cent)\)|\(\d+(?:[.,]\d+)?\s*%\)|a change of \d+(?:[.,]\d+)?\s*%|\[[\d,;\s-]+\]"
-    r"|\b(?:table|figure|fig\.) \d+|the authors report that|\d+(?:[.,]\d+)?\s*%"
+    according measurements measurement report reports authors author study studies conclude concludes concluded found find
+    observed observe show shows showed shown notably table figure result results about percent""".split()
 )
-#: Two bags are linked if they share this much of both, or almost all of the smaller one and enough words.
-LEAST_JACCARD, SURE_JACCARD, CONTAINED, SHARED = 0.4, 0.64, 0.84, 7
-INFLATION, PRUNE, ROUNDS, SETTLED = 2.0, 0.01, 12, 1e-3
-
-
-def finding_words(text: str) -> list[str]:
-    plain = FIGURES.sub(" ", re.sub(r"\s+", " ", fold(text)))
-    words = bags.WORD.findall(re.sub(r"\S*(?:\.\.\.|…)\s*$", "", plain))
-    return [w for w in words if w in KEPT or w not in STOP] or words
+#: A reported figure and what belongs to it ("a change of 18.1%", "(about 52 percent)"), and references.
+FIGURE = re.compile(r"(?:,? \ban? \w+ of )?\(?(about |approximately |nearly |around )?(\d+(?:[.,]\d+)?)\s*(?:%|percent\b|per cent\b)\)?")
+REFERENCE = re.compile(r"\[[\d,;\s-]+\]|\b(?:table|figure|fig\.) \d+")
+#: Two bags are linked if one is part of the other and has this share and so many of its words, or almost all of them.
+LEAST_SHARE, SHARED, SURE_SHARE = 0.4, 7, 0.8
+INFLATION, PRUNE, SETTLED = 2.0, 0.01, 1e-3
+#: Rounds until the flows settle; flows that still move after so many are reported by a warning.
+ROUNDS = 60
+
+
+def read_finding(text: str) -> tuple[list[str], float | None, float | None]:
+    """(words, bounds of the first figure that is reported) of a text."""
+    plain = re.sub(r"\s+", " ", fold(text))
+    lo = hi = None
+    if figure := FIGURE.search(plain):
+        value = float(figure.group(2).replace(",", "."))
+        # A rounded figure can stand for all that round to it.
+        off = 0.51 if figure.group(1) or not re.search("[.,]", figure.group(2)) else 1e-6
+        lo, hi = value - off, value + off
+    words = bags.WORD.findall(re.sub(r"\S*(?:\.\.\.|…)\s*$", "", REFERENCE.sub(" ", FIGURE.sub(" ", plain))))
+    return words or bags.WORD.findall(plain), lo, hi
 
 
 def markov(edges: DataFrame) -> DataFrame:
     """(node, cluster, flow) of every node of the symmetric weighted `edges` (i, j, w), which hold each node's loop.
 
-    Each round checkpoints the matrix; the rounds end when the flows settle, or after `ROUNDS`.
+    Each round checkpoints the matrix; the rounds end when the flows settle.
     """
     matrix = cut(_columns(edges.select("i", "j", F.col("w").alias("v"))))
     for _ in range(ROUNDS):
@@ -67,6 +78,8 @@ def markov(edges: DataFrame) -> DataFrame:
         matrix = grown
         if not moved or moved < SETTLED:
             break
+    else:
+        warnings.warn(f"the flows have not settled after {ROUNDS} rounds", stacklevel=2)
     # Flows rounded against the column's largest, so that equal attractors tie and the smallest id takes all.
     ranked = F.struct(F.round(F.col("v") / F.col("top"), 4).alias("v"), (-F.col("i")).alias("least"))
     best = cut(matrix.groupBy(F.col("j").alias("node")).agg(F.max(ranked).alias("best"), F.max("top").alias("top")))
@@ -91,11 +104,10 @@ def _pruned(matrix: DataFrame) -> DataFrame:
 def cluster_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, cluster, flow) of every row with a text."""
     rows = df.where(F.col(text).isNotNull() & (F.trim(F.col(text)) != ""))
-    bagged = bags.learn(rows, key, text, finding_words).where(F.size("bag") > 0)
+    bagged = bags.learn(rows, key, text, read_finding, STOP).where(F.size("bag") > 0)
     named = bagged.withColumn("node", F.xxhash64(F.concat_ws(" ", "bag")))
     nodes = cut(named.groupBy("node").agg(F.first("bag").alias("bag")))
-    pairs = bags.similar(nodes, "node", LEAST_JACCARD, CONTAINED, SHARED, SURE_JACCARD)
-    links = cut(pairs.select("a", "b", F.greatest("jaccard", F.col("contained") * 0.9).alias("w")))
+    links = cut(bags.within(nodes, "node", LEAST_SHARE, SHARED, SURE_SHARE).select("a", "b", F.col("share").alias("w")))
     edges = (
         links.select(F.col("a").alias("i"), F.col("b").alias("j"), "w")
         .unionByName(links.select(F.col("b").alias("i"), F.col("a").alias("j"), "w"))

@@ -1,27 +1,29 @@
 """Records of different sources that are the same work, matched without labels.
 
-Each pair of candidate papers gets a vector of similarities (title, identifiers, year, authors, kind of part). Two
-Gaussians, of matched and of unmatched vectors, are fitted by expectation maximisation with the covariances regularised
-by the squared distance of the means, so that a similarity that hardly varies cannot collapse a component. Vectors are
-rounded, so the fit runs on counts of a bounded grid of cells, whatever the number of pairs. Between rounds of the fit
-the transitivity constraint is enforced: if a-b and b-c match, a-c must; pairs missing from the candidates are added and
-measured, and a match contradicted by more neighbours than support it loses confidence. The outputs are the posteriors.
+Each pair of candidate papers gets a vector of similarities (title, identifiers, year, authors, kind of part); what one of
+the two does not know is missing from the vector. Two Gaussians with full covariances, of matched and of unmatched vectors,
+are fitted by expectation maximisation over what each vector holds. The covariances are regularised by the squared
+distance of the means, so that a similarity that hardly varies cannot collapse a component. The fit begins with nothing but
+the identifiers: pairs that share one are likely matches, pairs whose identifiers differ are not, all others are open.
+Vectors are rounded to a bounded grid, so the fit runs on counts of its cells, whatever the number of pairs.
 
-Candidates share an identifier or similar canonical title words (see `bags`). An identifier on more papers than
-`IDENTIFIES` names no single work and proposes no pair; equal titles on more papers than that must also share an author.
+In every round the transitivity constraint is enforced: if a-b and b-c match, a-c must; pairs missing from the candidates
+are added and measured, and a match contradicted by more neighbours than support it loses confidence. What that leaves of
+the posteriors is where the next round of the fit begins; the rounds end when the matches stay. The outputs are the posteriors.
+
+Candidates have similar canonical title words (see `bags`), or an identifier in common and some title words, and one thing
+more: a word of the authors' names or an identifier, or the year (give or take one) where one of the two names no authors.
+No identifier and no title proposes a pair by itself, so frequent ones need no other treatment than rare ones.
 
 Defined results: nulls, blanks, impossible years and malformed identifiers count as unknown, not as different; a paper
-without title, doi and pmid is in no pair; repeated rows of a paper count once; a paper's own source is never matched;
+without title, doi and pmid is in no pair; papers that agree in a title alone are in no pair; repeated rows of a paper count once; a paper's own source is never matched;
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,6 @@ from lexmill.llm.names import fold
 from lexmill.session import cut
 
 FIRST_YEAR, LAST_YEAR = 1800, 2025
-IDENTIFIES = 64
 #: Part of the dois of preprint servers; a preprint and its publication have different dois.
 PREPRINT = r"/(arxiv|biorxiv|medrxiv|preprints?)\."
 #: Function words of titles.
@@ -41,10 +42,18 @@ KINDS = re.compile(
     r"|\bversion for \w+\b|\b(?:study |trial )?protocol$|\b(?:\w+ )?(?:month|week|year) (?:outcomes|results|follow up)$|\berratum\b|\bcorrigendum\b"
 )
 FEATURES = ("contained", "shared", "doi", "pmid", "year", "people", "kind")
-REGULAR, LEAST_VARIANCE, STEPS = 0.15, 2e-3, 60
-GRID = 20
-#: Titles that share so many words share enough.
-ENOUGH = 6
+#: Steps of the grid for each similarity; with the missing ones it has some 220,000 cells at most.
+GRID = (20, 6, 10, 1, 20, 10, 1)
+#: Regularisation of the variances: share of the squared distance of the means, and the least variance.
+REGULAR, LEAST_VARIANCE, STEPS, MOVED = 0.03, 5e-3, 200, 1e-4
+#: First posteriors: pairs that share an identifier, all others, pairs whose identifiers differ.
+SHARED_ID, OPEN, OTHER_ID = 0.95, 0.5, 0.05
+#: The rounds end when at most this share of the matches changes, and after so many.
+SETTLED, ROUNDS = 0.001, 6
+#: Titles that share so many words share enough, and so do lists of authors.
+ENOUGH, ENOUGH_NAMES = 6, 2
+#: A word of a name is misspelt if it is rare and another is so many times as frequent.
+NAME_RARER = 4
 
 
 def title_words(text: str) -> list[str]:
@@ -63,9 +72,9 @@ def pmid_of(column: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_extract(column, r"(\d{4,})", 1), "^0+", ""), F.lit(""))
 
 
-def papers(df: DataFrame) -> DataFrame:
+def papers(df: DataFrame, last_year: int = LAST_YEAR) -> DataFrame:
     """One row for each paper_id, by one aggregation with map-side combine."""
-    year = F.when(F.col("year").between(FIRST_YEAR, LAST_YEAR), F.col("year"))
+    year = F.when(F.col("year").between(FIRST_YEAR, last_year), F.col("year"))
     # A doi without any number but a year names a volume or a venue, not a work.
     doi = doi_of(F.col("doi"))
     work = F.when(F.regexp_replace(F.regexp_replace(doi, "^[^/]*/", ""), r"\b(?:19|20)\d{2}\b", "").rlike(r"\d"), doi)
@@ -82,69 +91,80 @@ def papers(df: DataFrame) -> DataFrame:
 
 
 def _read_titles(rows: DataFrame) -> DataFrame:
-    """(paper_id, kind, bag): kind of part and canonical words of every title."""
-    docs = cut(bags.tokenised(rows, "paper_id", "title", title_words))
-    known = bags.vocabulary(docs)
-    shared = rows.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read = bags.corrector(shared.value)
-        for batch in batches:
-            kinds, words = [], []
-            for tokens in batch["tokens"]:
-                text = " ".join(read(t) for t in tokens)
-                kinds.append(" ".join(sorted(KINDS.findall(text))))
-                words.append(sorted({w for w in KINDS.sub(" ", text).split() if w not in STOP}))
-            yield pd.DataFrame({"paper_id": batch["paper_id"], "kind": kinds, "bag": words})
-
-    first = cut(docs.mapInPandas(run, "paper_id string, kind string, bag array<string>"))
-    same = rows.sparkSession.sparkContext.broadcast(bags.synonyms(first, known))
-
-    def replace(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda ws: sorted({same.value.get(w, w) for w in ws}))
-
-    return first.select("paper_id", "kind", F.pandas_udf(replace, "array<string>")("bag").alias("bag"))
+    """(paper_id, kind, bag): kind of part and canonical words of every title; titles of one doi show synonyms."""
+    papers_, docs = bags.read_texts(rows, "paper_id", "title", lambda t: (title_words(t), None, None))
+    docs = bags.replaced(docs, "tokens", bags.corrections(cut(bags.word_counts(docs, "tokens"))))
+    text = F.array_join("tokens", " ")
+    kind = F.array_join(F.array_sort(F.regexp_extract_all(text, F.lit(KINDS.pattern), F.lit(0))), " ")
+    words = F.split(F.regexp_replace(text, KINDS.pattern, " "), " +")
+    docs = docs.select("doc", kind.alias("kind"), F.array_sort(F.array_except(words, F.array(*[F.lit(w) for w in sorted(STOP | {""})]))).alias("bag"))
+    known = papers_.join(rows.select("paper_id", F.xxhash64("doi").cast("double").alias("id"), F.col("doi").isNotNull().alias("has")), "paper_id")
+    told = known.where("has").groupBy("doc").agg(F.max("id").alias("lo"), F.min("id").alias("hi"))
+    docs = cut(docs.join(told, "doc", "left"))
+    docs = bags.replaced(docs, "bag", bags.synonyms(docs, cut(bags.word_counts(docs, "bag"))))
+    return papers_.join(docs.select("doc", "kind", F.array_sort(F.array_distinct("bag")).alias("bag")), "doc").drop("doc")
+
+
+def _name_tokens(authors: Column) -> Column:
+    """The folded words of an author list."""
+    plain = F.translate(F.lower(F.concat_ws(" ", authors)), "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ", "aaaaaaceeeeiiiinoooooouuuuyy")
+    return F.filter(F.array_distinct(F.split(plain, r"[^\p{L}]+")), lambda w: F.length(w) > 1)
 
 
-def _family_tokens(authors: Column) -> Column:
-    """The long folded words of an author list, a set that survives most ways of writing names."""
-    plain = F.translate(F.lower(F.concat_ws(" ", authors)), "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ", "aaaaaaceeeeiiiinoooooouuuuyy")
-    return F.filter(F.array_distinct(F.split(plain, r"[^\p{L}]+")), lambda w: F.length(w) > 4)
+def _evidence(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What two papers must share besides a title, as (paper_id, node, key): names and identifiers for both; the years about
+    that of a paper without authors, and the year of any other."""
+    named = F.transform("who", lambda w: F.concat(F.lit("p:"), w))
+    ids = F.array_compact(F.array(F.concat(F.lit("d:"), "doi"), F.concat(F.lit("m:"), "pmid")))
+    lacks = F.coalesce(F.size("who"), F.lit(0)) < 1
+    key = lambda keys: rows.select("paper_id", "node", F.explode(keys).alias("key"))
+    both = key(F.concat(F.coalesce(named, F.array().cast("array<string>")), ids))
+    years = F.array(*[F.concat(F.lit("y:"), (F.col("year") + d).cast("string")) for d in (-1, 0, 1)])
+    about = rows.where(lacks & F.col("year").isNotNull()).select("paper_id", "node", F.explode(years).alias("key"))
+    year = rows.where(F.col("year").isNotNull()).select("paper_id", "node", F.concat(F.lit("y:"), F.col("year").cast("string")).alias("key"))
+    return both, about, year
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
-    """(a, b): pairs of paper_id a < b that share an identifier or similar titles."""
-    found = []
-    for name in ("doi", "pmid"):
-        ids = rows.where(F.col(name).isNotNull()).select("paper_id", F.col(name).alias("id"))
-        usual = ids.groupBy("id").count().where(F.col("count").between(2, IDENTIFIES)).select("id")
-        found.append(_pairs(ids.join(usual, "id"), ["id"]))
-    titled = rows.where(F.size("bag") > 0).withColumn("node", F.xxhash64(F.concat_ws(" ", "bag")))
-    nodes = cut(titled.groupBy("node").agg(F.first("bag").alias("bag"), F.count("*").alias("n")))
-    # A title on many papers is told apart by the first family name as well.
-    few = titled.join(nodes.select("node", "n"), "node").select(
-        "paper_id", "node", F.when(F.col("n") > IDENTIFIES, F.coalesce(F.get(F.array_sort("people"), F.lit(0)), F.lit(""))).otherwise(F.lit("")).alias("who")
-    )
-    few = cut(few)
-    found.append(_pairs(few, ["node", "who"]))
-    near = bags.similar(nodes.select("node", "bag"), "node", 0.35, contained=0.75, shared=4)
-    near = near.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    left = few.select("node", "who", F.col("paper_id").alias("p"))
-    right = few.select(F.col("node").alias("other"), F.col("who").alias("who_b"), F.col("paper_id").alias("q"))
-    joined = near.join(left, "node").join(right, "other").where((F.col("who") == "") | (F.col("who_b") == "") | (F.col("who") == F.col("who_b")))
-    found.append(joined.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    """(a, b): pairs of paper_id a < b, see the module's description."""
+    titled = cut(rows.where(F.size("bag") > 0).withColumn("node", F.xxhash64(F.concat_ws(" ", "bag"))))
+    nodes = cut(titled.groupBy("node").agg(F.first("bag").alias("bag")))
+    near = bags.similar(nodes, "node", 0.35, contained=0.75, short=0.66).select("a", "b")
+    ids = titled.select("node", "bag", F.explode(F.array_compact(F.array(F.concat(F.lit("d:"), "doi"), F.concat(F.lit("m:"), "pmid")))).alias("id"))
+    items = ids.groupBy("id", "node").agg(F.first("bag").alias("bag"))
+    several = items.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    # Within an identifier the words are its own, so only titles under one identifier meet.
+    items = cut(items.join(several, "id").select(F.xxhash64("id", "node").alias("item"), "node", F.transform("bag", lambda w: F.concat("id", F.lit("|"), w)).alias("bag")))
+    under = bags.similar(items.select("item", "bag"), "item", 0.2, contained=0.4).select("a", "b")
+    under = under.join(items.select(F.col("item").alias("a"), F.col("node").alias("na")), "a").join(items.select(F.col("item").alias("b"), F.col("node").alias("nb")), "b")
+    linked = near.unionByName(under.select(F.col("na").alias("a"), F.col("nb").alias("b"))).distinct()
+    # Each title with itself and, both ways, with those like it.
+    titles = linked.union(linked.select("b", "a")).union(nodes.select("node", "node")).toDF("node", "other")
+    titles = cut(titles)
+    both, about, year = _evidence(titled)
+    found = _met(both, both, titles).unionByName(_met(about, year, titles)).unionByName(_untitled(rows))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _met(left: DataFrame, right: DataFrame, titles: DataFrame) -> DataFrame:
+    a = left.join(titles, "node").select(F.col("other").alias("node"), "key", F.col("paper_id").alias("a"))
+    return a.join(right.withColumnRenamed("paper_id", "b"), ["node", "key"]).where(F.col("a") != F.col("b")).select("a", "b").distinct()
+
+
+def _untitled(rows: DataFrame) -> DataFrame:
+    """Pairs of a paper without a title: one identifier and one thing more."""
+    out = None
+    for name, other in (("doi", "pmid"), ("pmid", "doi")):
+        with_id = rows.where(F.col(name).isNotNull()).withColumn("node", F.col(name))
+        both, about, year = _evidence(with_id.withColumn(name, F.lit(None).cast("string")))
+        bare = with_id.where(F.coalesce(F.size("bag"), F.lit(0)) < 1).select("paper_id")
+        for left, right in ((both, both), (about, year), (year, about)):
+            a = left.join(bare, "paper_id").select("node", "key", F.col("paper_id").alias("a"))
+            pairs = a.join(right.withColumnRenamed("paper_id", "b"), ["node", "key"]).where(F.col("a") != F.col("b")).select("a", "b")
+            out = pairs if out is None else out.unionByName(pairs)
     return out.distinct()
 
 
-def _pairs(ids: DataFrame, on: list[str]) -> DataFrame:
-    a = ids.select(*on, F.col("paper_id").alias("a"))
-    b = ids.select(*on, F.col("paper_id").alias("b"))
-    return a.join(b, on).where(F.col("a") < F.col("b")).select("a", "b")
-
-
 def _measured(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """(a, b, cell): the rounded similarity vector of every pair from two sources."""
     def side(s: str) -> DataFrame:
@@ -153,18 +173,15 @@ def _measured(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.col("source_a") != F.col("source_b"))
     x = lambda n: (F.col(f"{n}_a"), F.col(f"{n}_b"))
-    unknown = F.lit(0.5)
 
-    def overlap(name: str) -> tuple[Column, Column, Column]:
+    def overlap(name: str) -> tuple[Column, Column]:
         p, q = x(name)
-        n = F.size(F.array_intersect(p, q))
-        sizes = [F.coalesce(F.when(s.isNotNull(), F.size(s)), F.lit(0)) for s in (p, q)]
-        return F.coalesce(n, F.lit(0)), *sizes
-
-    n, na, nb = overlap("bag")
-    no_title = F.least(na, nb) < 1
-    m, ma, mb = overlap("people")
-    no_people = F.least(ma, mb) < 1
+        sizes = [F.coalesce(F.size(s), F.lit(0)) for s in (p, q)]
+        return F.coalesce(F.size(F.array_intersect(p, q)), F.lit(0)), F.least(*sizes)
+
+    n, least_n = overlap("bag")
+    m, least_m = overlap("people")
+    titled = least_n > 0
     da, db = x("doi")
     torn = (F.least(F.length(da), F.length(db)) >= 12) & (da.startswith(db) | db.startswith(da))
     preprint = da.rlike(PREPRINT) != db.rlike(PREPRINT)
@@ -172,78 +189,81 @@ def _measured(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     ya, yb = x("year")
     gap = F.abs(ya - yb)
     ka, kb = x("kind")
-    # Without a title, an agreeing identifier stands for it.
-    unknown_title = F.when((da == db) | (pa == pb), 0.95).otherwise(unknown)
+    # What is not known is null; dois of a preprint and of its publication say nothing.
     vector = {
-        "contained": F.when(no_title, unknown_title).otherwise(n / F.least(na, nb)),
-        "shared": F.when(no_title, unknown_title).otherwise(F.least(n / F.lit(ENOUGH), F.lit(1.0))),
-        "doi": F.when(da.isNull() | db.isNull(), unknown).when(da == db, 1.0).when(torn, 0.9).when(preprint, unknown).otherwise(0.0),
-        "pmid": F.when(pa.isNull() | pb.isNull(), unknown).when(pa == pb, 1.0).otherwise(0.0),
-        "year": F.when(gap.isNull(), unknown).when(gap == 0, 1.0).when(gap == 1, 0.75).when(gap == 2, 0.4).otherwise(0.0),
-        "people": F.when(no_people, unknown).otherwise(m / F.least(ma, mb)),
-        "kind": F.when(no_title, unknown_title).when(ka == kb, 1.0).otherwise(0.0),
+        "contained": F.when(titled, n / least_n),
+        "shared": F.when(titled, F.least(n / F.lit(ENOUGH), F.lit(1.0))),
+        "doi": F.when(da == db, 1.0).when(torn, 0.9).when(~preprint, 0.0),
+        "pmid": F.when(pa.isNotNull() & pb.isNotNull(), (pa == pb).cast("double")),
+        "year": F.when(gap == 0, 1.0).when(gap == 1, 0.75).when(gap == 2, 0.4).when(gap > 2, 0.0),
+        "people": F.when(least_m > 0, F.least(m / F.least(least_m, F.lit(ENOUGH_NAMES)), F.lit(1.0))),
+        "kind": F.when(titled, (ka == kb).cast("double")),
     }
-    cells = [F.round(vector[f] * GRID).cast("int") for f in FEATURES]
+    cells = [F.coalesce(F.round(vector[f] * steps), F.lit(-1)).cast("int") for f, steps in zip(FEATURES, GRID)]
     return both.select("a", "b", F.array(*cells).alias("cell"))
 
 
 class Mixture:
-    """Two Gaussians over cells of the grid, fitted by expectation maximisation.
+    """Two Gaussians with full covariances over cells of the grid, fitted by expectation maximisation; NaN is missing.
 
-    The similarities are taken to be independent within a class. Their variances are regularised by the squared distance
-    of the means. Cells that agree in nearly everything, or in nearly nothing, anchor the classes, so that growing numbers
-    of half-similar pairs cannot pull a component away. Different kinds of part and titles without common words are no
-    matches and stay out of the fit.
+    Of a vector with missing parts the likelihood is that of the rest, and the expected missing parts, with what is left
+    of their covariance, enter the estimates.
     """
 
     def __init__(self) -> None:
-        self.n = len(FEATURES) - 1  # the kind of part is a condition, not a measure
         self.weight = 0.5
-        self.means = np.zeros((2, self.n))
-        self.variances = np.ones((2, self.n))
+        self.means = np.full((2, len(FEATURES)), 0.5)
+        self.covariances = np.array([np.eye(len(FEATURES)) * 0.1] * 2)
 
     @staticmethod
-    def possible(x: np.ndarray) -> np.ndarray:
-        return (x[:, 6] >= 0.5) & (x[:, 0] >= 0.4)
+    def start(x: np.ndarray) -> np.ndarray:
+        """First posteriors, from the identifiers alone."""
+        ids = x[:, 2:4]
+        shared, other = (ids >= 0.9).any(1), (ids < 0.1).any(1)
+        return np.where(shared, SHARED_ID, np.where(other, OTHER_ID, OPEN))
 
     @staticmethod
-    def anchored(x: np.ndarray, posterior: np.ndarray) -> np.ndarray:
-        sure = (x[:, 0] >= 0.95) & (x[:, 4] >= 0.75) & (x[:, 5] >= 0.8)
-        unlike = (x[:, 0] < 0.85) & (x[:, 5] < 0.25) & (x[:, 2] < 0.9)
-        return np.where(sure, 1.0, np.where(unlike, 0.0, posterior))
-
-    @staticmethod
-    def start(x: np.ndarray) -> np.ndarray:
-        """First posteriors: pairs that agree in their titles and contradict each other in one thing at most."""
-        agree = (x[:, 0] >= 0.9) & (x[:, 1] >= 0.6)
-        against = (x[:, 4] < 0.3).astype(int) + (x[:, 5] < 0.3).astype(int)
-        return np.where(agree & (against < 2), 0.95, 0.05)
-
-    def maximise(self, x: np.ndarray, n: np.ndarray, posterior: np.ndarray) -> None:
-        weights = [n * posterior, n * (1 - posterior)]
-        sums = [max(w.sum(), 1e-9) for w in weights]
-        self.weight = min(max(sums[0] / (sums[0] + sums[1]), 1e-6), 1 - 1e-6)
-        z = x[:, : self.n]
-        self.means = np.array([(w[:, None] * z).sum(0) / s for w, s in zip(weights, sums)])
-        ridge = REGULAR * (self.means[0] - self.means[1]) ** 2 + LEAST_VARIANCE
-        self.variances = np.array([(w[:, None] * (z - m) ** 2).sum(0) / s + ridge for w, s, m in zip(weights, sums, self.means)])
-
-    def expect(self, x: np.ndarray) -> np.ndarray:
-        z = x[:, : self.n]
-        logs = [
-            np.log(share) - 0.5 * (np.log(v).sum() + ((z - m) ** 2 / v).sum(1))
-            for share, m, v in zip((self.weight, 1 - self.weight), self.means, self.variances)
-        ]
-        found = 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -60, 60)))
-        return np.where(self.possible(x), found, 0.0)
+    def patterns(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, known, missing) of every pattern of missing parts."""
+        known = ~np.isnan(x)
+        kinds, at = np.unique(known, axis=0, return_inverse=True)
+        at = at.reshape(-1)
+        return [(np.flatnonzero(at == i), np.flatnonzero(k), np.flatnonzero(~k)) for i, k in enumerate(kinds)]
+
+    def _density(self, x: np.ndarray, patterns: list, c: int) -> np.ndarray:
+        out = np.zeros(len(x))
+        for rows, known, _ in patterns:
+            if len(known):
+                part = self.covariances[c][np.ix_(known, known)]
+                d = x[np.ix_(rows, known)] - self.means[c][known]
+                out[rows] = -0.5 * ((d @ np.linalg.inv(part) * d).sum(1) + np.linalg.slogdet(part)[1] + len(known) * np.log(2 * np.pi))
+        return out
+
+    def _moments(self, x: np.ndarray, weights: np.ndarray, patterns: list, c: int) -> tuple[np.ndarray, np.ndarray]:
+        mean, covariance = self.means[c], self.covariances[c]
+        filled, rest = x.copy(), np.zeros_like(covariance)
+        for rows, known, missing in patterns:
+            if len(missing):
+                slope = covariance[np.ix_(missing, known)] @ np.linalg.inv(covariance[np.ix_(known, known)])
+                filled[np.ix_(rows, missing)] = mean[missing] + (x[np.ix_(rows, known)] - mean[known]) @ slope.T
+                rest[np.ix_(missing, missing)] += weights[rows].sum() * (covariance[np.ix_(missing, missing)] - slope @ covariance[np.ix_(known, missing)])
+        total = weights.sum()
+        mean = (weights[:, None] * filled).sum(0) / total
+        d = filled - mean
+        return mean, (rest + (weights[:, None] * d).T @ d) / total
 
     def fit(self, x: np.ndarray, n: np.ndarray, posterior: np.ndarray) -> np.ndarray:
-        inside = n * self.possible(x)
+        patterns = self.patterns(x)
         for _ in range(STEPS):
-            self.maximise(x, inside, self.anchored(x, posterior))
-            after = self.expect(x)
+            self.weight = float(np.clip((n * posterior).sum() / n.sum(), 1e-6, 1 - 1e-6))
+            both = [self._moments(x, n * p + 1e-12, patterns, c) for c, p in enumerate((posterior, 1 - posterior))]
+            self.means = np.array([m for m, _ in both])
+            ridge = np.diag(REGULAR * (self.means[0] - self.means[1]) ** 2 + LEAST_VARIANCE)
+            self.covariances = np.array([s + ridge for _, s in both])
+            odds = np.log(self.weight / (1 - self.weight)) + self._density(x, patterns, 0) - self._density(x, patterns, 1)
+            after = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
             moved, posterior = np.abs(after - posterior).max(), after
-            if moved < 1e-4:
+            if moved < MOVED:
                 break
         return posterior
 
@@ -255,11 +275,15 @@ def _fit(measured: DataFrame, mixture: Mixture, adjusted: DataFrame | None = Non
     cells = source.groupBy("cell").agg(F.count("*").alias("n"), F.avg("p").alias("p")).orderBy("cell").collect()
     if not cells:
         return measured.withColumn("p", F.lit(0.0))
-    x = np.array([r["cell"] for r in cells], dtype=float) / GRID
+    x = np.array([r["cell"] for r in cells], dtype=float)
+    x = np.where(x < 0, np.nan, x / GRID)
     n = np.array([r["n"] for r in cells], dtype=float)
-    first = mixture.start(x) if adjusted is None else np.array([r["p"] for r in cells])
+    first = mixture.start(x)
+    if adjusted is not None:
+        first = np.array([r["p"] if r["p"] is not None else s for r, s in zip(cells, first)])
     p = mixture.fit(x, n, first)
     scored = spark.createDataFrame([(r["cell"], float(v)) for r, v in zip(cells, p)], "cell array<int>, p double")
+    # The grid bounds what is sent here and back.
     return measured.join(F.broadcast(scored), "cell").select("a", "b", "cell", "p")
 
 
@@ -275,25 +299,37 @@ def _wedges(edges: DataFrame) -> DataFrame:
     return left.join(right, "m").where(F.col("a") < F.col("c"))
 
 
-def match(df: DataFrame) -> DataFrame:
+def match(df: DataFrame, last_year: int = LAST_YEAR) -> DataFrame:
     """(paper_id_a, paper_id_b, confidence): pairs of the same work, the smaller id first, confidence at least 0.5."""
-    base = cut(papers(df))
+    base = cut(papers(df, last_year))
     titles = cut(_read_titles(base))
-    rows = cut(
-        base.join(titles, "paper_id", "left").select(
-            "paper_id", "source", "doi", "pmid", "year", "kind", "bag", _family_tokens(F.col("authors")).alias("people")
-        )
-    )
+    people = F.filter("who", lambda w: F.length(w) > 4)
+    rows = base.join(titles, "paper_id", "left").select("paper_id", "source", "doi", "pmid", "year", "kind", "bag", _name_tokens(F.col("authors")).alias("who"))
+    # Names are of many kinds and few papers each, so a few times as frequent is enough for the right spelling of one.
+    names = rows.select(F.col("paper_id").alias("doc"), F.coalesce("who", F.array().cast("array<string>")).alias("who"))
+    names = bags.replaced(names, "who", bags.corrections(cut(bags.word_counts(names, "who")), NAME_RARER))
+    rows = rows.drop("who").join(names.select(F.col("doc").alias("paper_id"), F.array_distinct("who").alias("who")), "paper_id")
+    rows = cut(rows.withColumn("people", people))
     measured = cut(_measured(_candidates(rows), rows))
     mixture = Mixture()
-    scored = cut(_fit(measured, mixture))
-    edges = scored.where(F.col("p") >= 0.5)
-    # Transitivity, first half: what two matches imply is measured like any other candidate.
-    implied = _wedges(edges).select("a", F.col("c").alias("b")).distinct()
-    more = _measured(implied.join(measured.select("a", "b"), ["a", "b"], "left_anti"), rows)
-    measured = cut(measured.unionByName(more))
-    scored = cut(_fit(measured, mixture, _constrained(cut(_fit(measured, mixture)))))
-    final = _constrained(scored).where(F.col("p") >= 0.5)
+    adjusted, before = None, None
+    for _ in range(ROUNDS):
+        scored = cut(_fit(measured, mixture, adjusted))
+        edges = scored.where(F.col("p") >= 0.5)
+        # Transitivity: what two matches imply is measured like any other candidate, and conflicts weaken a match.
+        implied = _wedges(edges).select("a", F.col("c").alias("b")).distinct()
+        more = cut(_measured(implied.join(measured.select("a", "b"), ["a", "b"], "left_anti"), rows))
+        held = cut(_constrained(scored))
+        now = held.where(F.col("p") >= 0.5).select("a", "b")
+        count = now.count()
+        if before is not None:
+            stayed = now.join(before[0], ["a", "b"]).count()
+            if count + before[1] - 2 * stayed <= SETTLED * max(count, 1):
+                break
+        before = (now, count)
+        measured = cut(measured.unionByName(more))
+        adjusted = held.select("a", "b", "cell", "p").unionByName(more.withColumn("p", F.lit(None).cast("double")))
+    final = held.where(F.col("p") >= 0.5)
     return final.select(F.col("a").alias("paper_id_a"), F.col("b").alias("paper_id_b"), F.round("p", 6).alias("confidence"))
 
 

@@ -73,6 +73,65 @@ def test_similar_bags_of_crowded_words_lose_no_pair(spark, monkeypatch):
     assert got == {(i, j) for i, j, jaccard, inside, n in alike if jaccard >= 0.64 or (jaccard >= 0.4 and inside >= 0.84 and n >= 7)}
 
 
+def test_parts_against_brute_force(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(30)]
+    made = set()
+    for _ in range(150):
+        whole = rng.sample(words, rng.randint(2, 20))
+        made |= {tuple(sorted(whole)), *(tuple(sorted(rng.sample(whole, rng.randint(max(1, len(whole) // 3), len(whole))))) for _ in range(4))}
+    data = [(i, list(b)) for i, b in enumerate(sorted(made))]
+    got = {(r.a, r.b) for r in bags.within(spark.createDataFrame(data, "node long, bag array<string>"), "node", 0.4, 7, 0.8).collect()}
+    wanted = set()
+    for (i, a), (j, b) in itertools.permutations(data, 2):
+        share = len(a) / len(b)
+        if set(a) < set(b) and (share >= 0.8 or (share >= 0.4 and len(a) >= 7)):
+            wanted.add((i, j))
+    assert got == wanted and len(wanted) > 200
+
+
+def sentences(rng, n):
+    stuff = [f"{a}{b}" for a in "alpha beta gamma delta epsilon zeta eta theta iota kappa".split() for b in "ox hen cat dog owl eel bee ant elk yak".split()]
+    return [" ".join(rng.sample(stuff, 5)) + " {0} " + " ".join(rng.sample(stuff, 5)) for _ in range(n)]
+
+
+def clusters(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "evidence_id long, text string")
+    return {r.evidence_id: r.cluster for r in G.cluster_texts(df, "evidence_id", "text").collect()}
+
+
+def test_words_that_only_fill_one_place_stay_apart(spark):
+    rng = random.Random(8)
+    forms = sentences(rng, 40)
+    texts = [f.format(w) for f in forms for w in ("reduces", "increases", "does not change")]
+    got = clusters(spark, texts)
+    assert len(set(got.values())) == 120
+    drugs = "aspirine brufenol codarine dextramol ebastine fluoxan".split()
+    texts = [f"{d} given daily lowers {o} in {p} treated at regional care homes" for d in drugs for o in ("pain", "fever", "swelling", "stiffness", "cough") for p in ("children", "runners", "teachers", "miners")]
+    got = clusters(spark, texts)
+    assert len(set(got.values())) == len(texts)
+
+
+def test_synonyms_are_learned_from_what_texts_report(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = []
+    for k, form in enumerate(sentences(rng, 30)):
+        texts += [f"{form.format('raises')} ({k + 1}.5%)", f"{form.format('elevates')}, a change of {k + 1}.5%", f"{form.format('lowers')} ({k + 41}.5%)"]
+    got = clusters(spark, texts)
+    assert all(got[i] == got[i + 1] != got[i + 2] for i in range(0, 90, 3)) and len(set(got.values())) == 60
+    # Without a figure as well, once the words are known; repeated tables change nothing, nor does joining what is broadcast.
+    more = texts + [t.split(" (")[0] for t in texts[::3]]
+    monkeypatch.setattr(bags, "SMALL", 0)
+    again = clusters(spark, more * 3)
+    assert all(again[i] == again[i + 1] != again[i + 2] for i in range(0, 90, 3)) and len(set(again.values())) == 60
+
+
+def test_usual_words_are_never_rewritten(spark):
+    docs = spark.createDataFrame([(w, n) for w, n in (("rats", 900), ("cats", 5), ("affect", 400), ("effect", 6), ("trial", 300), ("trail", 30), ("trisl", 1), ("cots", 4))], "w string, df long")
+    got = {r.k: r.v for r in bags.corrections(docs).collect()}
+    assert got == {"trisl": "trial"}
+
+
 def test_markov_separates_two_cliques_with_a_bridge(spark):
     left, right = range(0, 5), range(10, 15)
     edges = [(a, b, 1.0) for side in (left, right) for a in side for b in side]

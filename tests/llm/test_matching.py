@@ -1,4 +1,7 @@
 import datetime
+import random
+
+import numpy as np
 
 from pyspark.sql import types as T
 
@@ -49,3 +52,39 @@ def test_identifiers(spark):
     df = spark.createDataFrame([(" DOI 10.1000%2Fabc.D. (epub)", "PMID: 00123456"), ("none", "7"), (None, None)], "doi string, pmid string")
     got = df.select(M.doi_of(df.doi), M.pmid_of(df.pmid)).collect()
     assert [tuple(r) for r in got] == [("10.1000/abc.d", "123456"), (None, None), (None, None)]
+
+
+def test_a_frequent_title_or_identifier_proposes_nothing_by_itself(spark):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "gait pain sleep video radar step grip walk lung knee".split() for b in "alpha beta gamma delta omega sigma theta kappa".split()]
+    rows = [(f"s{i % 5}_{i}", f"s{i % 5}", None, None, "Editorial of the month for readers", 2000 + i % 20, None) for i in range(400)]
+    rows += [(f"s{i % 5}_{i}", f"s{i % 5}", "10.1000/j.1", None, " ".join(rng.sample(words, 8)), 2000 + i % 20, [f"Name{i}, A."]) for i in range(400, 800)]
+    df = spark.createDataFrame([(k, *r, None) for k, r in enumerate(rows)], "rec_id long, paper_id string, source string, doi string, pmid string, title string, year int, authors array<string>, retrieved_at timestamp")
+    base = M.papers(df)
+    titles = M._read_titles(base)
+    ready = base.join(titles, "paper_id", "left").withColumn("who", M._name_tokens(base["authors"]))
+    pairs = M._candidates(ready)
+    shown = {r.a.split("_")[1] for r in pairs.collect()}
+    # The editorials meet only where the years are about the same, the others not at all.
+    assert all(int(i) < 400 for i in shown)
+    assert pairs.count() < 400 * 400 / 2 / 5
+
+
+def test_the_mixture_beats_the_identifiers_it_starts_from():
+    rng = np.random.default_rng(3)
+    rows, truth = [], []
+    for _ in range(3000):
+        same = rng.random() < 0.4
+        near = rng.random() < (0.9 if same else 0.05)
+        v = [
+            min(1, rng.normal(0.95 if same else 0.8, 0.08)), min(1, rng.normal(0.97, 0.05)), float(same) if rng.random() < 0.3 else np.nan,
+            float(same) if rng.random() < 0.2 else np.nan, [1.0, 0.75, 0.4, 0.0][0 if near else rng.integers(4)],
+            1.0 if same or rng.random() < 0.1 else 0.0, 1.0 if same or rng.random() < 0.8 else 0.0,
+        ]
+        rows.append([np.nan if np.isnan(c) else round(c * g) / g for c, g in zip(v, M.GRID)])
+        truth.append(same)
+    x, truth = np.array(rows), np.array(truth)
+    first = M.Mixture.start(x)
+    after = M.Mixture().fit(x, np.ones(len(x)), first)
+    right = lambda p: ((p >= 0.6) == truth).mean()
+    assert right(after) > 0.98 > right(first)
