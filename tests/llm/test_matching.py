@@ -64,10 +64,13 @@ def test_a_frequent_title_or_identifier_proposes_nothing_by_itself(spark):
     titles = M._read_titles(base)
     ready = base.join(titles, "paper_id", "left").withColumn("who", M._name_tokens(base["authors"]))
     pairs = M._candidates(ready)
-    shown = {r.a.split("_")[1] for r in pairs.collect()}
-    # The editorials meet only where the years are about the same, the others not at all.
-    assert all(int(i) < 400 for i in shown)
-    assert pairs.count() < 400 * 400 / 2 / 5
+    found = [[int(x.split("_")[1]) for x in (r.a, r.b)] for r in pairs.collect()]
+    editorials = [p for p in found if max(p) < 400]
+    # Editorials meet where the years are about the same; under the identifier, titles meet that share half of their words.
+    assert len(editorials) < 400 * 400 / 2 / 5
+    bag = {int(r.paper_id.split("_")[1]): set(r.bag) for r in titles.collect()}
+    assert all(len(bag[a] & bag[b]) >= 0.4 * min(len(bag[a]), len(bag[b])) for a, b in found)
+    assert len(found) - len(editorials) < 0.02 * 400 * 400 / 2
 
 
 def test_the_mixture_beats_the_identifiers_it_starts_from():
