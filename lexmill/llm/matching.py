@@ -4,7 +4,8 @@ Each pair of candidate papers gets a vector of similarities (title, identifiers,
 the two does not know is missing from the vector. Two Gaussians with full covariances, of matched and of unmatched vectors,
 are fitted by expectation maximisation over what each vector holds. The covariances are regularised by the squared
 distance of the means, so that a similarity that hardly varies cannot collapse a component. The fit begins with nothing but
-the identifiers: pairs that share one are likely matches, pairs whose identifiers differ are not, all others are open.
+the identifiers: the first estimates are those of pairs that share one and of pairs whose identifiers differ; all others
+are open and take part from the second step on, when every posterior is free.
 Vectors are rounded to a bounded grid, so the fit runs on counts of its cells, whatever the number of pairs.
 
 In every round the transitivity constraint is enforced: if a-b and b-c match, a-c must; pairs missing from the candidates
@@ -46,8 +47,8 @@ FEATURES = ("contained", "shared", "doi", "pmid", "year", "people", "kind")
 GRID = (20, 6, 10, 1, 20, 10, 1)
 #: Regularisation of the variances: share of the squared distance of the means, and the least variance.
 REGULAR, LEAST_VARIANCE, STEPS, MOVED = 0.03, 5e-3, 200, 1e-4
-#: First posteriors: pairs that share an identifier, all others, pairs whose identifiers differ.
-SHARED_ID, OPEN, OTHER_ID = 0.95, 0.5, 0.05
+#: First posteriors: pairs that share an identifier, pairs whose identifiers differ, and all pairs where one of these lacks.
+SHARED_ID, OTHER_ID, OPEN = 0.95, 0.05, 0.5
 #: The rounds end when at most this share of the matches changes, and after so many.
 SETTLED, ROUNDS = 0.001, 6
 #: Titles that share so many words share enough, and so do lists of authors.
@@ -217,10 +218,11 @@ class Mixture:
 
     @staticmethod
     def start(x: np.ndarray) -> np.ndarray:
-        """First posteriors, from the identifiers alone."""
+        """First posteriors, from the identifiers alone; NaN is open."""
         ids = x[:, 2:4]
         shared, other = (ids >= 0.9).any(1), (ids < 0.1).any(1)
-        return np.where(shared, SHARED_ID, np.where(other, OTHER_ID, OPEN))
+        rest = np.nan if shared.any() and (other & ~shared).any() else OPEN
+        return np.where(shared, SHARED_ID, np.where(other, OTHER_ID, rest))
 
     @staticmethod
     def patterns(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -255,14 +257,16 @@ class Mixture:
     def fit(self, x: np.ndarray, n: np.ndarray, posterior: np.ndarray) -> np.ndarray:
         patterns = self.patterns(x)
         for _ in range(STEPS):
-            self.weight = float(np.clip((n * posterior).sum() / n.sum(), 1e-6, 1 - 1e-6))
-            both = [self._moments(x, n * p + 1e-12, patterns, c) for c, p in enumerate((posterior, 1 - posterior))]
+            told = ~np.isnan(posterior)
+            p = np.where(told, posterior, 0.5)
+            self.weight = float(np.clip((n * p)[told].sum() / n[told].sum(), 1e-6, 1 - 1e-6))
+            both = [self._moments(x, n * told * w + 1e-12, patterns, c) for c, w in enumerate((p, 1 - p))]
             self.means = np.array([m for m, _ in both])
             ridge = np.diag(REGULAR * (self.means[0] - self.means[1]) ** 2 + LEAST_VARIANCE)
             self.covariances = np.array([s + ridge for _, s in both])
             odds = np.log(self.weight / (1 - self.weight)) + self._density(x, patterns, 0) - self._density(x, patterns, 1)
             after = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
-            moved, posterior = np.abs(after - posterior).max(), after
+            moved, posterior = np.abs(after - p).max(), after
             if moved < MOVED:
                 break
         return posterior

@@ -90,4 +90,5 @@ def test_the_mixture_beats_the_identifiers_it_starts_from():
     first = M.Mixture.start(x)
     after = M.Mixture().fit(x, np.ones(len(x)), first)
     right = lambda p: ((p >= 0.6) == truth).mean()
-    assert right(after) > 0.98 > right(first)
+    # One unmatched pair in ten agrees in names and kind, so not all can be told apart.
+    assert right(after) > 0.94 and right(after) > right(first) + 0.15
