@@ -76,10 +76,10 @@ def read_texts(df: DataFrame, key: str, text: str, read: Callable[[str], tuple[l
 
 def looked_up(docs: DataFrame, units: Column, learned: DataFrame) -> DataFrame:
     """`docs` with `found`: for each element of `units` its value in `learned` (k, v), or null."""
-    learned = cut(learned)
     rows = docs.withColumn("__units", units)
-    if learned.limit(SMALL + 1).count() <= SMALL:
-        shared = docs.sparkSession.sparkContext.broadcast({r["k"]: r["v"] for r in learned.collect()})
+    few = learned.limit(SMALL + 1).collect()
+    if len(few) <= SMALL:
+        shared = docs.sparkSession.sparkContext.broadcast({r["k"]: r["v"] for r in few})
 
         def look(lists: pd.Series) -> pd.Series:
             return lists.map(lambda us: [shared.value.get(u) for u in us])
@@ -137,7 +137,7 @@ def without_implied(docs: DataFrame, counts: DataFrame) -> DataFrame:
     return rows.withColumn("bag", F.transform(held, lambda x: x["bag"])).drop("found")
 
 
-def synonyms(docs: DataFrame, counts: DataFrame) -> DataFrame:
+def synonyms(docs: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
     """(k, v): words of (doc, bag, lo, hi) and one word of their class of synonyms, see the module's description."""
     words = counts.where(F.col("df") >= LEAST)
     sorted_ = docs.where(F.size("bag") > HOLE).withColumn("bag", F.sort_array("bag"))
@@ -156,7 +156,7 @@ def synonyms(docs: DataFrame, counts: DataFrame) -> DataFrame:
     typos = edits(words, words).where(F.col("m") >= FAR_RARER * F.col("n")).select(
         F.least("w", "near").alias("a"), F.greatest("w", "near").alias("b"), F.lit(True).alias("typo")
     )
-    asked = cut(likely.unionByName(typos).groupBy("a", "b").agg(F.max("typo").alias("typo")))
+    asked = likely.unionByName(typos).groupBy("a", "b").agg(F.max("typo").alias("typo"))
     side = lambda x: places.select("rest", F.col("w").alias(x), F.col("lo").alias(f"lo_{x}"), F.col("hi").alias(f"hi_{x}"))
     met = asked.join(side("a"), "a").join(side("b"), ["rest", "b"])
     told = (F.col("lo_a") <= F.col("hi_a")) & (F.col("lo_b") <= F.col("hi_b"))
@@ -165,25 +165,25 @@ def synonyms(docs: DataFrame, counts: DataFrame) -> DataFrame:
         F.first("typo").alias("typo"), F.count("*").alias("places"), F.count_if(told & same).alias("agree"), F.count_if(told & ~same).alias("against")
     )
     evidence = F.when(F.col("typo") & (F.col("against") == 0), True).otherwise((F.col("agree") >= AGREE) & (F.col("agree") >= AGAINST * F.col("against")))
-    held = cut(seen.where(evidence))
-    stand = docs.select("doc", F.explode("bag").alias("w"))
-    both = held.select("a", "b").join(stand.withColumnRenamed("w", "a"), "a").join(stand.withColumnRenamed("w", "b"), ["doc", "b"])
-    both = both.groupBy("a", "b").agg(F.count("*").alias("both"))
-    sized = (
-        held.join(words.select(F.col("w").alias("a"), F.col("df").alias("na")), "a")
-        .join(words.select(F.col("w").alias("b"), F.col("df").alias("nb")), "b")
-        .join(both, ["a", "b"], "left")
-        .crossJoin(docs.agg(F.count("*").alias("n")))
-    )
+    count = lambda x: words.select(F.col("w").alias(x), F.col("df").alias(f"n{x}"))
     enough = F.col("typo") | (F.col("places") >= SUBSTITUTES * F.least("na", "nb"))
-    apart = F.coalesce("both", F.lit(0)) <= TOGETHER * F.col("na") * F.col("nb") / F.col("n")
-    return _classes(cut(sized.where(enough & apart).select("a", "b")))
+    held = cut(seen.where(evidence).join(count("a"), "a").join(count("b"), "b").where(enough))
+    # How often both stand in one text is counted from the texts of the rarer one.
+    rarer = F.col("na") <= F.col("nb")
+    pairs = held.where(~F.col("typo")).select(F.when(rarer, F.col("a")).otherwise(F.col("b")).alias("w"), F.when(rarer, F.col("b")).otherwise(F.col("a")).alias("v"))
+    stand = docs.select("doc", "bag", F.explode("bag").alias("w"))
+    both = stand.join(pairs, "w").where(F.array_contains("bag", F.col("v"))).groupBy("w", "v").agg(F.count("*").alias("both"))
+    both = both.select(F.least("w", "v").alias("a"), F.greatest("w", "v").alias("b"), "both")
+    apart = F.coalesce("both", F.lit(0)) <= TOGETHER * F.col("na") * F.col("nb") / F.lit(float(n_docs))
+    return _classes(held.join(both, ["a", "b"], "left").where(apart | F.col("typo")).select("a", "b"))
 
 
 def _classes(pairs: DataFrame) -> DataFrame:
     """(k, v): each word of the pairs and the smallest word that it is connected with."""
     spark = pairs.sparkSession
-    if pairs.limit(SMALL + 1).count() > SMALL:
+    few = pairs.limit(SMALL + 1).collect()
+    if len(few) > SMALL:
+        pairs = cut(pairs)
         named = pairs.withColumn("key", F.concat_ws(" ", "a", "b"))
         edges = named.select(F.col("a").alias("record"), "key").unionByName(named.select(F.col("b").alias("record"), "key"))
         return components(edges, edges.select("record").distinct()).select(F.col("record").alias("k"), F.col("component").alias("v"))
@@ -194,14 +194,14 @@ def _classes(pairs: DataFrame) -> DataFrame:
             w = root[w]
         return w
 
-    for a, b in sorted(tuple(r) for r in pairs.collect()):
+    for a, b in sorted(tuple(r) for r in few):
         x, y = sorted((find(a), find(b)))
         root[y] = root[x] = x
     return spark.createDataFrame([(w, find(w)) for w in sorted(root)], "k string, v string")
 
 
 def learn(
-    df: DataFrame, key: str, text: str, read: Callable[[str], tuple[list[str], float | None, float | None]], stop: frozenset[str], rounds: int = 2
+    df: DataFrame, key: str, text: str, read: Callable[[str], tuple[list[str], float | None, float | None]], stop: frozenset[str], rounds: int = 1
 ) -> DataFrame:
     """(key, bag) of every row with a text: sorted canonical words, with misspellings, implied words and synonyms resolved.
 
@@ -211,9 +211,10 @@ def learn(
     docs = replaced(docs, "tokens", corrections(cut(word_counts(docs, "tokens"))))
     bare = F.array_except("tokens", F.array(*[F.lit(w) for w in sorted(stop)]))
     docs = cut(docs.select("doc", F.when(F.size(bare) > 0, bare).otherwise(F.array_distinct("tokens")).alias("bag"), "lo", "hi"))
-    docs = cut(without_implied(docs, cut(word_counts(docs, "bag"))))
+    docs = cut(without_implied(docs, word_counts(docs, "bag")))
+    n_docs = docs.count()
     for _ in range(rounds):
-        docs = replaced(docs, "bag", synonyms(docs, cut(word_counts(docs, "bag"))))
+        docs = replaced(docs, "bag", synonyms(docs, cut(word_counts(docs, "bag")), n_docs))
         docs = cut(docs.withColumn("bag", F.array_distinct("bag")))
     return cut(rows.join(docs.select("doc", F.sort_array("bag").alias("bag")), "doc").select(key, "bag"))
 

@@ -108,12 +108,13 @@ def cluster_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     named = bagged.withColumn("node", F.xxhash64(F.concat_ws(" ", "bag")))
     nodes = cut(named.groupBy("node").agg(F.first("bag").alias("bag")))
     links = cut(bags.within(nodes, "node", LEAST_SHARE, SHARED, SURE_SHARE).select("a", "b", F.col("share").alias("w")))
-    edges = (
-        links.select(F.col("a").alias("i"), F.col("b").alias("j"), "w")
-        .unionByName(links.select(F.col("b").alias("i"), F.col("a").alias("j"), "w"))
-        .unionByName(nodes.select(F.col("node").alias("i"), F.col("node").alias("j"), F.lit(1.0).alias("w")))
-    )
-    return named.select(key, "node").join(markov(edges), "node").select(key, "cluster", "flow")
+    both = links.select(F.col("a").alias("i"), F.col("b").alias("j"), "w").unionByName(links.select(F.col("b").alias("i"), F.col("a").alias("j"), "w"))
+    linked = both.select("i").distinct()
+    edges = both.unionByName(linked.select("i", F.col("i").alias("j"), F.lit(1.0).alias("w")))
+    # A node without links is a cluster by itself, and all flow stays in it.
+    lone = nodes.select("node").join(linked.select(F.col("i").alias("node")), "node", "left_anti")
+    clusters = markov(edges).unionByName(lone.select("node", F.col("node").alias("cluster"), F.lit(1.0).alias("flow")))
+    return named.select(key, "node").join(clusters, "node").select(key, "cluster", "flow")
 
 
 def finding_pairs(df: DataFrame, key: str, text: str) -> DataFrame:

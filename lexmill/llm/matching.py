@@ -102,7 +102,7 @@ def _read_titles(rows: DataFrame) -> DataFrame:
     known = papers_.join(rows.select("paper_id", F.xxhash64("doi").cast("double").alias("id"), F.col("doi").isNotNull().alias("has")), "paper_id")
     told = known.where("has").groupBy("doc").agg(F.max("id").alias("lo"), F.min("id").alias("hi"))
     docs = cut(docs.join(told, "doc", "left"))
-    docs = bags.replaced(docs, "bag", bags.synonyms(docs, cut(bags.word_counts(docs, "bag"))))
+    docs = bags.replaced(docs, "bag", bags.synonyms(docs, cut(bags.word_counts(docs, "bag")), docs.count()))
     return papers_.join(docs.select("doc", "kind", F.array_sort(F.array_distinct("bag")).alias("bag")), "doc").drop("doc")
 
 
