@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm import bags
@@ -42,7 +42,7 @@ FIGURE = re.compile(r"(?:,? \ban? \w+ of )?\(?(about |approximately |nearly |aro
 REFERENCE = re.compile(r"\[[\d,;\s-]+\]|\b(?:table|figure|fig\.) \d+")
 #: Two bags are linked if one is part of the other and has this share and so many of its words, or almost all of them.
 LEAST_SHARE, SHARED, SURE_SHARE = 0.4, 7, 0.8
-INFLATION, PRUNE, SETTLED = 2.0, 0.01, 1e-3
+INFLATION, PRUNE, SETTLED = 2.0, 0.01, 1e-5
 #: Rounds until the flows settle; flows that still move after so many are reported by a warning.
 ROUNDS = 60
 
@@ -63,20 +63,16 @@ def read_finding(text: str) -> tuple[list[str], float | None, float | None]:
 def markov(edges: DataFrame) -> DataFrame:
     """(node, cluster, flow) of every node of the symmetric weighted `edges` (i, j, w), which hold each node's loop.
 
-    Each round checkpoints the matrix; the rounds end when the flows settle.
+    Each round checkpoints the matrix; the rounds end when every column is settled, that is when its flows are all equal.
     """
     matrix = cut(_columns(edges.select("i", "j", F.col("w").alias("v"))))
     for _ in range(ROUNDS):
         left = matrix.select("i", F.col("j").alias("k"), F.col("v").alias("u"))
         right = matrix.select(F.col("i").alias("k"), "j", "v")
         squared = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("u") * F.col("v")).alias("v"))
-        grown = cut(_columns(_pruned(squared.select("i", "j", F.pow("v", F.lit(INFLATION)).alias("v")))))
-        change = F.abs(F.coalesce("v", F.lit(0.0)) - F.coalesce("u", F.lit(0.0))) / F.coalesce("top", "before")
-        moved = (
-            grown.join(matrix.withColumnsRenamed({"v": "u", "top": "before"}), ["i", "j"], "full").agg(F.max(change)).first()[0]
-        )
-        matrix = grown
-        if not moved or moved < SETTLED:
+        matrix = cut(_columns(squared.select("i", "j", F.pow("v", F.lit(INFLATION)).alias("v"))))
+        unsettled = matrix.agg(F.max("unsettled")).first()[0]
+        if not unsettled or unsettled < SETTLED:
             break
     else:
         warnings.warn(f"the flows have not settled after {ROUNDS} rounds", stacklevel=2)
@@ -89,16 +85,17 @@ def markov(edges: DataFrame) -> DataFrame:
 
 
 def _columns(matrix: DataFrame) -> DataFrame:
-    """The matrix with every column summing to 1, and its largest entry; a join on sums that were combined before the shuffle."""
-    total = matrix.groupBy("j").agg(F.sum("v").alias("total"), F.max("v").alias("top"))
-    share = lambda c: (F.col(c) / F.col("total")).alias(c)
-    return matrix.join(total, "j").select("i", "j", share("v"), share("top"))
+    """The matrix without the entries that are small against the largest of their column, which always stays, and with every
+    column summing to 1; `top` is the column's largest entry, `unsettled` how far the
+    entries are from being equal.
 
-
-def _pruned(matrix: DataFrame) -> DataFrame:
-    """The matrix without the entries that are small against the largest of their column, which always stays."""
-    top = matrix.groupBy("j").agg(F.max("v").alias("top"))
-    return matrix.join(top, "j").where(F.col("v") >= PRUNE * F.col("top")).select("i", "j", "v")
+    All of it takes one exchange by column; a long column spills.
+    """
+    column = Window.partitionBy("j")
+    kept = matrix.withColumn("top", F.max("v").over(column)).where(F.col("v") >= PRUNE * F.col("top"))
+    kept = kept.withColumn("total", F.sum("v").over(column))
+    share = kept.select("i", "j", (F.col("v") / F.col("total")).alias("v"), (F.col("top") / F.col("total")).alias("top"))
+    return share.withColumn("unsettled", 1 - F.sum(F.col("v") * F.col("v")).over(column) / F.col("top"))
 
 
 def cluster_texts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -135,8 +132,6 @@ def finding_clusters(df: DataFrame, key: str, text: str, similarity: str, top: i
     )
     sizes = scored.groupBy("cluster").agg(F.count("*").alias("size"))
     # The best members through repeated maxima of combined aggregates would cost as much as a rank; ranks spill.
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), key))
     typical = scored.withColumn("rank", rank).where(F.col("rank") <= top).groupBy("cluster").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", key))), lambda x: x[key]).alias("typical")

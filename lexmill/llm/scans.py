@@ -1,15 +1,18 @@
 """Repair of texts read from scanned pages, and the places where they were at fault.
 
 The lines of a text are first told apart: running headers (a venue's name or the beginning of the paper's own title,
-with or without a page number), page numbers alone, headings and body. The body is then read as one stream of
-characters without its line ends, which a decoder cuts into words again. At every place it weighs, by the words' counts
-in the whole corpus, the token as it stands, a word with confused characters in its place, a word broken by a hyphen at
-a line's end (but not a compound at its own hyphen), letters set apart, and two words run together. Confusions are
-looked up by a skeleton, in which characters that are taken for each other are written alike, so any number of them in
-a word costs one lookup. Paragraph boundaries are chosen by dynamic programming over the lines, from blank lines, full
-stops, line widths and headings, with a cost for very short paragraphs.
-
-The lexicon holds words with at least a fixed share of the corpus' words and is therefore of bounded size.
+with or without a page number), page numbers alone, headings and body. The body is then read as one stream without its
+line ends. Over it lies a lattice: every token may stand as it is, be a word with confused characters, be two words run
+together, be joined with the next ones (letters and pieces set apart), or, at a hyphen before a line end, make one word with
+the next token or a compound with its own hyphen. Every edge has a cost, the surprise of its words by their counts over the
+corpus' different texts and a price for what went wrong, and the cheapest path gives the text and the faults (see `stream`).
+Confusions are looked up by a skeleton, in which characters that are taken for each other are written alike, so any number
+of them in a word costs one lookup. Paragraph boundaries are chosen by dynamic programming over the lines, from blank
+lines, full stops, line widths and headings, with a cost for very short paragraphs.
+
+A word of the lexicon has `LEAST` occurrences, whatever the size of the corpus. Such a word is taken for a confusion only
+of one that is `FAR` times as frequent, so real words that are rare ("ear" beside "car") stay. The lexicon is broadcast
+after its size is checked (`LEXICON`); a larger one is an error, not a smaller lexicon.
 
 Defined results: null and blank texts have no faults and an empty repaired text; a text without line breaks is line 1;
 a field is read whole, whatever its length, in linear time; repeated rows give the same faults; empty tables give empty
@@ -29,10 +32,12 @@ from pyspark.sql import functions as F
 
 from lexmill.session import spread
 
-#: A word of the lexicon has this share of all words, and so many occurrences, at least: at most a million entries.
-SHARE, LEAST = 1e-6, 3
-#: A token is a confusion of a lexicon word that is so many times as frequent.
-CONFUSED = 15
+#: A word of the lexicon has so many occurrences at least; the lexicon has so many words at most.
+LEAST, LEXICON = 3, 5_000_000
+#: A token outside the lexicon is a confusion of a word that is so many times as frequent, a word of it of a far more frequent one.
+CONFUSED, FAR = 15, 60
+#: Prices of joining pieces and of parting words that run together, in nats.
+JOINING, PARTING = 4.0, 0.5
 #: How characters are taken for each other; both sides are written alike in a skeleton.
 ALIKE = str.maketrans({
     "m": "rrl", "n": "rl", "d": "cl", "h": "ll", "u": "ll", "w": "vv", "0": "o", "1": "l", "i": "l", "!": "l", "|": "l", "5": "s", "9": "g",
@@ -90,10 +95,14 @@ class Reader:
         """The lexicon word that `word` misreads, or None."""
         own = self.count(word)
         found = self.by_skeleton.get(skeleton(word))
-        if found and found[0] != word and found[1] >= CONFUSED * max(own, 1):
+        if found and found[0] != word and found[1] >= (FAR if own >= LEAST else CONFUSED) * max(own, 1):
             return found[0]
         return None
 
+    def cost(self, word: str) -> float:
+        """Surprise of a word, in nats; an unknown one is as rare as one occurrence."""
+        return math.log(self.total / max(self.count(word), 1))
+
     def read(self, token: str) -> tuple[str, str] | None:
         """None if the raw token stands as it is, else (its repair, 'misread')."""
         if token in self.memo:
