@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -266,34 +267,120 @@ class Reader:
                 body.append(i)
             elif k != "blank":
                 found.add((i + 1, k))
-        clean, continued, last = self.clean, False, len(body) - 1
-        for at, i in enumerate(body):
-            tokens = lines[i].split()
-            if continued:
-                del tokens[0]
-                continued = False
-            if tokens and tokens[-1][-1] in HYPHENS and broken(tokens[-1]):
-                if at < last:
-                    j = body[at + 1]
-                    joined = self.join(tokens[-1], lines[j].split(None, 1)[0])
-                    if joined:
-                        del tokens[-1]
-                        continued = True
-                        if joined[1] == "hyphen":
-                            found.add((i + 1, "hyphen"))
-                        if joined[2]:
-                            found.add((i + 1, "misread"))
-                        if joined[3]:
-                            found.add((j + 1, "misread"))
-                elif tokens[-1][-1] in "¬\u00ad":
-                    found.add((i + 1, "hyphen"))
-            if not clean.issuperset(tokens):
-                for t in tokens:
-                    if t not in clean and self.read(t):
-                        found.add((i + 1, "misread"))
-                        break
+        tokens, numbers = [], []
+        for i in body:
+            line = lines[i].split()
+            tokens += line
+            numbers += [i + 1] * len(line)
+        found.update(self.stream(tokens, numbers)[1])
         return sorted(found)
 
+    # The stream ------------------------------------------------------------------------------------------------
+
+    def stream(self, tokens: list[str], numbers: list[int]) -> tuple[list[str], set[tuple[int, str]]]:
+        """(words, faults as (line number, kind)) of the cheapest path through the lattice over the tokens of the body.
+
+        Costs do not depend on the neighbours, so a token that stands as it is and that no edge of several tokens covers is on
+        the path anyway; only the stretches around all others are searched.
+        """
+        clean, last = self.clean, len(tokens) - 1
+        words: list[str] = []
+        found: set[tuple[int, str]] = set()
+        done = 0
+        for start, end in self._stretches(tokens, numbers):
+            words += tokens[done:start]
+            for text, kinds in self._cheapest(tokens, numbers, start, end):
+                words.append(text)
+                found.update(kinds)
+            done = end
+        words += tokens[done:]
+        if tokens and tokens[last] not in clean and tokens[last][-1] in "¬\u00ad" and broken(tokens[last]):
+            found.add((numbers[last], "hyphen"))
+        return words, found
+
+    def _stretches(self, tokens: list[str], numbers: list[int]) -> Iterator[tuple[int, int]]:
+        """Stretches of tokens that some edge other than standing as it is covers, with a token around."""
+        clean, n = self.clean, len(tokens)
+        start = end = -1
+        for i, t in enumerate(tokens):
+            if t in clean and len(t) > 1 and t[-1] not in HYPHENS:
+                continue
+            at_end = i + 1 < n and numbers[i + 1] != numbers[i] and broken(t)
+            if not at_end and self.read(t) is None and self._stands(t):
+                if len(t) > 1 or not (t.isalpha() and i + 1 < n and len(tokens[i + 1].strip(STRIP)) == 1):
+                    continue
+            a, b = max(i - 1, 0), min(i + 2, n)
+            if a > end:
+                if start >= 0:
+                    yield start, end
+                start = a
+            end = b
+        if start >= 0:
+            yield start, end
+
+    def _stands(self, token: str) -> bool:
+        core = token.strip(STRIP)
+        return not core or not core.isalpha() or self.count(core.lower()) > 0
+
+    def _cheapest(self, tokens: list[str], numbers: list[int], start: int, end: int) -> list[tuple[str, list[tuple[int, str]]]]:
+        """(text, faults) of the edges of the cheapest path from `start` to `end`."""
+        best: list[float] = [0.0] + [math.inf] * (end - start)
+        back: list[tuple[int, str, list[tuple[int, str]]] | None] = [None] * (end - start + 1)
+
+        def edge(i: int, j: int, cost: float, text: str, kinds: list[tuple[int, str]]) -> None:
+            if j <= end and best[i - start] + cost < best[j - start]:
+                best[j - start], back[j - start] = best[i - start] + cost, (i, text, kinds)
+
+        for i in range(start, end):
+            token = tokens[i]
+            core = token.strip(STRIP)
+            low = core.lower()
+            fixed = self.read(token)
+            alone = self.cost(low)
+            if fixed is None:
+                edge(i, i + 1, alone, token, [])
+                parted = self.split(token)
+                if parted != token:
+                    edge(i, i + 1, alone - PARTING, parted, [])
+            else:
+                edge(i, i + 1, min(alone, self.cost(fixed[0].strip(STRIP).lower()) + math.log(CONFUSED)), fixed[0], [(numbers[i], "misread")])
+            if i + 1 < end and numbers[i + 1] != numbers[i] and broken(token):
+                joined = self.join(token, tokens[i + 1])
+                if joined:
+                    text, kind, in_head, in_tail = joined
+                    kinds = [(numbers[i], "hyphen")] if kind == "hyphen" else []
+                    kinds += [(numbers[i], "misread")] * in_head + [(numbers[i + 1], "misread")] * in_tail
+                    # One word, or a compound of which both parts are: no dearer than what stands apart.
+                    after = self.cost(tokens[i + 1].strip(STRIP).lower())
+                    edge(i, i + 2, min(self.cost(text.strip(STRIP).lower()), alone + after - PARTING), text, kinds)
+            self._joined(tokens, i, end, edge)
+        path, at = [], end
+        while at > start:
+            i, text, kinds = back[at - start]
+            path.append((text, kinds))
+            at = i
+        return path[::-1]
+
+    def _joined(self, tokens: list[str], i: int, end: int, edge) -> None:
+        """Edges of pieces set apart that make a known word: two pieces of which one is unknown, or a run of letters."""
+        if tokens[i][-1:] and not tokens[i][-1].isalpha():
+            return
+        j, letters = i + 1, len(tokens[i].strip(STRIP)) == 1
+        while j < end and tokens[j].lstrip(STRIP)[:1].isalpha() and (j == i + 1 or letters):
+            letters = letters and len(tokens[j].strip(STRIP)) == 1
+            word = "".join(tokens[i : j + 1])
+            low = word.strip(STRIP).lower()
+            pieces = [t.strip(STRIP).lower() for t in tokens[i : j + 1]]
+            if low.isalpha() and (letters and j - i >= 2 or not letters and j == i + 1 and min(map(self.count, pieces)) == 0):
+                known = self.count(low) >= LEAST
+                fixed = word if known else (self.correct(low) if letters else None)
+                if fixed:
+                    read = self.read(word) if not known else None
+                    edge(i, j + 1, self.cost(low if known else fixed) + JOINING, read[0] if read else word, [])
+            if not tokens[j][-1].isalpha():
+                break
+            j += 1
+
     def joined_faults(self, text: str, title: str, source: str | None, seen: dict[str, str] | None = None) -> list[str]:
         """Kinds of fault of a text whose line breaks were lost; `source` is the text with its lines, if there is one."""
         found: set[str] = set()
@@ -325,21 +412,9 @@ class Reader:
             for m in re.finditer(r" (— \d+ —|- \d+ -|[Pp]age \d+(?: of \d+)?|p\. \d+) ", rest):
                 found.add("page_number")
                 rest = rest.replace(m.group(0), " ")
+        # The lines are lost: every token may end one.
         tokens = rest.split()
-        skip = -1
-        for i, t in enumerate(tokens):
-            if i == skip:
-                continue
-            if broken(t) and i + 1 < len(tokens):
-                joined = self.join(t, tokens[i + 1])
-                if joined and joined[1] == "hyphen":
-                    found.add("hyphen")
-                    skip = i + 1
-                    if joined[2] or joined[3]:
-                        found.add("misread")
-                    continue
-            if t not in self.clean and "misread" not in found and self.read(t):
-                found.add("misread")
+        found.update(kind for _, kind in self.stream(tokens, list(range(len(tokens))))[1])
         return sorted(found)
 
     # Repair ------------------------------------------------------------------------------------------------------
@@ -370,32 +445,12 @@ class Reader:
 
     def decode(self, lines: list[str]) -> str:
         """The words of the lines read as one stream."""
-        tokens: list[str] = []
-        for line in lines:
-            new = line.split()
-            if tokens and new and broken(tokens[-1]):
-                joined = self.join(tokens[-1], new[0])
-                if joined:
-                    tokens[-1], new = joined[0], new[1:]
-            tokens += new
-        out: list[str] = []
-        i = 0
-        while i < len(tokens):
-            # Letters set apart: the longest run of single letters that makes a word.
-            j = i
-            while j < len(tokens) and len(tokens[j].strip(STRIP)) == 1 and tokens[j][0].isalpha() and (j == i or tokens[j - 1][-1].isalpha()):
-                j += 1
-            if j - i >= 3:
-                word = "".join(tokens[i:j])
-                if self.count(word.strip(STRIP).lower()) or self.correct(word.strip(STRIP).lower()):
-                    fixed = self.read(word)
-                    out.append(fixed[0] if fixed else word)
-                    i = j
-                    continue
-            fixed = self.read(tokens[i])
-            out.append(fixed[0] if fixed else self.split(tokens[i]))
-            i += 1
-        return " ".join(out)
+        tokens, numbers = [], []
+        for i, line in enumerate(lines):
+            words = line.split()
+            tokens += words
+            numbers += [i] * len(words)
+        return " ".join(self.stream(tokens, numbers)[0])
 
     def split(self, token: str) -> str:
         """Two words run together, if that is likelier than an unknown one."""
@@ -470,7 +525,7 @@ def _words(text: str, counts: Counter) -> None:
 
 
 def lexicon(df: DataFrame, text: str) -> dict[str, int]:
-    """Word -> count over all texts; bounded, see the module's description."""
+    """Word -> count over all different texts, of the words with `LEAST` occurrences."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
@@ -483,12 +538,14 @@ def lexicon(df: DataFrame, text: str) -> dict[str, int]:
                 counts = Counter()
         yield _folded(counts)
 
-    words = spread(df.select(text)).mapInPandas(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    words = words.persist()
-    total = words.agg(F.sum("n")).first()[0] or 0
-    kept = {r[0]: r[1] for r in words.where(F.col("n") >= max(LEAST, total * SHARE)).collect()}
-    words.unpersist()
-    return kept
+    # Copies of a text count once.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    different = df.where(F.col(text).isNotNull()).select(F.md5(text).alias("h"), text).repartition(2 * cores, "h").dropDuplicates(["h"])
+    words = different.select(text).mapInPandas(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    kept = words.where(F.col("n") >= LEAST).limit(LEXICON + 1).collect()
+    if len(kept) > LEXICON:
+        raise ValueError(f"the lexicon has more than {LEXICON} words; raise LEXICON if executors can hold it")
+    return {r[0]: r[1] for r in kept}
 
 
 def _folded(counts: Counter) -> pd.DataFrame:
@@ -497,28 +554,27 @@ def _folded(counts: Counter) -> pd.DataFrame:
         word = token.strip(STRIP).lower()
         if word and not NUMBER.match(word):
             folded[word] += n
-    return pd.DataFrame({"w": list(folded), "n": list(folded.values())})
+    return pd.DataFrame({"w": pd.Series(list(folded), dtype=object), "n": pd.Series(list(folded.values()), dtype="int64")})
 
 
 def title_key(title: str | None) -> str:
     return skeleton(re.sub(r"[^\w†!|]+", "", title or ""))
 
 
-_readers: dict[int, Reader] = {}
+_readers: dict[str, Reader] = {}
 
 
-def _reader(shared) -> Reader:
-    """The reader of a broadcast lexicon, one for each worker process."""
-    key = id(shared.value)
-    if key not in _readers:
+def _reader(shared, name: str) -> Reader:
+    """The reader of a broadcast lexicon, one for each worker process; `name` is the lexicon's own."""
+    if name not in _readers:
         _readers.clear()
-        _readers[key] = Reader(*shared.value)
-    return _readers[key]
+        _readers[name] = Reader(*shared.value)
+    return _readers[name]
 
 
 def _shared(papers: DataFrame, venues: DataFrame):
     names = [x for r in venues.select("venue", "short_name").collect() for x in r if x]
-    return papers.sparkSession.sparkContext.broadcast((lexicon(papers, "full_text"), names))
+    return papers.sparkSession.sparkContext.broadcast((lexicon(papers, "full_text"), names)), uuid.uuid4().hex
 
 
 def faults(papers: DataFrame, venues: DataFrame) -> DataFrame:
@@ -526,10 +582,10 @@ def faults(papers: DataFrame, venues: DataFrame) -> DataFrame:
 
     `venues` is a fixed table of a few hundred names.
     """
-    shared = _shared(papers, venues)
+    shared, name = _shared(papers, venues)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = _reader(shared)
+        reader = _reader(shared, name)
         for batch in batches:
             rows = []
             for i, title, full, clean, sections in zip(
@@ -553,10 +609,10 @@ def faults(papers: DataFrame, venues: DataFrame) -> DataFrame:
 
 def repaired(papers: DataFrame, venues: DataFrame) -> DataFrame:
     """(text_id, paper_id, text): each full_text, else clean_text, as continuous readable paragraphs."""
-    shared = _shared(papers, venues)
+    shared, name = _shared(papers, venues)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = _reader(shared)
+        reader = _reader(shared, name)
         for batch in batches:
             made = [reader.repair(t, title_key(title)) for t, title in zip(batch["text"], batch["title"])]
             yield pd.DataFrame({"text_id": batch["text_id"], "paper_id": batch["paper_id"], "text": made})

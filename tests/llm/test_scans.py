@@ -67,3 +67,49 @@ def test_skeletons_meet():
     for a, b in [("clinical", "c1inical"), ("modern", "rnodern"), ("thin", "thiri"), ("should", "sliould"), ("depth", "clepth"), ("issue", "i5sue")]:
         assert S.skeleton(a) == S.skeleton(b)
     assert S.skeleton("gait") != S.skeleton("gate")
+
+
+def test_rare_real_words_stay():
+    reader = S.Reader({"car": 100, "ear": 5, "corn": 4, "com": 90, "the": 9000, "thc": 40}, [])
+    assert reader.read("ear") is None and reader.read("corn") is None
+    assert reader.read("thc") == ("the", "misread") and reader.read("eorn")[0] == "com"
+
+
+def test_the_path_joins_parts_and_reads_at_once():
+    counts = {w: 80 for w in "methods of the clinical study were reported in two rooms by readers with some care".split()}
+    reader = S.Reader(counts, [])
+    assert reader.decode(["the meth ods were rep-", "orted bythe clinicalstudy"]) == "the methods were reported bythe clinical study"
+    words, faults = reader.stream("the c1inical stu- dy wcre t h e care".split(), [1, 1, 1, 2, 2, 2, 2, 2, 2])
+    assert words == ["the", "clinical", "study", "were", "the", "care"]
+    assert faults == {(1, "misread"), (1, "hyphen"), (2, "misread")}
+
+
+def test_the_path_is_the_cheapest_of_all():
+    import math
+    import random
+
+    rng = random.Random(2)
+    vocabulary = ["ab", "abc", "cd", "abcd", "dabc", "bcd", "da", "a", "b", "c", "d"]
+    for _ in range(200):
+        reader = S.Reader({w: rng.randint(3, 400) for w in rng.sample(vocabulary, 7)}, [])
+        tokens = [rng.choice(vocabulary) for _ in range(6)]
+        got = []
+        for i in range(6):
+            reader._joined(tokens, i, 6, lambda i, j, cost, text, kinds: got.append((i, j, cost)))
+        alone = [(i, i + 1, min(reader.cost(t), reader.cost(t) - S.PARTING if reader.split(t) != t else math.inf)) for i, t in enumerate(tokens)]
+        if any(reader.read(t) for t in tokens):
+            continue
+        edges = got + alone
+
+        def cheapest(i):
+            return 0.0 if i == 6 else min(c + cheapest(j) for a, j, c in edges if a == i)
+
+        path = reader._cheapest(tokens, [1] * 6, 0, 6)
+        assert "".join(t.replace(" ", "") for t, _ in path) == "".join(tokens)
+        spent = 0.0
+        at = 0
+        for text, _ in path:
+            size = next(j for j in range(at + 1, 7) if "".join(tokens[at:j]) == text.replace(" ", ""))
+            spent += min(c for a, j, c in edges if a == at and j == size)
+            at = size
+        assert abs(spent - cheapest(0)) < 1e-9
