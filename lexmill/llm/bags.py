@@ -8,7 +8,8 @@ ratio of counts, never a share of the corpus, so a word is read alike in a small
   they report (a figure, an identifier) at least `AGREE` times, and hardly ever disagree; the pairs must be more than an
   accident for the rarer word, and the words must not seek each other's company. Words that only fill the same place (two
   drugs, "reduces" and "increases") have no such evidence and stay apart.
-* A misspelling too frequent for the first rule needs the same place in the same text as its far more frequent neighbour.
+* A word of more texts is misspelt only if a neighbour is `FAR_RARER` times as frequent and is seen between the same two words
+  in most places where it stands itself; a real word has places of its own.
 
 What is learned are tables. A table is broadcast only after its rows are counted (`SMALL`); a larger one is joined.
 
@@ -33,8 +34,8 @@ from lexmill.session import cut
 
 #: A word of so many texts is one; a rarer one may be misspelt if a neighbour is so many times as frequent.
 LEAST, MISSPELT = 5, 20
-#: A word of `LEAST` texts is misspelt only if a neighbour is so many times as frequent and fills its place.
-FAR_RARER = 50
+#: A word of `LEAST` texts is misspelt only if a neighbour is so many times as frequent and is seen in this share of its places.
+FAR_RARER, PLACES = 50, 0.5
 #: Longer words are not read as misspellings.
 LONGEST = 40
 #: Synonyms: pairs of texts that agree at least, how much more often than they disagree, share of the rarer word's texts,
@@ -119,6 +120,22 @@ def corrections(words: DataFrame, ratio: float = MISSPELT) -> DataFrame:
     return near.groupBy(F.col("w").alias("k")).agg(F.max_by("near", F.struct("m", "near")).alias("v"))
 
 
+def misspellings(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """(k, v): like `corrections`, for words of `LEAST` texts and more, by the places where they stand in (doc, tokens)."""
+    usual = words.where(F.col("df") >= LEAST)
+    pairs = cut(edits(usual, usual).where(F.col("m") >= FAR_RARER * F.col("n")))
+    beside = lambda i: F.coalesce(F.try_element_at("tokens", i), F.lit(""))
+    # Positions of element_at count from 1; before the first and after the last word stands nothing.
+    around = F.transform("tokens", lambda w, i: F.struct(w.alias("w"), F.xxhash64(F.when(i > 0, beside(F.greatest(i, F.lit(1)))), beside(i + 2)).alias("place")))
+    stands = docs.select(F.explode(around).alias("p")).select("p.w", "p.place")
+    asked = stands.join(pairs.select("w").distinct(), "w").groupBy("w", "place").agg(F.count("*").alias("times"))
+    targets = stands.join(pairs.select(F.col("near").alias("w")).distinct(), "w").distinct().withColumnRenamed("w", "near")
+    total = asked.groupBy("w").agg(F.sum("times").alias("total"))
+    met = asked.join(pairs, "w").join(targets, ["near", "place"]).groupBy("w", "near", "m").agg(F.sum("times").alias("times"))
+    sure = met.join(total, "w").where(F.col("times") >= PLACES * F.col("total"))
+    return sure.groupBy(F.col("w").alias("k")).agg(F.max_by("near", F.struct("m", "near")).alias("v"))
+
+
 def implied(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """(k, v): pairs "a b" of words of which b follows a nearly always, and so says nothing there ("encoding model")."""
     pairs = docs.where(F.size("bag") > 1).select(F.explode(_beside()).alias("k")).where("k <> ''").groupBy("k").count()
@@ -152,30 +169,26 @@ def synonyms(docs: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
     one, two = (binned.select("rest", "bin", *[F.col(c).alias(f"{c}_{x}") for c in ("w", "lo", "hi")]) for x in ("a", "b"))
     agreed = one.join(two, ["rest", "bin"]).where((F.col("w_a") < F.col("w_b")) & (F.greatest("lo_a", "lo_b") <= F.least("hi_a", "hi_b")))
     agreed = agreed.select("rest", F.col("w_a").alias("a"), F.col("w_b").alias("b")).distinct()
-    likely = agreed.groupBy("a", "b").count().where(F.col("count") >= AGREE).select("a", "b", F.lit(False).alias("typo"))
-    typos = edits(words, words).where(F.col("m") >= FAR_RARER * F.col("n")).select(
-        F.least("w", "near").alias("a"), F.greatest("w", "near").alias("b"), F.lit(True).alias("typo")
-    )
-    asked = likely.unionByName(typos).groupBy("a", "b").agg(F.max("typo").alias("typo"))
+    asked = agreed.groupBy("a", "b").count().where(F.col("count") >= AGREE).select("a", "b")
     side = lambda x: places.select("rest", F.col("w").alias(x), F.col("lo").alias(f"lo_{x}"), F.col("hi").alias(f"hi_{x}"))
     met = asked.join(side("a"), "a").join(side("b"), ["rest", "b"])
     told = (F.col("lo_a") <= F.col("hi_a")) & (F.col("lo_b") <= F.col("hi_b"))
     same = F.greatest("lo_a", "lo_b") <= F.least("hi_a", "hi_b")
     seen = met.groupBy("a", "b").agg(
-        F.first("typo").alias("typo"), F.count("*").alias("places"), F.count_if(told & same).alias("agree"), F.count_if(told & ~same).alias("against")
+        F.count("*").alias("places"), F.count_if(told & same).alias("agree"), F.count_if(told & ~same).alias("against")
     )
-    evidence = F.when(F.col("typo") & (F.col("against") == 0), True).otherwise((F.col("agree") >= AGREE) & (F.col("agree") >= AGAINST * F.col("against")))
+    evidence = (F.col("agree") >= AGREE) & (F.col("agree") >= AGAINST * F.col("against"))
     count = lambda x: words.select(F.col("w").alias(x), F.col("df").alias(f"n{x}"))
-    enough = F.col("typo") | (F.col("places") >= SUBSTITUTES * F.least("na", "nb"))
+    enough = F.col("places") >= SUBSTITUTES * F.least("na", "nb")
     held = cut(seen.where(evidence).join(count("a"), "a").join(count("b"), "b").where(enough))
     # How often both stand in one text is counted from the texts of the rarer one.
     rarer = F.col("na") <= F.col("nb")
-    pairs = held.where(~F.col("typo")).select(F.when(rarer, F.col("a")).otherwise(F.col("b")).alias("w"), F.when(rarer, F.col("b")).otherwise(F.col("a")).alias("v"))
+    pairs = held.select(F.when(rarer, F.col("a")).otherwise(F.col("b")).alias("w"), F.when(rarer, F.col("b")).otherwise(F.col("a")).alias("v"))
     stand = docs.select("doc", "bag", F.explode("bag").alias("w"))
     both = stand.join(pairs, "w").where(F.array_contains("bag", F.col("v"))).groupBy("w", "v").agg(F.count("*").alias("both"))
     both = both.select(F.least("w", "v").alias("a"), F.greatest("w", "v").alias("b"), "both")
     apart = F.coalesce("both", F.lit(0)) <= TOGETHER * F.col("na") * F.col("nb") / F.lit(float(n_docs))
-    return _classes(held.join(both, ["a", "b"], "left").where(apart | F.col("typo")).select("a", "b"))
+    return _classes(held.join(both, ["a", "b"], "left").where(apart).select("a", "b"))
 
 
 def _classes(pairs: DataFrame) -> DataFrame:
@@ -208,7 +221,8 @@ def learn(
     Words of `stop` are left out after spelling is read; a text of such words alone is known by them.
     """
     rows, docs = read_texts(df, key, text, read)
-    docs = replaced(docs, "tokens", corrections(cut(word_counts(docs, "tokens"))))
+    words = cut(word_counts(docs, "tokens"))
+    docs = replaced(docs, "tokens", corrections(words).unionByName(misspellings(docs, words)))
     bare = F.array_except("tokens", F.array(*[F.lit(w) for w in sorted(stop)]))
     docs = cut(docs.select("doc", F.when(F.size(bare) > 0, bare).otherwise(F.array_distinct("tokens")).alias("bag"), "lo", "hi"))
     docs = cut(without_implied(docs, word_counts(docs, "bag")))

@@ -94,7 +94,8 @@ def papers(df: DataFrame, last_year: int = LAST_YEAR) -> DataFrame:
 def _read_titles(rows: DataFrame) -> DataFrame:
     """(paper_id, kind, bag): kind of part and canonical words of every title; titles of one doi show synonyms."""
     papers_, docs = bags.read_texts(rows, "paper_id", "title", lambda t: (title_words(t), None, None))
-    docs = bags.replaced(docs, "tokens", bags.corrections(cut(bags.word_counts(docs, "tokens"))))
+    counts = cut(bags.word_counts(docs, "tokens"))
+    docs = bags.replaced(docs, "tokens", bags.corrections(counts).unionByName(bags.misspellings(docs, counts)))
     text = F.array_join("tokens", " ")
     kind = F.array_join(F.array_sort(F.regexp_extract_all(text, F.lit(KINDS.pattern), F.lit(0))), " ")
     words = F.split(F.regexp_replace(text, KINDS.pattern, " "), " +")

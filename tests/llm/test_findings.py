@@ -149,3 +149,12 @@ def test_large_cliques_lose_no_node(spark):
             edges += [(a, b, w), (b, a, w)]
         got = G.markov(spark.createDataFrame(edges, "i long, j long, w double")).collect()
         assert sorted(r.node for r in got) == list(range(n)) and len({r.cluster for r in got}) == 1
+
+
+def test_frequent_misspellings_have_no_places_of_their_own(spark):
+    rng = random.Random(11)
+    names = [f"n{a}x" for a in "abcdefghij"]
+    say = lambda animal: f"{rng.choice(names)} the {animal} were {rng.choice(names)}"
+    texts = [say("rats") for _ in range(600)] + [say("rasts") for _ in range(8)] + [f"{rng.choice(names)} cats purr {n}" for n in names[:9]]
+    df = spark.createDataFrame([(f"d{i}", t.split()) for i, t in enumerate(texts)], "doc string, tokens array<string>")
+    assert {r.k: r.v for r in bags.misspellings(df, bags.word_counts(df, "tokens")).collect()} == {"rasts": "rats"}
