@@ -1,7 +1,7 @@
 """Statistics of each document, and whether it is prose, a list, a table or junk.
 
-Structure is read from the lines: delimiters that stand in the same number (or columns of blanks at the same places) on
-neighbouring lines show a table; a repeated indentation or marker, and short lines without a stop, show a list; the
+Structure is read from the lines: delimiters that stand in the same number on neighbouring lines, or cells between
+columns of blanks that begin or end at the same places there, show a table; a repeated indentation or marker, and short lines without a stop, show a list; the
 autocorrelation of line lengths tells wrapped prose (even, full lines) from entries of their own length. Word, symbol,
 punctuation and common-word ratios tell readable text from junk. The main class is that of most of the text: prose with
 a short list or table in it stays prose.
@@ -30,6 +30,7 @@ MARKER = re.compile(r"\s*(?:[-*•‣▪–—·+o]\s+|\[\s?[xX]?\s?\]\s+|\[\d+\
 LEADER = re.compile(r"(?:\.\s?){4,}\s*\d+\s*$|\t+\d+\s*$|\s{3,}\d{1,4}\s*$")
 REFERENCE = re.compile(r"\bvol\.|\bpp\.\s*\d|\(\d{4}\)\.|,\s*\d{4}\.\s*$|\bdoi\b|\bin proc\b", re.I)
 COMMA = re.compile(r",(?=\S)")
+NO_ALNUM = re.compile(r"[\W_]+")
 GAP = re.compile(r"(?<=\S)\s{2,}(?=\S)")
 STOPPED = re.compile(r"[.!?:;]['\")\]»”’]*\s*$")
 MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|\\[a-zA-Z]+\b|&[a-z]+;|[{}$]|\^\{|_\{")
@@ -46,18 +47,31 @@ STATISTICS = (
 )
 
 
-def _cells(line: str) -> dict[str, int]:
-    """Number of cells of a line for each delimiter that splits it."""
-    out = {}
-    for name, n in (("tab", line.count("\t")), ("bar", line.count("|")), ("comma", len(COMMA.findall(line)))):
+def _cells(line: str) -> dict[str, tuple]:
+    """What the delimiters of a line show of its columns: their number, or for gaps the places where the cells after them begin and end."""
+    out: dict[str, tuple] = {}
+    for name, n in (("tab", line.count("\t")), ("bar", line.count("|")), ("comma", len(COMMA.findall(line)) if "," in line else 0)):
         if n:
-            out[name] = n
-    gaps = len(GAP.findall(line.strip().replace("\t", "  ")))
-    if gaps:
-        out["gap"] = gaps
+            out[name] = (n,)
+    if "  " in line or "\t" in line:
+        plain = line.rstrip().expandtabs(2)
+        gaps = [m.span() for m in GAP.finditer(plain)]
+        if gaps:
+            ends = [a for a, _ in gaps[1:]] + [len(plain)]
+            out["gap"] = tuple((b, end) for (_, b), end in zip(gaps, ends))
     return out
 
 
+def _columns(name: str, cells: tuple, other: tuple | None) -> bool:
+    """Do two lines have the same columns? Cells between gaps are, if most of them begin or end at the same place."""
+    if other is None or len(cells) != len(other):
+        return False
+    if name != "gap":
+        return cells == other
+    met = sum(a == c or b == d for (a, b), (c, d) in zip(cells, other))
+    return met >= 0.6 * len(cells)
+
+
 def _autocorrelation(values: list[int]) -> float:
     n = len(values)
     if n < 3:
@@ -69,6 +83,18 @@ def _autocorrelation(values: list[int]) -> float:
     return sum((a - mean) * (b - mean) for a, b in zip(values, values[1:])) / spread_
 
 
+def _leads(line: str) -> bool:
+    """Does the line end in a page number after leaders or a gap?"""
+    return line.rstrip()[-1:].isdigit() and LEADER.search(line) is not None
+
+
+def _cites(line: str) -> bool:
+    """Does the line hold what marks a reference? Most lines hold none of the signs that the pattern needs."""
+    low = line.lower()
+    signs = ")." in low or "vol." in low or "pp." in low or "doi" in low or "in proc" in low or low.rstrip()[-2:-1].isdigit()
+    return signs and REFERENCE.search(line) is not None
+
+
 def _period(indents: list[int]) -> float:
     """Share of lines whose indentation repeats that of the line one, two or three before, if any line is indented."""
     if len(indents) < 4 or not any(indents):
@@ -88,12 +114,15 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
     inside = sum(w in common for w in low)
     letters = sum(map(len, words))
     solid = len("".join(text.split()))
-    alnum = sum(map(str.isalnum, text))
+    alnum = len(NO_ALNUM.sub("", text))
     symbols = 1 - alnum / solid
-    stopped = sum(STOPPED.search(x) is not None for x in lines) / n_lines
+    stops = [STOPPED.search(x) is not None for x in lines]
+    leads = [_leads(x) for x in lines]
+    cites = [_cites(x) for x in lines]
+    stopped = sum(stops) / n_lines
     share = inside / n if n else 0.0
 
-    # Vertical alignment: a delimiter in the same number as on a neighbouring line.
+    # Vertical alignment: the columns of a line against those of its neighbours.
     cells = [_cells(x) for x in lines]
     table_chars = list_chars = prose_chars = total = 0
     aligned = marked = 0
@@ -115,44 +144,45 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
         tokens = TOKEN.findall(line)
         own = [w.lower() for w in WORD.findall(line)]
         known = sum(w in common for w in own)
-        numbers = sum(NUMBER.match(t) is not None for t in tokens)
+        numbers = sum(NUMBER.match(t) is not None for t in tokens if t[-1] in "0123456789%)")
         around = [cells[j] for j in (i - 1, i + 1) if 0 <= j < n_lines]
         in_columns = any(
-            any(o.get(d) == c for o in around)
+            any(_columns(d, c, o.get(d)) for o in around)
             for d, c in cells[i].items()
-            if d in usable and (c >= 2 or d == "tab")
+            if d in usable and (d in ("tab", "gap") and (d == "tab" or len(c) >= 2) or d not in ("tab", "gap") and c[0] >= 2)
         )
         all_numbers = len(tokens) >= 3 and numbers >= 0.8 * len(tokens)
-        sentence = len(own) >= 5 and known >= 0.18 * len(own) and not (LEADER.search(line) or REFERENCE.search(line))
-        is_marked = MARKER.match(line) is not None or LEADER.search(line) is not None or REFERENCE.search(line) is not None
+        leader, cited, stop = leads[i], cites[i], stops[i]
+        sentence = len(own) >= 5 and known >= 0.18 * len(own) and not (leader or cited)
+        is_marked = leader or cited or MARKER.match(line) is not None
         marked += is_marked
-        told = len(own) >= 6 and known >= 0.18 * len(own) and STOPPED.search(line)
-        if all_numbers or (in_columns and not told and not (is_marked and REFERENCE.search(line))):
+        told = len(own) >= 6 and known >= 0.18 * len(own) and stop
+        if all_numbers or (in_columns and not told and not (is_marked and cited)):
             aligned += 1
             table_chars += size
-        elif is_marked and not (sentence and len(own) > 14 and STOPPED.search(line)):
+        elif is_marked and not (sentence and len(own) > 14 and stop):
             list_chars += size
         elif sentence:
             prose_chars += size
-        elif len(own) <= 8 and (not STOPPED.search(line) or indented) and not wrapped:
+        elif len(own) <= 8 and (not stop or indented) and not wrapped:
             list_chars += size
         elif len(own) >= 4 and (known or n_lines > 1):
             prose_chars += size
-    kind = _kind(text, lines, low, share, symbols, letters, solid, table_chars / total, list_chars / total, prose_chars / total, auto)
+    kind = _kind(text, lines, sum(a or b for a, b in zip(leads, cites)), low, share, symbols, letters, solid, table_chars / total, list_chars / total, prose_chars / total, auto)
     return (
         n, round(letters / n, 6) if n else 0.0, round(symbols, 6), round(stopped, 6), round(share, 6), round(aligned / n_lines, 6),
         round(marked / n_lines, 6), round(auto, 6), round(period, 6), kind,
     )
 
 
-def _kind(text, lines, low, share, symbols, letters, solid, table, listed, prose, auto) -> str:
+def _kind(text, lines, entries, low, share, symbols, letters, solid, table, listed, prose, auto) -> str:
     n, n_lines = len(low), len(lines)
     if n < 3 and not table:
         return "prose" if n and letters >= 0.7 * solid and n_lines == 1 and not _code(text) else "junk" if solid > 3 else "prose"
     # Repetition: one line, or one run of words, is most of the text.
     if n_lines >= 4 and Counter(x.strip() for x in lines).most_common(1)[0][1] >= max(3, 0.5 * n_lines):
         return "junk"
-    if n_lines >= 3 and sum(REFERENCE.search(x) is not None or LEADER.search(x) is not None for x in lines) >= 0.6 * n_lines and share < 0.2 and table < 0.5:
+    if n_lines >= 3 and entries >= 0.6 * n_lines and share < 0.2 and table < 0.5:
         return "list"
     different = len(set(low))
     if n >= 20 and different <= 10 and Counter(zip(low, low[1:])).most_common(1)[0][1] >= 0.1 * n or n >= 8 and different <= min(10, n / 4) and n_lines < 3:

@@ -35,3 +35,10 @@ def test_frame(spark):
     got = {r.doc_id: r.kind for r in Q.not_prose(df, "doc_id", "text", words).collect()}
     assert got == {i: k for i, (_, k) in enumerate(CASES) if k not in (None, "prose")} | {901: "list"}
     assert Q.statistics(df.limit(0), "doc_id", "text", words).count() == 0
+
+
+def test_columns_are_places():
+    cells = lambda line: Q._cells(line)["gap"]
+    assert Q._columns("gap", cells("gait     1.2     0.4"), cells("pain     3.1     0.9"))
+    assert Q._columns("gap", cells("gait        1.2     0.4"), cells("gait       11.2    10.4"))
+    assert not Q._columns("gap", cells("a   b   c"), cells("a word      b         c and d"))
