@@ -67,7 +67,7 @@ def _plain(value: str) -> str:
 def citation_contexts(text: str) -> list[tuple[str, str]]:
     """(key, sentence) of every citation; the sentence is capped, and equal beginnings count once for a key."""
     out, seen = [], set()
-    for m in re.finditer(r"\\[cC]ite[a-z]*\*?(?:\[[^\]]*\])*\{([^}]*)\}", text):
+    for m in re.finditer(r"\\(?:[cC]ite|[pP]arencite|[tT]extcite|[aA]utocite|[fF]ootcite|[sS]martcite|[fF]ullcite)[a-z]*\*?(?:\[[^\]]*\])*\{([^}]*)\}", text):
         start = _boundary(text, m.start(), -1)
         end = _boundary(text, m.end(), 1)
         sentence = re.sub(r"\s+", " ", text[start:end]).strip()[:CONTEXT]
