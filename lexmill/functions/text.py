@@ -5,15 +5,29 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Precomposed letters and their plain forms, and ligatures.
-ACCENTED = "àáâãäåāăąçćčďèéêëēėęěğìíîïīįłñńňòóôõöōőřśşšťùúûüūůűųýÿźżž"
-PLAIN = "aaaaaaaaacccdeeeeeeeegiiiiiilnnnooooooorssstuuuuuuuuyyzzz"
-LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ß": "ss"}
+
+
+def _letters() -> dict[str, str]:
+    """Lower-case letters and digits whose compatibility decomposition is one ASCII letter or digit and marks."""
+    found = {}
+    for c in map(chr, [*range(0xAA, 0x2C60), *range(0xFF10, 0xFF5B)]):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if c.lower() == c and len(plain) == 1 and re.fullmatch("[a-z0-9]", plain):
+            found[c] = plain
+    return found
+
+
+_FOUND = _letters()
+ACCENTED, PLAIN = "".join(_FOUND), "".join(_FOUND.values())
+#: Ligatures of letters, which decompose into several.
+LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ĳ": "ij", "ǆ": "dz", "ǉ": "lj", "ǌ": "nj"}
 #: Prefixes of resolvers and what may follow an identifier.
 DOI_PREFIX = r"^(https?://(dx\.)?doi\.org/|doi:)\s*"
 DOI_TAIL = r"[.,;)\]}>'\"]+$"
@@ -27,8 +41,8 @@ CLAIM_STEMS = (
 
 
 def plain_letters(text: Column) -> Column:
-    """Lower case without accents and ligatures."""
-    out = F.lower(text)
+    """Lower case in compatibility decomposition, without marks; letters that do not decompose (ø, ß) stay."""
+    out = F.regexp_replace(F.lower(text), r"\p{M}+", "")
     for a, b in LIGATURES.items():
         out = F.replace(out, F.lit(a), F.lit(b))
     return F.translate(out, ACCENTED, PLAIN)
@@ -129,7 +143,7 @@ def sql_plain(x: str) -> str:
     out = f"lower({x})"
     for a, b in LIGATURES.items():
         out = f"replace({out}, '{a}', '{b}')"
-    return f"translate({out}, '{ACCENTED}', '{PLAIN}')"
+    return f"strip_accents({out})"
 
 
 def sql_title(x: str) -> str:

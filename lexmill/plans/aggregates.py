@@ -65,7 +65,7 @@ def papers_per_venue(spark: SparkSession, sf: str) -> DataFrame:
     venues = table(spark, sf, "venues").withColumnRenamed("venue", "name")
     low = F.lower("venue")
     match = F.contains(low, F.lower("name")) | F.contains(low, F.lower("short_name"))
-    return F.broadcast(venues).join(held, match, "left").groupBy("venue_id", "short_name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return venues.join(held, match, "left").groupBy("venue_id", "short_name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 _REASON = "CASE WHEN title IS NULL OR trim(title) = '' THEN 'no title' WHEN abstract IS NULL OR length(trim(abstract)) < 50 THEN 'no abstract' WHEN year IS NULL OR year NOT BETWEEN 1900 AND 2025 THEN 'no year' WHEN language <> 'en' THEN 'language' ELSE 'kept' END"
@@ -408,7 +408,7 @@ def evidence_index(spark: SparkSession, sf: str) -> DataFrame:
 def venue_short_names(spark: SparkSession, sf: str) -> DataFrame:
     """Records with a known venue, by its full or its short name; an OR of equalities becomes one equi-join."""
     names = table(spark, sf, "venues").select("venue_id", "venue_category", F.explode(F.array_distinct(F.array("venue", "short_name"))).alias("name"))
-    return table(spark, sf, "canonical").select("rec_id", "venue").join(F.broadcast(names), F.col("venue") == F.col("name")).select("rec_id", "venue_id", "venue_category")
+    return table(spark, sf, "canonical").select("rec_id", "venue").join(names, F.col("venue") == F.col("name")).select("rec_id", "venue_id", "venue_category")
 
 
 @query(

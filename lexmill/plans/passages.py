@@ -223,18 +223,23 @@ def _bm25(spark: SparkSession, sf: str) -> DataFrame:
     """Okapi BM25 of every passage of a concept against the concept's question (k1 1.5, b 0.75, epsilon 0.25)."""
     words = lambda c: F.split(F.trim(F.lower(c)), r"\s+")
     docs = table(spark, sf, "evidences").where(F.trim("text") != "").select("evidence_id", "concept_id", words("text").alias("toks"))
+    # Document frequencies of all words are needed for the mean idf; of the passages only the question's words are counted.
     stats = docs.groupBy("concept_id").agg(F.count("*").alias("n"), F.avg(F.size("toks")).alias("avgdl"))
-    tf = docs.select("concept_id", "evidence_id", F.size("toks").alias("dl"), F.explode("toks").alias("t")).groupBy("concept_id", "evidence_id", "dl", "t").agg(F.count("*").alias("tf"))
-    tf = cut(tf)
-    df = tf.groupBy("concept_id", "t").agg(F.count("*").alias("df"))
-    raw = df.join(F.broadcast(stats), "concept_id").withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    df = docs.select("concept_id", F.explode(F.array_distinct("toks")).alias("t")).groupBy("concept_id", "t").agg(F.count("*").alias("df"))
+    raw = df.join(stats, "concept_id").withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    raw = cut(raw)
     mean = raw.groupBy("concept_id").agg(F.avg("raw").alias("m"))
-    idf = raw.join(mean, "concept_id").select("concept_id", "t", "avgdl", F.when(F.col("raw") < 0, 0.25 * F.col("m")).otherwise(F.col("raw")).alias("idf"))
     asked = table(spark, sf, "concepts").select("concept_id", F.explode(words("concept_query")).alias("t"))
-    hits = asked.join(idf, ["concept_id", "t"]).join(tf, ["concept_id", "t"])
-    part = F.col("idf") * F.col("tf") * 2.5 / (F.col("tf") + 1.5 * (0.25 + 0.75 * F.col("dl") / F.col("avgdl")))
-    scores = hits.groupBy("concept_id", "evidence_id").agg(F.sum(part).alias("score"))
-    return docs.select("concept_id", "evidence_id").join(scores, ["concept_id", "evidence_id"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    idf = asked.join(raw, ["concept_id", "t"]).join(mean, "concept_id")
+    idf = idf.select("concept_id", "t", "avgdl", F.when(F.col("raw") < 0, 0.25 * F.col("m")).otherwise(F.col("raw")).alias("idf"))
+    terms = idf.groupBy("concept_id").agg(F.first("avgdl").alias("avgdl"), F.sort_array(F.collect_list(F.struct("t", "idf"))).alias("terms"))
+
+    def part(x: Column) -> Column:
+        tf = F.size(F.filter("toks", lambda t: t == x["t"]))
+        return x["idf"] * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * F.size("toks") / F.col("avgdl")))
+
+    score = F.aggregate("terms", F.lit(0.0), lambda total, x: total + part(x))
+    return docs.join(terms, "concept_id", "left").select("concept_id", "evidence_id", F.coalesce(score, F.lit(0.0)).alias("score"))
 
 
 @query("bm25_scores", f"WITH {_BM25} SELECT concept_id, evidence_id, round(score, 5) AS score FROM every")
@@ -254,7 +259,7 @@ def hybrid_scores(spark: SparkSession, sf: str) -> DataFrame:
     scored = cut(_bm25(spark, sf))
     bounds = scored.groupBy("concept_id").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
     texts = table(spark, sf, "evidences").where(F.col("similarity").between(0.0, 1.0)).select("evidence_id", "text", "similarity")
-    rows = scored.join(F.broadcast(bounds), "concept_id").join(texts, "evidence_id")
+    rows = scored.join(bounds, "concept_id").join(texts, "evidence_id")
     wide = F.col("hi") - F.col("lo")
     hybrid = 0.7 * F.col("similarity") + 0.3 * F.when(wide > 1e-8, (F.col("score") - F.col("lo")) / wide).otherwise(0.0)
     boost = 0.05 * F.least(X.hits(F.col("text"), X.CLAIM_STEMS), F.lit(3))
@@ -281,7 +286,7 @@ def tfidf_top_terms(spark: SparkSession, sf: str) -> DataFrame:
     n = tf.groupBy("concept_id").agg(F.count_distinct("evidence_id").alias("n"))
     df = tf.groupBy("concept_id", "t").agg(F.count("*").alias("df"))
     weight = F.col("tf") * (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1)
-    rows = tf.join(df, ["concept_id", "t"]).join(F.broadcast(n), "concept_id").withColumn("w", weight)
+    rows = tf.join(df, ["concept_id", "t"]).join(n, "concept_id").withColumn("w", weight)
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("concept_id", "evidence_id")))
     means = rows.withColumn("u", F.col("w") / length).groupBy("concept_id", "t").agg(F.round(F.sum("u") / F.first("n"), 6).alias("weight"))
     top = top_per_group(means, ["concept_id"], [F.desc("weight"), F.col("t")], 5)
@@ -290,18 +295,19 @@ def tfidf_top_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "lexical_filter",
-    """WITH q AS (SELECT concept_id, list_slice(list_distinct(list_filter(string_split_regex(lower(concept_query), '[^a-z-]+'), lambda x: length(x) > 3)).list_sort(), 1, 15) AS terms FROM concepts),
+    """WITH q AS (SELECT concept_id, list_filter(string_split_regex(lower(concept_query), '[^a-z-]+'), lambda x: length(x) > 3) AS l,
+list_slice(list_filter(l, lambda x, i: list_position(l, x) = i), 1, 15) AS terms FROM concepts),
 h AS (SELECT p.text_id, q.concept_id, len(list_filter(q.terms, lambda t: contains(lower(coalesce(p.title, '') || ' ' || coalesce(p.full_text, '')), t))) AS hits FROM papers p, q)
-SELECT text_id, concept_id, hits FROM h WHERE hits >= 4""",
+SELECT text_id, concept_id, hits FROM h WHERE hits >= 2""",
 )
 def lexical_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """Papers in which at least four of a question's terms occur; the forty questions are broadcast."""
-    terms = F.slice(F.array_sort(F.array_distinct(F.filter(F.split(F.lower("concept_query"), "[^a-z-]+"), lambda x: F.length(x) > 3))), 1, 15)
+    """Papers in which at least two of a question's first fifteen terms occur; the fixed table of questions is broadcast."""
+    terms = F.slice(F.array_distinct(F.filter(F.split(F.lower("concept_query"), "[^a-z-]+"), lambda x: F.length(x) > 3)), 1, 15)
     asked = table(spark, sf, "concepts").select("concept_id", terms.alias("terms"))
     low = F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("full_text", F.lit(""))))
     papers = table(spark, sf, "papers").select("text_id", low.alias("low"))
     hits = F.size(F.filter("terms", lambda t: F.contains(F.col("low"), t)))
-    return papers.join(F.broadcast(asked)).select("text_id", "concept_id", hits.alias("hits")).where("hits >= 4")
+    return papers.join(F.broadcast(asked)).select("text_id", "concept_id", hits.alias("hits")).where("hits >= 2")
 
 
 _SECTION_WORDS = ["introduction", "methods", "results", "discussion", "conclusion", "references"]

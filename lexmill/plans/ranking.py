@@ -110,7 +110,7 @@ def rerank_combined(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of each objective above a percentile, but at least five, by a combined score."""
     rows = cut(_aligned(spark, sf))
     cuts = rows.groupBy("objective").agg(F.percentile("score", F.lit(0.6)).alias("cut"))
-    above = rows.join(F.broadcast(cuts), "objective").where(F.col("score") >= F.col("cut")).select("objective", "topic", "score")
+    above = rows.join(cuts, "objective").where(F.col("score") >= F.col("cut")).select("objective", "topic", "score")
     least = R.top_per_group(rows, ["objective"], [F.desc("score"), F.col("topic")], 5).select("objective", "topic", "score")
     combined = F.round(0.3 * F.col("score") + 0.7 * F.col("score") * F.col("score"), 6)
     return above.unionByName(least).distinct().select("objective", "topic", combined.alias("combined"))
@@ -126,7 +126,7 @@ def dynamic_selection(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of sufficient score, or the first five where there are fewer; at most sixty."""
     rows = cut(_aligned(spark, sf))
     good = rows.groupBy("objective").agg(F.count_if(F.col("score") >= 0.2).alias("good"))
-    top = R.top_per_group(rows, ["objective"], [F.desc("score"), F.col("topic")], 60, "place").join(F.broadcast(good), "objective")
+    top = R.top_per_group(rows, ["objective"], [F.desc("score"), F.col("topic")], 60, "place").join(good, "objective")
     return top.where((F.col("score") >= 0.2) | ((F.col("good") < 5) & (F.col("place") <= 5))).select("objective", "topic", "score")
 
 

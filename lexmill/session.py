@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,11 +32,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Keep `df` on executors' disks for reuse; a lost executor's part is computed again."""
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def spread(df: DataFrame, *keys, factor: int = 2) -> DataFrame:
     """Repartition a scan that has fewer partitions than the cluster has cores, for CPU-heavy Arrow functions.
 

@@ -76,7 +76,7 @@ def evidence_cards(evidences: DataFrame, concepts: DataFrame, top: int = 3) -> D
     good = evidences.where(F.col("similarity").between(0.35, 1.0) & (F.trim("text") != ""))
     best = good.groupBy("concept_id", "doc_id").agg(F.max_by(F.struct("text", "evidence_id", "similarity"), F.struct("similarity", -F.col("evidence_id"))).alias("b"))
     ranked = top_per_group(best.select("concept_id", "doc_id", "b.*"), ["concept_id"], [F.desc("similarity"), F.col("evidence_id")], top)
-    named = ranked.join(F.broadcast(concepts.select("concept_id", "concept_name")), "concept_id")
+    named = ranked.join(concepts.select("concept_id", "concept_name"), "concept_id")
     line = F.concat(F.lit("- "), F.col("text"), F.lit(" ["), F.col("doc_id"), F.lit("]"))
     return named.select(F.concat_ws(" ", F.lpad(F.col("concept_id").cast("string"), 3, "0"), "concept_name").alias("part"), F.col("rank").cast("long").alias("place"), line.alias("line"))
 
