@@ -1,13 +1,11 @@
 """Order-dependent operators: greedy deduplication, packing in order, and average-linkage clustering.
 
-Each works inside parts that a distributed step proves independent, so no task holds an unbounded group: pairs above the
-threshold are found in blocks, their connected components are the parts, and only components go to one task each.
+Pairs above a threshold are found in blocks. Deduplication then decides rows in distributed rounds, packing carries its state
+from span to span, and average linkage works inside the connected components of the near pairs, one task each.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,60 +23,69 @@ THRESHOLDS = [(40, 0.38), (30, 0.36), (20, 0.34), (15, 0.32), (10, 0.35), (6, 0.
 def greedy_dedup(df: DataFrame, group: str, key: str, vector: str, least: float) -> DataFrame:
     """(group, key, kept): in order of `key`, a row is dropped if a kept earlier one is at least so similar.
 
-    Rows of different components of the similarity graph cannot drop each other.
+    All groups are decided at once, in rounds: a row without an undecided earlier neighbour is kept, and what is near a kept
+    row and later is dropped. A round costs two joins of the pairs that are still open, and no task holds a group.
     """
-    pairs = cut(pairs_above(df, group, key, vector, least))
     rows = df.select(group, key)
-    edges = pairs.select(F.col("a").alias("record"), F.concat_ws(":", F.col("a").cast("string"), F.col("b").cast("string")).alias("key")).unionByName(
-        pairs.select(F.col("b").alias("record"), F.concat_ws(":", F.col("a").cast("string"), F.col("b").cast("string")).alias("key"))
-    )
-    parts = components(edges, rows.select(F.col(key).alias("record")))
-    linked = pairs.join(parts, pairs["a"] == parts["record"]).select("component", "a", "b")
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        near = defaultdict(list)
-        for a, b in zip(pdf["a"], pdf["b"]):
-            near[a].append(b)
-            near[b]
-        dropped: set = set()
-        for a in sorted(near):
-            if a not in dropped:
-                dropped.update(b for b in near[a] if b > a)
-        return pd.DataFrame({"dropped": sorted(dropped)})
-
-    kind = dict(df.dtypes)[key]
-    dropped = linked.groupBy("component").applyInPandas(keep, f"dropped {kind}").withColumn("kept", F.lit(False))
-    return rows.join(dropped, rows[key] == dropped["dropped"], "left").select(group, key, F.coalesce("kept", F.lit(True)).alias("kept"))
+    open_ = cut(pairs_above(df, group, key, vector, least).select("a", "b"))
+    dropped = None
+    while not open_.isEmpty():
+        later = open_.select(F.col("b").alias("a")).distinct()
+        first = open_.select("a").distinct().join(later, "a", "left_anti")
+        gone = cut(open_.join(first, "a").select("b").distinct())
+        dropped = gone if dropped is None else cut(dropped.unionByName(gone))
+        # Pairs of the kept and of the dropped are settled; what is left has both ends undecided.
+        rest = open_.join(first, "a", "left_anti").join(gone, "b", "left_anti")
+        open_ = cut(rest.join(gone.withColumnRenamed("b", "a"), "a", "left_anti").select("a", "b"))
+    if dropped is None:
+        return rows.withColumn("kept", F.lit(True))
+    marked = dropped.select(F.col("b").alias(key), F.lit(False).alias("kept"))
+    return rows.join(marked, key, "left").select(group, key, F.coalesce("kept", F.lit(True)).alias("kept"))
 
 
 def pack_in_order(df: DataFrame, key: str, size: str, order: list[Column], most: int, capacity: int, span: int = 100_000) -> DataFrame:
     """(key, place, container): rows in order fill containers that close at `most` rows or before exceeding `capacity`.
 
-    Rows are numbered without a global sort in one task. Each span of rows is packed on its own and its containers are
-    numbered after those of the spans before it; only the last container of a span may be closed early.
+    Rows are numbered without a global sort in one task, and each span of rows is packed by one task. What is open at the end
+    of a span is carried into the next: spans are packed again from the state before them until no state changes. Containers
+    close often, so a span's last state hardly ever depends on its first, and a second round changes nothing further on.
     """
     names = [f"__o{i}" for i in range(len(order))]
     keyed = df.select(key, size, *[c.alias(n) for c, n in zip([_bare(c) for c in order], names)])
     placed = number_rows(keyed.select(key, size, *[F.col(n) for n in names]), names, "place").select(key, size, "place")
-    spans = placed.withColumn("span", F.floor((F.col("place") - 1) / span))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place")
-        out, n, held, total = [], 0, 0, 0
-        for s in pdf[size]:
-            if held and (held >= most or total + s > capacity):
-                n, held, total = n + 1, 0, 0
-            held, total = held + 1, total + s
-            out.append(n)
-        return pd.DataFrame({key: pdf[key], "place": pdf["place"], "span": pdf["span"], "inside": out})
-
+    spans = cut(placed.withColumn("span", F.floor((F.col("place") - 1) / span)))
     kind = dict(df.dtypes)[key]
-    packed = cut(spans.groupBy("span").applyInPandas(pack, f"{key} {kind}, place long, span long, inside long"))
-    from pyspark.sql import Window
-
-    counts = packed.groupBy("span").agg((F.max("inside") + 1).alias("n"))
-    before = counts.select("span", (F.sum("n").over(Window.orderBy("span")) - F.col("n")).alias("before"))
-    return packed.join(F.broadcast(before), "span").select(key, "place", (F.col("before") + F.col("inside")).alias("container"))
+    states: dict[int, tuple[int, int]] = {}
+
+    def packed_from(states: dict[int, tuple[int, int]]) -> DataFrame:
+        def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("place")
+            held, total = states.get(int(pdf["span"].iloc[0]), (0, 0))
+            out, n = [], 0
+            for s in pdf[size]:
+                if held and (held >= most or total + s > capacity):
+                    n, held, total = n + 1, 0, 0
+                held, total = held + 1, total + s
+                out.append((n, held, total))
+            inside, helds, totals = zip(*out)
+            return pd.DataFrame({key: pdf[key], "place": pdf["place"], "span": pdf["span"], "inside": inside, "held": helds, "total": totals})
+
+        return cut(spans.groupBy("span").applyInPandas(pack, f"{key} {kind}, place long, span long, inside long, held long, total long"))
+
+    while True:
+        packed = packed_from(states)
+        # One row a span: what it closes, and what it leaves open.
+        ends = packed.groupBy("span").agg(F.max_by(F.struct("inside", "held", "total"), "place").alias("end")).orderBy("span").collect()
+        after = {r["span"] + 1: (r["end"]["held"], r["end"]["total"]) for r in ends[:-1]}
+        if after == states:
+            break
+        states = after
+    before, closed = [], 0
+    for r in ends:
+        before.append((r["span"], closed))
+        closed += r["end"]["inside"]
+    offsets = df.sparkSession.createDataFrame(before, "span long, before long")
+    return packed.join(F.broadcast(offsets), "span").select(key, "place", (F.col("before") + F.col("inside")).alias("container"))
 
 
 def _bare(c: Column) -> Column:
@@ -133,3 +140,32 @@ def average_linkage(df: DataFrame, group: str, key: str, vector: str) -> DataFra
 
     types = dict(df.dtypes)
     return rows.groupBy("component").applyInPandas(merge, f"{group} {types[group]}, {key} {types[key]}, cluster {types[key]}")
+
+
+def split_large(df: DataFrame, cluster: str, key: str, vector: str, most: int) -> DataFrame:
+    """(cluster, key, part): clusters of more than `most` vectors cut into ceil(n / most) parts by average linkage; parts are
+    numbered by their smallest key. A cluster is the unit of work, as in `average_linkage`."""
+
+    def divide(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key)
+        v = np.array(pdf[vector].tolist(), dtype=float)
+        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        parts = [[i] for i in range(len(v))]
+        wanted = -(-len(v) // most)
+        d = 1 - v @ v.T
+        np.fill_diagonal(d, np.inf)
+        alive = list(range(len(v)))
+        while len(alive) > wanted:
+            at = np.array(alive)
+            i, j = np.unravel_index(np.argmin(d[np.ix_(at, at)]), (len(at), len(at)))
+            i, j = sorted((alive[i], alive[j]))
+            a, b = len(parts[i]), len(parts[j])
+            d[i] = d[:, i] = (a * d[i] + b * d[j]) / (a + b)
+            d[i, i] = np.inf
+            parts[i] += parts[j]
+            alive.remove(j)
+        number = {m: n for n, i in enumerate(sorted(alive, key=lambda i: min(parts[i]))) for m in parts[i]}
+        return pd.DataFrame({cluster: pdf[cluster], key: pdf[key], "part": [number[i] for i in range(len(v))]})
+
+    kinds = dict(df.dtypes)
+    return df.select(cluster, key, vector).groupBy(cluster).applyInPandas(divide, f"{cluster} {kinds[cluster]}, {key} {kinds[key]}, part long")

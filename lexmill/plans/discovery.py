@@ -275,24 +275,51 @@ def kmeans_topics(spark: SparkSession, sf: str) -> DataFrame:
 
     rows = table(spark, sf, "evidences").where(F.trim("text") != "").select("evidence_id", F.split(F.lower("text"), r"[^a-z-]+").alias("words"))
     counted = HashingTF(inputCol="words", outputCol="features", numFeatures=256).transform(rows)
-    model = KMeans(k=5, seed=42, maxIter=10).fit(counted)
+    # As many topics as thirds of the texts, two at least and five at most.
+    model = KMeans(k=max(2, min(5, rows.count() // 3)), seed=42, maxIter=10).fit(counted)
     return model.transform(counted).select("evidence_id", F.col("prediction").alias("topic"))
 
 
+def _merged_concepts(spark: SparkSession, sf: str) -> DataFrame:
+    """(concept_id, rep): each question and the first kept one whose text is nearly the same."""
+    from lexmill import providers
+    from lexmill.operators.blocks import pairs_above
+    from lexmill.operators.greedy import greedy_dedup
+
+    concepts = table(spark, sf, "concepts").select("concept_id", "concept_type", providers.apply(providers.hashed_encoder(), F.col("concept_query"), "array<double>").alias("v"))
+    concepts = cut(concepts)
+    kept = cut(greedy_dedup(concepts, "concept_type", "concept_id", "v", 0.9)).select("concept_id", "kept")
+    near = pairs_above(concepts, "concept_type", "concept_id", "v", 0.9).join(kept.where("kept").select(F.col("concept_id").alias("a")), "a")
+    first = near.groupBy(F.col("b").alias("concept_id")).agg(F.min("a").alias("rep"))
+    return kept.join(first, "concept_id", "left").select("concept_id", F.when(F.col("kept"), F.col("concept_id")).otherwise(F.col("rep")).alias("rep"))
+
+
 @query("concept_dedup")
 def concept_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Questions whose texts are nearly the same are merged with the first of them; papers of the merged are counted once."""
-    from lexmill import providers
+    """Questions of a type whose texts are nearly the same are merged with the first of them: papers and words are united,
+    passages are added up."""
+    mapping = cut(_merged_concepts(spark, sf))
+    words = F.explode(F.filter(F.split(F.lower("concept_query"), "[^a-z-]+"), lambda w: F.length(w) > 3)).alias("word")
+    keywords = table(spark, sf, "concepts").join(mapping, "concept_id").select("rep", words).groupBy("rep").agg(F.array_sort(F.collect_set("word")).alias("keywords"))
+    papers = table(spark, sf, "evidences").select("concept_id", "doc_id").join(mapping, "concept_id")
+    counts = papers.groupBy("rep").agg(F.count_distinct("concept_id").alias("merged"), F.count_distinct("doc_id").alias("papers"), F.count("*").alias("passages"))
+    return counts.join(keywords, "rep", "left")
+
+
+@query("concept_edges")
+def concept_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges of papers and questions, pointing to the questions that were kept, without those that became equal."""
+    mapping = _merged_concepts(spark, sf)
+    edges = table(spark, sf, "evidences").select("doc_id", "concept_id").where("doc_id IS NOT NULL").distinct()
+    return edges.join(mapping, "concept_id").select("doc_id", F.col("rep").alias("concept_id")).distinct()
+
+
+@query("diverse_findings")
+def diverse_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """In order, a finding is kept if no kept one before it is nearer than the penalty allows (0.3)."""
     from lexmill.operators.greedy import greedy_dedup
 
-    concepts = table(spark, sf, "concepts").select("concept_id", providers.apply(providers.hashed_encoder(), F.col("concept_query"), "array<double>").alias("v"))
-    concepts = cut(concepts.withColumn("everything", F.lit(1)))
-    kept = greedy_dedup(concepts, "everything", "concept_id", "v", 0.9).where("kept").select(F.col("concept_id").alias("rep"))
-    reps = kept.join(concepts.select(F.col("concept_id").alias("rep"), F.col("v").alias("rv")), "rep")
-    near = concepts.join(reps, (F.col("rep") <= F.col("concept_id")) & ((dot(F.col("v"), F.col("rv")) >= 0.9) | (F.col("rep") == F.col("concept_id"))))
-    mapping = near.groupBy("concept_id").agg(F.min("rep").alias("rep"))
-    papers = table(spark, sf, "evidences").select("concept_id", "doc_id").distinct().join(mapping, "concept_id")
-    return papers.groupBy("rep").agg(F.count_distinct("concept_id").alias("merged"), F.count_distinct("doc_id").alias("papers"))
+    return greedy_dedup(table(spark, sf, "embeddings"), "label", "vec_id", "embedding", 0.7 + 1e-9)
 
 
 @query("summaries")

@@ -217,15 +217,38 @@ def metadata_heuristics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("split_clusters")
 def split_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    """Clusters of more than ten vectors cut into parts of at most ten along their order of similarity to the first."""
-    from lexmill.functions.vectors import dot
-
+    """Clusters of more than ten vectors cut into as many parts as tens of them, by average linkage."""
     rows = table(spark, sf, "embeddings")
-    clusters = greedy.average_linkage(rows, "label", "vec_id", "embedding").join(rows.select("vec_id", "embedding"), "vec_id")
-    first = rows.select(F.col("vec_id").alias("cluster"), F.col("embedding").alias("f"))
-    scored = clusters.join(first, "cluster").select("cluster", "vec_id", dot(F.col("embedding"), F.col("f")).alias("s"))
-    place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("s"), "vec_id"))
-    return scored.select("cluster", "vec_id", F.floor((place - 1) / 10).alias("part"))
+    clusters = greedy.average_linkage(rows, "label", "vec_id", "embedding").select("cluster", "vec_id")
+    return greedy.split_large(clusters.join(rows.select("vec_id", "embedding"), "vec_id"), "cluster", "vec_id", "embedding", 10)
+
+
+@query(
+    "files_matched_to_titles",
+    r"""WITH t AS (SELECT rec_id, list_slice(list_sort(list_transform(list_distinct(regexp_extract_all(lower(title), '[a-z]{4,}')), lambda w: {'n': -length(w), 'w': w})), 1, 4) AS l FROM canonical WHERE title IS NOT NULL),
+u AS (SELECT rec_id, list_transform(l, lambda x: x.w) AS ws FROM t WHERE len(l) >= 3), b AS (SELECT text_id, regexp_extract_all(lower(left(full_text, 3000)), '[a-z]{4,}') AS bw FROM papers WHERE full_text IS NOT NULL),
+d AS (SELECT text_id, list_distinct(bw) AS bw FROM b)
+SELECT d.text_id, u.rec_id, len(list_intersect(u.ws, d.bw))::INT AS shared FROM d JOIN u ON len(list_intersect(u.ws, d.bw)) >= 3""",
+)
+def files_matched_to_titles(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and the records of which three of the four longest words of the title stand on the file's first page.
+
+    If three of k words are shared, so is one of the k - 2 that are rarest among the files: these are the keys, and the words
+    of both sides decide.
+    """
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"([a-z]{4,})"), 1))
+    ranked = F.array_sort(F.transform(words(F.col("title")), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
+    titles = table(spark, sf, "canonical").where(F.col("title").isNotNull()).select("rec_id", F.transform(F.slice(ranked, 1, 4), lambda x: x["w"]).alias("ws")).where(F.size("ws") >= 3)
+    files = table(spark, sf, "papers").where(F.col("full_text").isNotNull()).select("text_id", words(F.substring("full_text", 1, 3000)).alias("body"))
+    posted = files.select("text_id", F.explode("body").alias("w"))
+    often = posted.groupBy("w").agg(F.count("*").alias("files"))
+    keyed = titles.select("rec_id", F.explode("ws").alias("w")).join(often, "w", "left").groupBy("rec_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("files", F.lit(0)).alias("files"), "w"))).alias("rare")
+    )
+    keys = keyed.select("rec_id", F.explode(F.transform(F.slice("rare", F.lit(1), F.size("rare") - 2), lambda x: x["w"])).alias("w"))
+    met = keys.join(posted, "w").select("rec_id", "text_id").distinct().join(titles, "rec_id").join(files, "text_id")
+    shared = F.size(F.array_intersect("ws", "body"))
+    return met.select("text_id", "rec_id", shared.alias("shared")).where("shared >= 3")
 
 
 plans.integers({"sentence_chunks": ["n"]})

@@ -193,3 +193,27 @@ def test_boundary_of_the_training_package():
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert not re.search(r"lexmill\.llm|from \.+llm", path.read_text()), path
+
+
+def test_packing_carries_its_state_over_spans(spark):
+    rng = random.Random(3)
+    sizes = [(i, rng.randint(1, 50)) for i in range(300)]
+    got = greedy.pack_in_order(spark.createDataFrame(sizes, "k long, s int"), "k", "s", [F.col("k")], 10, 120, span=7)
+    wanted, n, held, total = {}, 0, 0, 0
+    for k, s in sizes:
+        if held and (held >= 10 or total + s > 120):
+            n, held, total = n + 1, 0, 0
+        held, total = held + 1, total + s
+        wanted[k] = n
+    assert {r.k: r.container for r in got.collect()} == wanted
+
+
+def test_large_clusters_are_split_by_average_linkage(spark):
+    rng = np.random.default_rng(5)
+    centres = np.eye(3)
+    v = np.vstack([centres[i % 3] + rng.normal(0, 0.05, 3) for i in range(25)])
+    rows = [(1, i, [float(x) for x in v[i]]) for i in range(25)] + [(2, 100 + i, [1.0, 0.0, 0.0]) for i in range(4)]
+    df = spark.createDataFrame(rows, "c long, k long, v array<double>")
+    part = {r.k: (r.c, r.part) for r in greedy.split_large(df, "c", "k", "v", 10).collect()}
+    assert len(part) == 29 and all(part[i] == part[i % 3] for i in range(25)) and len({part[i] for i in range(3)}) == 3
+    assert {part[100 + i] for i in range(4)} == {(2, 0)}
