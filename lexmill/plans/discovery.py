@@ -322,7 +322,12 @@ def diverse_findings(spark: SparkSession, sf: str) -> DataFrame:
     return greedy_dedup(table(spark, sf, "embeddings"), "label", "vec_id", "embedding", 0.7 + 1e-9)
 
 
-@query("summaries")
+@query(
+    "summaries",
+    r"""WITH t AS (SELECT DISTINCT text FROM documents WHERE trim(text) <> ''),
+p AS (SELECT text, array_to_string(list_filter(list_transform(list_slice(regexp_extract_all(text, '[^.!?]+[.!?]*'), 1, 2), lambda x: regexp_replace(regexp_replace(x, '^[\s\x{00a0}\x{2000}-\x{200a}\x{3000}\x{0085}\x{001c}-\x{001f}]+', ''), '[\s\x{00a0}\x{2000}-\x{200a}\x{3000}\x{0085}\x{001c}-\x{001f}]+$', '')), lambda x: x <> ''), ' ') AS head FROM t)
+SELECT sha256(text) AS key, CASE WHEN length(head) >= 40 THEN head ELSE '' END AS answer FROM p""",
+)
 def summaries(spark: SparkSession, sf: str) -> DataFrame:
     """Each distinct text summarised once by the default provider; answers are keyed by the text's hash."""
     from lexmill import providers

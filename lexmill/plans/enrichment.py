@@ -120,13 +120,17 @@ def second_pass(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "search_configuration",
-    """WITH c AS (SELECT * FROM (VALUES ('physio', 'gait', NULL, 'scopus', 50, true), ('nlp', NULL, 'text', 'wos', NULL, true), ('old', 'x', 'y', 'ieee', 5, false)) t(name, ranking_query, query, source, top_k, enabled))
-SELECT name, coalesce(nullif(ranking_query, ''), nullif(query, ''), 'the study') AS ranking_query, coalesce(nullif(query, ''), 'the study') AS query, coalesce(top_k, 130)::INT AS top_k FROM c WHERE enabled""",
+    """WITH c AS (SELECT concept_name AS name, CASE WHEN concept_id % 3 <> 0 THEN concept_query END AS ranking_query, concept_description AS query, CASE WHEN concept_id % 2 = 0 THEN concept_id * 5 END AS top_k FROM concepts WHERE concept_id % 5 <> 0)
+SELECT name, coalesce(nullif(trim(ranking_query), ''), nullif(trim(query), ''), 'the study') AS ranking_query, coalesce(nullif(trim(query), ''), 'the study') AS query, coalesce(top_k, 130)::INT AS top_k FROM c""",
 )
 def search_configuration(spark: SparkSession, sf: str) -> DataFrame:
-    """Named searches with defaults; disabled ones are skipped, and one default takes the place of none."""
-    given = [("physio", "gait", None, "scopus", 50, True), ("nlp", None, "text", "wos", None, True), ("old", "x", "y", "ieee", 5, False)]
-    return resolve_streams(spark.createDataFrame(given, "name string, ranking_query string, query string, source string, top_k int, enabled boolean"), "the study")
+    """Named searches, one for each question, with defaults for what they lack; disabled ones are skipped."""
+    number = F.col("concept_id")
+    given = table(spark, sf, "concepts").select(
+        F.col("concept_name").alias("name"), F.when(number % 3 != 0, F.col("concept_query")).alias("ranking_query"), F.col("concept_description").alias("query"),
+        F.when(number % 2 == 0, number * 5).cast("int").alias("top_k"), (number % 5 != 0).alias("enabled"),
+    )
+    return resolve_streams(given, "the study")
 
 
 def resolve_streams(config: DataFrame, study: str, top_k: int = 130) -> DataFrame:

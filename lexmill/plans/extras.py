@@ -61,7 +61,14 @@ def resolver_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return providers.first_of(hits.select("hit_id"), "hit_id", one.unionByName(two))
 
 
-@query("training_pairs")
+@query(
+    "training_pairs",
+    """WITH e AS (SELECT evidence_id, concept_id, doc_id, md5('42:' || evidence_id) AS h FROM evidences WHERE trim(text) <> ''),
+p AS (SELECT evidence_id AS a, lead(evidence_id) OVER (PARTITION BY concept_id, doc_id ORDER BY h) AS b, 1 AS label, h FROM e),
+k AS (SELECT *, ('0x' || left(h, 8))::BIGINT % 997 AS bucket FROM e),
+n AS (SELECT evidence_id AS a, lead(evidence_id) OVER w AS b, 0 AS label, h, concept_id AS c, lead(concept_id) OVER w AS oc FROM k WINDOW w AS (PARTITION BY bucket ORDER BY h))
+SELECT a, b, label FROM (SELECT a, b, label FROM p WHERE b IS NOT NULL ORDER BY h LIMIT 1000) UNION ALL SELECT a, b, label FROM (SELECT a, b, label FROM n WHERE oc <> c ORDER BY h LIMIT 1000)""",
+)
 def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs for fine-tuning an encoder: passages of one paper and concept are alike, as many of other concepts are not.
 
@@ -70,10 +77,10 @@ def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    rows = table(spark, sf, "evidences").where(F.trim("text") != "").select("evidence_id", "concept_id", "doc_id", F.xxhash64(F.lit(42), "evidence_id").alias("h"))
+    rows = table(spark, sf, "evidences").where(F.trim("text") != "").select("evidence_id", "concept_id", "doc_id", F.md5(F.concat(F.lit("42:"), F.col("evidence_id").cast("string"))).alias("h"))
     alike = rows.withColumn("other", F.lead("evidence_id").over(Window.partitionBy("concept_id", "doc_id").orderBy("h")))
     positive = alike.where(F.col("other").isNotNull()).select(F.col("evidence_id").alias("a"), F.col("other").alias("b"), F.lit(1).alias("label"), "h")
-    bucket = rows.withColumn("bucket", F.pmod("h", F.lit(997)))
+    bucket = rows.withColumn("bucket", F.conv(F.left("h", F.lit(8)), 16, 10).cast("long") % 997)
     nexts = Window.partitionBy("bucket").orderBy("h")
     unlike = bucket.withColumn("other", F.lead("evidence_id").over(nexts)).withColumn("oc", F.lead("concept_id").over(nexts))
     negative = unlike.where(F.col("oc") != F.col("concept_id")).select(F.col("evidence_id").alias("a"), F.col("other").alias("b"), F.lit(0).alias("label"), "h")

@@ -408,7 +408,15 @@ def limitation_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", F.md5(F.array_join(F.slice("p", 1, 2), "|")).alias("picked_md5"))
 
 
-@query("greedy_notebooks")
+@query(
+    "greedy_notebooks",
+    """WITH RECURSIVE o AS (SELECT text_id, coalesce(word_count, 0) AS w, row_number() OVER (ORDER BY coalesce(word_count, 0) DESC, text_id) AS p FROM papers),
+r AS (SELECT p, text_id, 0::BIGINT AS container, 1 AS held, w AS total FROM o WHERE p = 1
+  UNION ALL SELECT o.p, o.text_id, r.container + CASE WHEN r.held >= 20 OR r.total + o.w > 12000 THEN 1 ELSE 0 END,
+    CASE WHEN r.held >= 20 OR r.total + o.w > 12000 THEN 1 ELSE r.held + 1 END, CASE WHEN r.held >= 20 OR r.total + o.w > 12000 THEN o.w ELSE r.total + o.w END
+  FROM r JOIN o ON o.p = r.p + 1)
+SELECT text_id, p AS place, container FROM r""",
+)
 def greedy_notebooks(spark: SparkSession, sf: str) -> DataFrame:
     """Papers in order of score packed into notebooks with limits of count and words; the running total resets."""
     rows = table(spark, sf, "papers").select("text_id", F.coalesce("word_count", F.lit(0)).alias("words"))

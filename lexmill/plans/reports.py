@@ -36,7 +36,21 @@ def evidence_cards(spark: SparkSession, sf: str) -> DataFrame:
     return reports.evidence_cards(table(spark, sf, "evidences"), table(spark, sf, "concepts"))
 
 
-@query("notebook_export")
+#: Papers in order with the container of each, step by step.
+PACKED_SQL = """o AS (SELECT text_id, coalesce(word_count, 0) AS w, row_number() OVER (ORDER BY coalesce(word_count, 0) DESC, text_id) AS p FROM papers),
+r AS (SELECT p, text_id, 0::BIGINT AS container, 1 AS held, w AS total FROM o WHERE p = 1
+  UNION ALL SELECT o.p, o.text_id, r.container + CASE WHEN r.held >= 20 OR r.total + o.w > 12000 THEN 1 ELSE 0 END,
+    CASE WHEN r.held >= 20 OR r.total + o.w > 12000 THEN 1 ELSE r.held + 1 END, CASE WHEN r.held >= 20 OR r.total + o.w > 12000 THEN o.w ELSE r.total + o.w END
+  FROM r JOIN o ON o.p = r.p + 1)"""
+
+
+@query(
+    "notebook_export",
+    f"""WITH RECURSIVE {PACKED_SQL}, b AS (SELECT text_id, title, full_text, string_split_regex(trim(full_text), '\\s+') AS ws FROM papers)
+SELECT 'notebook ' || r.container AS part, r.p AS place,
+  'TITLE: ' || coalesce(b.title, '') || chr(10) || chr(10) || coalesce(CASE WHEN len(b.ws) > 500 THEN array_to_string(list_slice(b.ws, 1, 500), ' ') ELSE b.full_text END, '') AS line
+FROM r JOIN b USING (text_id)""",
+)
 def notebook_export(spark: SparkSession, sf: str) -> DataFrame:
     papers = table(spark, sf, "papers")
     sized = papers.select("text_id", F.coalesce("word_count", F.lit(0)).alias("words"))
@@ -44,7 +58,16 @@ def notebook_export(spark: SparkSession, sf: str) -> DataFrame:
     return reports.notebooks(packed, papers.select("text_id", "title", "full_text"), 500)
 
 
-@query("bibtex_file")
+def _bib(name: str, value: str) -> str:
+    return f"CASE WHEN trim({value}) <> '' THEN '  {name} = {{' || regexp_replace({value}, '[{{}}]', '', 'g') || '}},' || chr(10) ELSE '' END"
+
+
+@query(
+    "bibtex_file",
+    f"""WITH r AS (SELECT *, 'r' || rec_id AS key, CASE WHEN regexp_matches(lower(venue), 'conference|symposium|workshop') THEN 'inproceedings' ELSE 'article' END AS kind FROM canonical)
+SELECT key, '@' || kind || '{{' || key || ',' || chr(10) || {_bib('title', 'title')} || {_bib('author', "array_to_string(authors, ' and ')")} || {_bib('year', 'year::VARCHAR')}
+  || CASE WHEN kind = 'article' THEN {_bib('journal', 'venue')} ELSE {_bib('booktitle', 'venue')} END || {_bib('doi', 'doi')} || '}}' || chr(10) AS entry FROM r""",
+)
 def bibtex_file(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.lower("venue").rlike("conference|symposium|workshop"), "inproceedings").otherwise("article")
     rows = table(spark, sf, "canonical").select(kind.alias("kind"), F.concat(F.lit("r"), F.col("rec_id").cast("string")).alias("key"), "title", "authors", "year", "venue", "doi")
