@@ -14,8 +14,9 @@ ratio of counts, never a share of the corpus, so a word is read alike in a small
 What is learned are tables. A table is broadcast only after its rows are counted (`SMALL`); a larger one is joined.
 
 `similar` finds the bags of a given Jaccard similarity, `within` those that are part of another. Both are exact. With the
-words of every bag in one order, rarest first, two bags that share enough for the thresholds share one (or three) of the
-first few words; bags that do so are compared, those of a frequent word in blocks of bounded size. Bit sketches, which
+words of every bag in one order, rarest first, two bags that share enough for the thresholds share two (or three) of the
+first few words; bags that do so are compared, those of frequent words in blocks of bounded size. Of long bags single words
+are the keys, so what is written grows with their length and not with its square. Bit sketches, which
 bound what two bags can share from above, and then the whole bags decide.
 """
 
@@ -51,6 +52,8 @@ SMALL = 200_000
 BLOCK, CELLS = 2048, 2000
 #: Parts of so much of the whole are found by three words, smaller ones by two.
 NEAR = 0.75
+#: Of bags of more words than this, single words are the keys, since their pairs and triples are too many.
+LONG = 40
 WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 
 
@@ -241,11 +244,20 @@ def _shared_at_most(x: str, y: str) -> Column:
     return F.least(F.col(f"{x}.n") - lacks(x, y), F.col(f"{y}.n") - lacks(y, x))
 
 
-def _postings(sized: DataFrame, me: str, need: Column, block: str) -> DataFrame:
-    """(w, block, me): each bag under those of its rarest words of which it must share one to share `need` words."""
-    first = F.slice("bag", 1, F.greatest(F.col("n") - need + 1, F.lit(0)).cast("int"))
-    rows = sized.select(F.struct("n", "id", "s0", "s1").alias(me), F.explode(first).alias("w"))
-    return rows.withColumn(block, F.xxhash64(f"{me}.id"))
+def _pairs_of(words: str) -> str:
+    """SQL: the hashes of all pairs of the array `words`, in order."""
+    return f"flatten(transform(sequence(0, size({words}) - 2), i -> transform(sequence(i + 1, size({words}) - 1), j -> xxhash64(2, get({words}, i), get({words}, j)))))"
+
+
+def _postings(sized: DataFrame, me: str, need: Column, block: str, singles: Column, pairs: Column) -> DataFrame:
+    """(w, block, me): each bag under pairs of its rarest words of which it must share one to share `need` words, two at least,
+    where `pairs` holds; and where `singles` holds under single ones."""
+    whole = F.struct("n", "id", "s0", "s1").alias(me)
+    first = sized.withColumn("one", F.slice("bag", F.lit(1), F.greatest(F.col("n") - need + 1, F.lit(0)).cast("int")))
+    first = first.withColumn("two", F.slice("bag", F.lit(1), F.greatest(F.col("n") - F.greatest(need, F.lit(2)) + 2, F.lit(0)).cast("int")))
+    ones = first.where(singles).select(whole, F.explode(F.transform("one", lambda w: F.xxhash64(F.lit(1), w))).alias("w"))
+    twos = first.where(pairs & (F.size("two") > 1)).select(whole, F.explode(F.expr(_pairs_of("two"))).alias("w"))
+    return ones.unionByName(twos).withColumn(block, F.xxhash64(f"{me}.id"))
 
 
 def similar(
@@ -264,7 +276,10 @@ def similar(
     if sure is not None:
         as_small = F.least(as_small, F.greatest(least(2 * sure / (1 + sure)), F.lit(1)))
         as_large = F.least(as_large, F.greatest(least(sure), F.lit(1)))
-    small, large = _postings(sized, "x", as_small, "i"), _postings(sized, "y", as_large, "k")
+    # Pairs of words are the keys, except where one common word is enough or the larger bag is long.
+    lone = (F.col("n") > LONG) | (as_large < 2)
+    small = _postings(sized, "x", as_small, "i", (F.col("n") >= least_jaccard * LONG) | (as_small < 2), F.lit(True))
+    large = _postings(sized, "y", as_large, "k", lone, F.col("n") <= LONG)
     # The bags of a word meet in pairs of blocks; most words have one block.
     blocks = (
         small.select("w", F.lit(1).alias("p"), F.lit(0).alias("q"))
@@ -335,19 +350,23 @@ def within(bags: DataFrame, key: str, least: float, shared: int, sure: float) ->
     )
     twos = f"flatten(transform(sequence(0, m - 2), i -> transform(sequence(i + 1, m - 1), j -> xxhash64(2, get({ws}, i), get({ws}, j)))))"
     whole = F.struct("n", "id", "s0", "s1")
-    near = sized.where(n >= 4).withColumn("m", n - share(NEAR) + 3).select(F.explode(F.expr(threes)).alias("h"), whole.alias("y"))
+    near = sized.where((n >= 4) & (n <= LONG)).withColumn("m", n - share(NEAR) + 3).select(F.explode(F.expr(threes)).alias("h"), whole.alias("y"))
     far_least = F.greatest(share(least), F.lit(shared))
-    far = sized.where(far_least < share(NEAR)).withColumn("m", n - far_least + 2).select(F.explode(F.expr(twos)).alias("h"), whole.alias("y"))
+    far = sized.where((far_least < share(NEAR)) & (n <= LONG)).withColumn("m", n - far_least + 2).select(F.explode(F.expr(twos)).alias("h"), whole.alias("y"))
     first = lambda k: [F.get("bag", F.lit(i)) for i in range(k)]
     parts = sized.where(n >= 3).select(F.xxhash64(F.lit(3), *first(3)).alias("h"), whole.alias("x"))
     if shared >= 2:
         small = sized.where((n >= shared) & (n < F.lit(NEAR * larger)))
         parts = parts.unionByName(small.select(F.xxhash64(F.lit(2), *first(2)).alias("h"), whole.alias("x")))
+    # A long whole holds the rarest word of its part among the words that leave enough after them.
+    parts = parts.unionByName(sized.where(n >= least * LONG).select(F.xxhash64(F.lit(1), *first(1)).alias("h"), whole.alias("x")))
+    held = F.slice("bag", F.lit(1), n - F.greatest(share(least), F.lit(1)) + 1)
+    long_ = sized.where(n > LONG).select(F.explode(F.transform(held, lambda w: F.xxhash64(F.lit(1), w))).alias("h"), whole.alias("y"))
     lacks = lambda i: F.col(f"x.s{i}").bitwiseAND(F.bitwise_not(F.col(f"y.s{i}"))) == 0
     ratio = F.col("x.n") / F.col("y.n")
     enough = ((ratio >= least - 1e-9) & (F.col("x.n") >= shared)) | (ratio >= sure - 1e-9)
     many = tasks(bags)
-    met = parts.repartition(many, "h").join(near.unionByName(far).repartition(many, "h"), "h")
+    met = parts.repartition(many, "h").join(near.unionByName(far).unionByName(long_).repartition(many, "h"), "h")
     pairs = met.where((F.col("x.n") < F.col("y.n")) & lacks(0) & lacks(1) & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     both = pairs.join(sized.select(F.col("id").alias("a"), F.col("bag").alias("part")), "a").join(
         sized.select(F.col("id").alias("b"), F.col("bag").alias("whole")), "b"

@@ -158,3 +158,31 @@ def test_frequent_misspellings_have_no_places_of_their_own(spark):
     texts = [say("rats") for _ in range(600)] + [say("rasts") for _ in range(8)] + [f"{rng.choice(names)} cats purr {n}" for n in names[:9]]
     df = spark.createDataFrame([(f"d{i}", t.split()) for i, t in enumerate(texts)], "doc string, tokens array<string>")
     assert {r.k: r.v for r in bags.misspellings(df, bags.word_counts(df, "tokens")).collect()} == {"rasts": "rats"}
+
+
+def test_long_and_short_bags_lose_no_pair(spark, monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    made = set()
+    for _ in range(60):
+        whole = rng.sample(words, rng.choice([1, 2, 3, 4, 6, 15, 22, 30]))
+        made |= {tuple(sorted(whole)), *(tuple(sorted(rng.sample(whole, rng.randint(max(1, len(whole) // 2), len(whole))))) for _ in range(4))}
+    data = [(i, list(b)) for i, b in enumerate(sorted(made))]
+    df = spark.createDataFrame(data, "node long, bag array<string>")
+    monkeypatch.setattr(bags, "LONG", 12)
+    alike, parts = set(), set()
+    for (i, a), (j, b) in itertools.permutations(data, 2):
+        n, small = len(set(a) & set(b)), min(len(a), len(b))
+        if i < j and n / (len(a) + len(b) - n) >= 0.35 and n >= (0.66 if small <= 3 else 0.75) * small:
+            alike.add((i, j))
+        share = len(a) / len(b)
+        if set(a) < set(b) and (share >= 0.8 or (share >= 0.4 and len(a) >= 7)):
+            parts.add((i, j))
+    assert {(r.a, r.b) for r in bags.similar(df, "node", 0.35, contained=0.75, short=0.66).collect()} == alike
+    assert {(r.a, r.b) for r in bags.within(df, "node", 0.4, 7, 0.8).collect()} == parts
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"word{i}" for i in range(4000))
+    got = clusters(spark, [long, long + " more", "short text", None, ""])
+    assert got[0] == got[1] != got[2] and len(got) == 3
