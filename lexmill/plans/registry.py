@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans import aggregates, discovery, enrichment, exports, extras, identity, packed, passages, ranking, reports, scalars
+from lexmill.plans import aggregates, corpus, discovery, enrichment, exports, extras, identity, packed, passages, ranking, reports, scalars
 
-MODULES = [exports, packed, identity, scalars, ranking, aggregates, passages, discovery, enrichment, extras, reports]
+MODULES = [exports, corpus, packed, identity, scalars, ranking, aggregates, passages, discovery, enrichment, extras, reports]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
