@@ -38,6 +38,8 @@ SHARD, SHARD_CHARS = 4000, 1 << 24
 #: Buckets of the words' counts, and words of a document's key (see `content_key`).
 BUCKETS, KEYS = 1 << 16, 3
 K1, B = 1.2, 0.75
+#: Words of more than one in so many documents of a shard are held densely.
+DENSE = 16
 #: A container that leaves at most this share of its capacity unused asks for no neighbours.
 GAP = 0.01
 #: Share of unused space of a shard at which repacking ends, since it parts what the index put together.
@@ -61,29 +63,37 @@ class Index:
                 ids, weights = postings.setdefault(w, ([], []))
                 ids.append(i)
                 weights.append(tf * (K1 + 1) / (tf + norm))
-        self.postings: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        self.idf: dict[str, float] = {}
+        # A word of one document has no neighbours. Words of many documents are rows of a dense matrix, which bounds itself:
+        # at most DENSE times the documents' mean number of words.
+        self.rare: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.rows: dict[str, int] = {}
+        dense: list[np.ndarray] = []
         for w, (ids, weights) in postings.items():
-            if len(ids) > 1:  # a word of one document has no neighbours
-                idf = math.log(1 + (self.n - len(ids) + 0.5) / (len(ids) + 0.5))
-                self.idf[w] = idf
-                self.postings[w] = (np.array(ids, dtype=np.int32), np.array(weights) * idf)
-        self.queries = []
-        for c in counts:
-            self.queries.append(sorted(w for w in c if w in self.idf))
+            if len(ids) < 2:
+                continue
+            scores = np.array(weights) * math.log(1 + (self.n - len(ids) + 0.5) / (len(ids) + 0.5))
+            if len(ids) * DENSE >= self.n:
+                self.rows[w] = len(dense)
+                row = np.zeros(self.n)
+                row[ids] = scores
+                dense.append(row)
+            else:
+                self.rare[w] = np.array(ids, dtype=np.int32), scores
+        self.dense = np.array(dense).reshape(len(dense), self.n)
+        self.queries = [(sorted(self.rows[w] for w in c if w in self.rows), sorted(w for w in c if w in self.rare)) for c in counts]
 
     def neighbours(self, i: int, unused: np.ndarray) -> list[int]:
         """The unused documents that share a word with document i, best first."""
-        words = self.queries[i]
-        if not words:
-            return []
-        ids = np.concatenate([self.postings[w][0] for w in words])
-        weights = np.concatenate([self.postings[w][1] for w in words])
-        scores = np.bincount(ids, weights=weights, minlength=self.n)
+        rows, words = self.queries[i]
+        scores = self.dense[rows].sum(axis=0) if rows else np.zeros(self.n)
+        if words:
+            ids = np.concatenate([self.rare[w][0] for w in words])
+            weights = np.concatenate([self.rare[w][1] for w in words])
+            scores += np.bincount(ids, weights=weights, minlength=self.n)
         scores[~unused] = 0.0
         scores[i] = 0.0
         top = np.flatnonzero(scores > 0)
-        return top[np.lexsort((top, -scores[top]))].tolist()
+        return top[np.lexsort((top, -np.round(scores[top], 9)))].tolist()
 
 
 class Sizes:
