@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.names import fold, one_edit
 from lexmill.operators.identity import components
-from lexmill.session import cut
+from lexmill.session import cut, release
 
 #: A word of so many texts is one; a rarer one may be misspelt if a neighbour is so many times as frequent.
 LEAST, MISSPELT = 5, 20
@@ -47,7 +47,7 @@ HOLE = 6
 #: A word follows another always if it does so in so many texts and in this share of them.
 FOLLOWS_LEAST, FOLLOWS = 20, 0.85
 #: A learned table of so many rows at most is broadcast.
-SMALL = 200_000
+SMALL = 100_000
 #: Bags of one word that a block holds at most, about, and pairs of blocks that a task compares, about.
 BLOCK, CELLS = 2048, 2000
 #: Parts of so much of the whole are found by three words, smaller ones by two.
@@ -81,9 +81,10 @@ def read_texts(df: DataFrame, key: str, text: str, read: Callable[[str], tuple[l
 def looked_up(docs: DataFrame, units: Column, learned: DataFrame) -> DataFrame:
     """`docs` with `found`: for each element of `units` its value in `learned` (k, v), or null."""
     rows = docs.withColumn("__units", units)
-    few = learned.limit(SMALL + 1).collect()
-    if len(few) <= SMALL:
-        shared = docs.sparkSession.sparkContext.broadcast({r["k"]: r["v"] for r in few})
+    few = learned.select("k", "v").limit(SMALL + 1).toArrow()
+    if few.num_rows <= SMALL:
+        shared = docs.sparkSession.sparkContext.broadcast(dict(zip(few["k"].to_pylist(), few["v"].to_pylist())))
+        del few
 
         def look(lists: pd.Series) -> pd.Series:
             return lists.map(lambda us: [shared.value.get(u) for u in us])
@@ -230,6 +231,7 @@ def learn(
     docs = cut(docs.select("doc", F.when(F.size(bare) > 0, bare).otherwise(F.array_distinct("tokens")).alias("bag"), "lo", "hi"))
     docs = cut(without_implied(docs, word_counts(docs, "bag")))
     n_docs = docs.count()
+    release(df.sparkSession)
     for _ in range(rounds):
         docs = replaced(docs, "bag", synonyms(docs, cut(word_counts(docs, "bag")), n_docs))
         docs = cut(docs.withColumn("bag", F.array_distinct("bag")))
@@ -245,19 +247,22 @@ def _shared_at_most(x: str, y: str) -> Column:
 
 
 def _pairs_of(words: str) -> str:
-    """SQL: the hashes of all pairs of the array `words`, in order."""
-    return f"flatten(transform(sequence(0, size({words}) - 2), i -> transform(sequence(i + 1, size({words}) - 1), j -> xxhash64(2, get({words}, i), get({words}, j)))))"
+    """SQL: of all pairs of the array `words`, in order, the hash and how many words of the bag there are from the pair on."""
+    pair = f"struct(xxhash64(2, get({words}, i), get({words}, j)) AS w, n - j + 1 AS r)"
+    return f"flatten(transform(sequence(0, size({words}) - 2), i -> transform(sequence(i + 1, size({words}) - 1), j -> {pair})))"
 
 
 def _postings(sized: DataFrame, me: str, need: Column, block: str, singles: Column, pairs: Column) -> DataFrame:
     """(w, block, me): each bag under pairs of its rarest words of which it must share one to share `need` words, two at least,
-    where `pairs` holds; and where `singles` holds under single ones."""
-    whole = F.struct("n", "id", "s0", "s1").alias(me)
+    where `pairs` holds; and where `singles` holds under single ones. `r` of a bag is what it can share if the key is the
+    first that it shares."""
+    whole = F.struct("n", "id", "s0", "s1", F.col("k.r").alias("r"), need.cast("int").alias("need")).alias(me)
     first = sized.withColumn("one", F.slice("bag", F.lit(1), F.greatest(F.col("n") - need + 1, F.lit(0)).cast("int")))
     first = first.withColumn("two", F.slice("bag", F.lit(1), F.greatest(F.col("n") - F.greatest(need, F.lit(2)) + 2, F.lit(0)).cast("int")))
-    ones = first.where(singles).select(whole, F.explode(F.transform("one", lambda w: F.xxhash64(F.lit(1), w))).alias("w"))
-    twos = first.where(pairs & (F.size("two") > 1)).select(whole, F.explode(F.expr(_pairs_of("two"))).alias("w"))
-    return ones.unionByName(twos).withColumn(block, F.xxhash64(f"{me}.id"))
+    single = F.transform("one", lambda w, i: F.struct(F.xxhash64(F.lit(1), w).alias("w"), (F.col("n") - i).alias("r")))
+    ones = first.where(singles).withColumn("k", F.explode(single))
+    twos = first.where(pairs & (F.size("two") > 1)).withColumn("k", F.explode(F.expr(_pairs_of("two"))))
+    return ones.unionByName(twos).select(whole, F.col("k.w").alias("w")).withColumn(block, F.xxhash64(f"{me}.id"))
 
 
 def similar(
@@ -304,7 +309,9 @@ def similar(
         return (jaccard >= least_jaccard) & (alike if sure is None else alike | (jaccard >= sure))
 
     order = lambda me: F.struct(F.col(f"{me}.n"), F.col(f"{me}.id"))
-    met = placed(small, "i", "k").join(placed(large, "k", "i"), ["w", "i", "k"]).where(order("x") < order("y"))
+    # On the first key that two bags share, what follows it must be enough for the smaller bag.
+    reach = F.least("x.r", "y.r") >= F.col("x.need")
+    met = placed(small, "i", "k").join(placed(large, "k", "i"), ["w", "i", "k"]).where(reach & (order("x") < order("y")))
     pairs = (
         met.where(enough(_shared_at_most("x", "y"), F.col("x.n"), F.col("y.n")))
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))

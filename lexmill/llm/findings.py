@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import bags
 from lexmill.llm.names import fold
-from lexmill.session import cut
+from lexmill.session import cut, release
 
 #: Function words and words of reporting, which say nothing of a finding.
 STOP = frozenset(
@@ -66,7 +66,9 @@ def markov(edges: DataFrame) -> DataFrame:
     Each round checkpoints the matrix; the rounds end when every column is settled, that is when its flows are all equal.
     """
     matrix = cut(_columns(edges.select("i", "j", F.col("w").alias("v"))))
-    for _ in range(ROUNDS):
+    for number in range(ROUNDS):
+        if number % 4 == 0:
+            release(edges.sparkSession)
         left = matrix.select("i", F.col("j").alias("k"), F.col("v").alias("u"))
         right = matrix.select(F.col("i").alias("k"), "j", "v")
         squared = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("u") * F.col("v")).alias("v"))
@@ -102,6 +104,7 @@ def cluster_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, cluster, flow) of every row with a text."""
     rows = df.where(F.col(text).isNotNull() & (F.trim(F.col(text)) != ""))
     bagged = bags.learn(rows, key, text, read_finding, STOP).where(F.size("bag") > 0)
+    release(df.sparkSession)
     named = bagged.withColumn("node", F.xxhash64(F.concat_ws(" ", "bag")))
     nodes = cut(named.groupBy("node").agg(F.first("bag").alias("bag")))
     links = cut(bags.within(nodes, "node", LEAST_SHARE, SHARED, SURE_SHARE).select("a", "b", F.col("share").alias("w")))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import bags
 from lexmill.llm.names import fold
-from lexmill.session import cut
+from lexmill.session import cut, release
 
 FIRST_YEAR, LAST_YEAR = 1800, 2025
 #: Part of the dois of preprint servers; a preprint and its publication have different dois.
@@ -319,6 +319,7 @@ def match(df: DataFrame, last_year: int = LAST_YEAR) -> DataFrame:
     mixture = Mixture()
     adjusted, before = None, None
     for _ in range(ROUNDS):
+        release(df.sparkSession)
         scored = cut(_fit(measured, mixture, adjusted))
         edges = scored.where(F.col("p") >= 0.5)
         # Transitivity: what two matches imply is measured like any other candidate, and conflicts weaken a match.
