@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 
@@ -32,6 +33,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffles, checkpoints and buffers of tables that nothing refers to any more.
+
+    They are cleaned when the driver collects garbage, which a long run of small jobs may put off until disks are full; call
+    it between the phases of such a run.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(df: DataFrame, *keys, factor: int = 2) -> DataFrame:
     """Repartition a scan that has fewer partitions than the cluster has cores, for CPU-heavy Arrow functions.
 
