@@ -184,6 +184,7 @@ def synonyms(docs: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
     evidence = (F.col("agree") >= AGREE) & (F.col("agree") >= AGAINST * F.col("against"))
     count = lambda x: words.select(F.col("w").alias(x), F.col("df").alias(f"n{x}"))
     enough = F.col("places") >= SUBSTITUTES * F.least("na", "nb")
+    release(docs.sparkSession)
     held = cut(seen.where(evidence).join(count("a"), "a").join(count("b"), "b").where(enough))
     # How often both stand in one text is counted from the texts of the rarer one.
     rarer = F.col("na") <= F.col("nb")
@@ -227,8 +228,10 @@ def learn(
     rows, docs = read_texts(df, key, text, read)
     words = cut(word_counts(docs, "tokens"))
     docs = replaced(docs, "tokens", corrections(words).unionByName(misspellings(docs, words)))
+    release(df.sparkSession)
     bare = F.array_except("tokens", F.array(*[F.lit(w) for w in sorted(stop)]))
     docs = cut(docs.select("doc", F.when(F.size(bare) > 0, bare).otherwise(F.array_distinct("tokens")).alias("bag"), "lo", "hi"))
+    release(df.sparkSession)
     docs = cut(without_implied(docs, word_counts(docs, "bag")))
     n_docs = docs.count()
     release(df.sparkSession)

@@ -228,7 +228,9 @@ def known_given_names(tokens: DataFrame) -> DataFrame:
     seen = cut(counts.where(F.col("count") >= LEAST_GIVEN))
     plain = tokens.where(~F.col("token").startswith(",")).select("token").distinct()
     words = cut(plain.join(seen, "token", "left"))
-    near = cut(neighbours(words.where(F.length("token") > 3).select(F.col("token").alias("family"))).withColumnRenamed("family", "token"))
+    long = F.length("token") > 3
+    near = neighbours(words.where(long).select(F.col("token").alias("family")), seen.where(long).select(F.col("token").alias("family")))
+    near = cut(near.withColumnRenamed("family", "token"))
     seen_near = near.join(seen.select(F.col("token").alias("near"), F.col("count").alias("m")), "near")
     rare = seen_near.join(seen, "token").where(F.col("m") >= MISSPELT * F.col("count")).select("token").distinct()
     known = cut(seen.select("token").join(rare, "token", "left_anti"))
@@ -245,23 +247,25 @@ def known_given_names(tokens: DataFrame) -> DataFrame:
     return stands.select("token", F.coalesce("own", "familiar", "one").alias("given")).where(F.col("given").isNotNull())
 
 
-def neighbours(families: DataFrame) -> DataFrame:
-    """(family, near): pairs of distinct words at distance 1, both directions.
+def neighbours(families: DataFrame, into: DataFrame | None = None) -> DataFrame:
+    """(family, near): pairs of distinct words at distance 1, both directions; `near` only from `into`, if that is given.
 
     Words of up to `SHORT` letters, whose ends overlap or touch, also meet by what is left of them without one letter.
     """
+    asked, known = families.select("family", F.lit(False).alias("known")), (families if into is None else into).select("family", F.lit(True).alias("known"))
+    both = asked.unionByName(known)
     # Words of an edit differ by one letter in length at most, so each stands with its own length and the next.
-    lengths = F.explode(F.array(F.length("family"), F.length("family") + 1))
-    sized = families.select("family", lengths.alias("long"))
-    forward = sized.select("family", F.concat_ws(":", F.lit("p"), "long", F.substring("family", 1, EDGE)).alias("shard"))
-    backward = sized.select("family", F.concat_ws(":", F.lit("s"), "long", F.expr(f"right(family, {EDGE})")).alias("shard"))
+    sized = both.select("family", "known", F.explode(F.array(F.length("family"), F.length("family") + 1)).alias("long"))
+    forward = sized.select("family", "known", F.concat_ws(":", F.lit("p"), "long", F.substring("family", 1, EDGE)).alias("shard"))
+    backward = sized.select("family", "known", F.concat_ws(":", F.lit("s"), "long", F.expr(f"right(family, {EDGE})")).alias("shard"))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard in _runs(batches, "shard"):
-            words = shard["family"].tolist()
-            if len(words) < 2:
+            aims = shard.loc[shard["known"], "family"].tolist()
+            words = shard.loc[~shard["known"], "family"].tolist()
+            if not aims or not words or aims == words and len(words) < 2:
                 continue
-            trie = Trie(words)
+            trie = Trie(aims)
             pairs = [(w, x) for w in words for x in trie.near(w)]
             if pairs:
                 yield pd.DataFrame(pairs, columns=["family", "near"])
@@ -269,11 +273,11 @@ def neighbours(families: DataFrame) -> DataFrame:
     # A number of partitions keeps adaptive execution from joining the small shards into one task.
     many = 2 * families.sparkSession.sparkContext.defaultParallelism
     shards = forward.unionByName(backward).repartition(many, "shard").sortWithinPartitions("shard")
-    short = families.where(F.length("family") <= SHORT)
     left = "transform(sequence(1, length(family)), i -> concat(left(family, i - 1), substring(family, i + 1)))"
-    kept = short.select("family", F.explode(F.expr(f"array_distinct(array_append({left}, family))")).alias("kept"))
-    met = kept.join(kept.withColumnRenamed("family", "near"), "kept").where(F.col("family") != F.col("near"))
-    met = met.select("family", "near").distinct().where(F.pandas_udf(one_edit, "boolean")("family", "near"))
+    parts = F.explode(F.expr(f"array_distinct(array_append({left}, family))")).alias("kept")
+    kept = both.where(F.length("family") <= SHORT).select("family", "known", parts)
+    met = kept.where(~F.col("known")).drop("known").join(kept.where("known").select(F.col("family").alias("near"), "kept"), "kept")
+    met = met.where(F.col("family") != F.col("near")).select("family", "near").distinct().where(F.pandas_udf(one_edit, "boolean")("family", "near"))
     return shards.mapInPandas(join, "family string, near string").unionByName(met).distinct()
 
 
