@@ -92,3 +92,16 @@ def test_the_mixture_beats_the_identifiers_it_starts_from():
     right = lambda p: ((p >= 0.6) == truth).mean()
     # One unmatched pair in ten agrees in names and kind, so not all can be told apart.
     assert right(after) > 0.94 and right(after) > right(first) + 0.15
+
+
+def test_the_last_round_measures_nothing(spark, monkeypatch):
+    """What the matches imply is measured for the next round alone."""
+    calls = {"_measured": 0, "_fit": 0}
+    for name in calls:
+        def counted(*args, _name=name, _do=getattr(M, name)):
+            calls[_name] += 1
+            return _do(*args)
+
+        monkeypatch.setattr(M, name, counted)
+    M.match(spark.createDataFrame(rows()[:60], SCHEMA))
+    assert 1 < calls["_fit"] < M.ROUNDS and calls["_measured"] == calls["_fit"]
