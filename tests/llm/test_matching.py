@@ -105,3 +105,41 @@ def test_the_last_round_measures_nothing(spark, monkeypatch):
         monkeypatch.setattr(M, name, counted)
     M.match(spark.createDataFrame(rows()[:60], SCHEMA))
     assert 1 < calls["_fit"] < M.ROUNDS and calls["_measured"] == calls["_fit"]
+
+
+def test_no_job_holds_many_joins(spark, monkeypatch):
+    """The driver plans a whole job again at every stage that ends: its memory grows with the square of the joins of one job."""
+    joins = []
+    for module in (M, M.bags):
+        def counted(df, _do=module.cut):
+            joins.append(df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin"))
+            return _do(df)
+
+        monkeypatch.setattr(module, "cut", counted)
+    M.match(spark.createDataFrame(rows()[:60], SCHEMA))
+    assert sum(joins) > 20 and max(joins) <= 8
+
+
+def test_candidates_are_those_of_the_rules(spark):
+    rng = random.Random(11)
+    bags = [["gait", "radar", "walk"], ["lung", "scan", "video"], ["sleep", "knee", "grip"], [], None]
+    some = lambda *of: rng.choice([*of, None])
+    made = [
+        (f"p{i:03d}", f"s{i % 3}", some("10.1/a", "10.1/b", "10.1/c"), some("1001", "1002"), some(2000, 2001, 2002, 2005), "", rng.choice(bags), some([], ["ann"], ["bob"], ["ann", "eve"]))
+        for i in range(150)
+    ]
+    df = spark.createDataFrame(made, "paper_id string, source string, doi string, pmid string, year int, kind string, bag array<string>, who array<string>")
+    got = [tuple(r) for r in M._candidates(df).collect()]
+
+    def more(a, b, ids):
+        near = a[4] is not None and b[4] is not None and abs(a[4] - b[4]) <= 1
+        same = any(a[k] is not None and a[k] == b[k] for k in ids)
+        return same or bool({*(a[7] or [])} & {*(b[7] or [])}) or (near and not (a[7] and b[7]))
+
+    def meet(a, b):
+        if a[6] and b[6]:
+            return a[6] == b[6] and more(a, b, (2, 3))
+        return any(a[k] is not None and a[k] == b[k] and more(a, b, (5 - k,)) for k in (2, 3))
+
+    wanted = {(a[0], b[0]) for a in made for b in made if a[0] < b[0] and meet(a, b)}
+    assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 500
